@@ -285,10 +285,16 @@ def attribute_columns(normalized: Column) -> dict[str, Column]:
 
 
 def with_normalized_title(df, title_col: str = "title", aliases=HEBREW_ALIASES, name: str = "normalized_title"):
-    """Append the normalised title, computed in stages so no step is inlined twice."""
-    df = df.withColumn("_nt_low", _lower_strip(F.coalesce(F.col(title_col), F.lit(""))))
-    df = df.withColumn("_nt_alias", _normalize_units(_alias_words(F.col("_nt_low"), aliases)))
-    return df.withColumn(name, _normalize_rest(F.col("_nt_alias"), staged=True)).drop("_nt_low", "_nt_alias")
+    """Append the normalised title behind a one-row ``inline`` (a Generate node).
+
+    The Generate is a plan barrier: the scan planner folds every Project
+    above a scan into one, inlining aliases, which would copy the whole
+    normalisation chain into each of the ~60 extractor expressions.  Above
+    the barrier the extractors read the computed column.  No shuffle, no
+    materialisation.
+    """
+    nt = normalize_title(F.coalesce(F.col(title_col), F.lit("")), aliases)
+    return df.select("*", F.inline(F.array(F.struct(nt.alias(name)))))
 
 
 def with_attributes(df, title_col: str = "title", aliases=HEBREW_ALIASES):

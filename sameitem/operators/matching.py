@@ -55,10 +55,11 @@ def score_pairs(nodes: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
         "emb": R.cosine(F.col("embedding_1"), F.col("embedding_2")),
     })
     p = p.withColumn("score", R.match_score(F.col("fuzzy"), F.col("attribute"), F.col("emb")))
-    conflict = R.conflict_reason()
-    strong = R.strong_reason(conflict)
-    flags = R.risk_flags(F.col("score"))
-    p = p.withColumn("d", R.decide(F.col("score"), conflict, strong, flags))
+    # One column per rule so no rule's expression is inlined twice.
+    p = p.withColumn("_conflict", R.conflict_reason())
+    p = p.withColumn("_strong", R.strong_reason(F.col("_conflict")))
+    p = p.withColumn("_flags", R.risk_flags(F.col("score")))
+    p = p.withColumn("d", R.decide(F.col("score"), F.col("_conflict"), F.col("_strong"), F.col("_flags")))
     return p.select(
         F.col("node_id_1").alias("listing_id_1"),
         F.col("node_id_2").alias("listing_id_2"),
@@ -72,7 +73,7 @@ def score_pairs(nodes: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
         F.round("score", 4).alias("final_score"),
         F.col("d.decision").alias("decision"),
         F.col("d.reason").alias("reason"),
-        *[F.col(f"{c}{s}") for c in ["tier_variant", "color", "category"] for s in ("_1", "_2")],
+        *[F.col(f"{c}{s}") for c in [*ATTRIBUTES, "category"] for s in ("_1", "_2")],
     )
 
 

@@ -21,6 +21,20 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
+# Runtime settings every job of this package relies on (set on the active
+# session, so they also apply to a session the caller built).
+RUNTIME_CONF = {
+    # Wide attribute projections under filters make constraint propagation
+    # grow combinatorially in the analyzer; it buys nothing for these plans.
+    "spark.sql.constraintPropagation.enabled": "false",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+}
+# Local runs only: the driver JVM is the executor, so give it the heap.
+LOCAL_CONF = {
+    "spark.driver.memory": os.environ.get("SAMEITEM_DRIVER_MEMORY", "16g"),
+    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+}
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -33,6 +47,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        conf.update(LOCAL_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -40,6 +56,13 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    return configure(spark)
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply :data:`RUNTIME_CONF` to a session (idempotent)."""
+    for k, v in RUNTIME_CONF.items():
+        spark.conf.set(k, v)
     return spark
 
 
