@@ -40,24 +40,42 @@ def _side(nodes: DataFrame, suffix: str) -> DataFrame:
     return nodes.select(*[F.col(c).alias(c + suffix) for c in cols])
 
 
-def score_pairs(nodes: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
-    """R2 for compatible title pairs: scores, decision, reason.
+def rule_pairs(nodes: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """Compatible title pairs with both sides' attributes and the score-free rules.
 
-    The Python UDF sees each distinct title pair once; everything else is
-    JVM expressions.  Scores are rounded to 4 digits on output (M5), the
-    decision uses the unrounded score.
+    Adds ``attribute`` (M2), ``emb`` (M3), ``_conflict`` (C2, always null
+    here) and ``_strong`` (C3).  No Python: the strong-identity slice of the
+    pipeline runs on this alone.
     """
     pairs = compatible_title_pairs(nodes) if pairs is None else pairs
     p = (pairs.join(_side(nodes, "_1"), "node_id_1").join(_side(nodes, "_2"), "node_id_2"))
     p = p.withColumns({
-        "fuzzy": fuzzy_score_udf(F.col("normalized_title_1"), F.col("normalized_title_2")),
         "attribute": R.attribute_agreement(),
         "emb": R.cosine(F.col("embedding_1"), F.col("embedding_2")),
+        "_conflict": R.conflict_reason(),
     })
+    return p.withColumn("_strong", R.strong_reason(F.col("_conflict")))
+
+
+def strong_edges(nodes: DataFrame) -> DataFrame:
+    """Title pairs merged by strong identity (C3) alone, with ``n_pairs``."""
+    p = rule_pairs(nodes).where(F.col("_strong").isNotNull())
+    return p.select(F.col("node_id_1").alias("listing_id_1"), F.col("node_id_2").alias("listing_id_2"),
+                    (F.col("n_listings_1") * F.col("n_listings_2")).alias("n_pairs"),
+                    F.lit("merge").alias("decision"), F.col("_strong").alias("reason"))
+
+
+def score_pairs(nodes: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """R2 for compatible title pairs: scores, decision, reason.
+
+    The Python UDF sees each distinct title pair once; everything else is
+    JVM expressions.  Scores are rounded to 4 digits on output (M5), the
+    decision uses the unrounded score.
+    """
+    p = rule_pairs(nodes, pairs)
+    p = p.withColumn("fuzzy", fuzzy_score_udf(F.col("normalized_title_1"), F.col("normalized_title_2")))
     p = p.withColumn("score", R.match_score(F.col("fuzzy"), F.col("attribute"), F.col("emb")))
     # One column per rule so no rule's expression is inlined twice.
-    p = p.withColumn("_conflict", R.conflict_reason())
-    p = p.withColumn("_strong", R.strong_reason(F.col("_conflict")))
     p = p.withColumn("_flags", R.risk_flags(F.col("score")))
     p = p.withColumn("d", R.decide(F.col("score"), F.col("_conflict"), F.col("_strong"), F.col("_flags")))
     return p.select(
