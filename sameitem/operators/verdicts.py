@@ -103,47 +103,53 @@ def parse_verdicts(verdicts: DataFrame) -> DataFrame:
     the first ``{`` to the last ``}``.  A parsed empty value is invalid, a
     non-object value fails like an attribute lookup.
     """
-    raw = _ustrip(F.coalesce(F.col("raw_response"), F.lit("")))
-    fenced = _ustrip(F.regexp_replace(F.regexp_replace(raw, "```json", ""), "```", ""))
-    t = F.when(raw.startswith("```"), fenced).otherwise(raw)
-    first, last = F.instr(t, "{"), F.length(t) - F.instr(F.reverse(t), "}") + 1
-    inner = F.when((first > 0) & (F.instr(t, "}") > 0) & (last > first),
-                   F.substring(t, first, last - first + 1))
-    keys1 = F.json_object_keys(t)
-    arr1 = F.json_array_length(t)
-    scalar_true = t.rlike(_SCALAR_TRUE)
-    scalar_false = t.rlike(_SCALAR_FALSE)
-    keys2 = F.json_object_keys(inner)
-    obj = F.when(keys1.isNotNull(), t).when(arr1.isNull() & ~scalar_true & ~scalar_false & keys2.isNotNull(), inner)
-    keys = F.when(keys1.isNotNull(), keys1).otherwise(keys2)
-    outcome = (F.when(F.col("error").isNotNull(), F.concat(F.lit("provider_error_"), F.col("error")))
-               .when(raw == "", F.lit("invalid_json_response"))
-               .when(keys1.isNotNull() & (F.size(keys1) == 0), F.lit("invalid_json_response"))
-               .when(keys1.isNotNull(), F.lit(None))
-               .when(arr1 > 0, F.lit("provider_error_AttributeError"))
-               .when(arr1 == 0, F.lit("invalid_json_response"))
-               .when(scalar_true, F.lit("provider_error_AttributeError"))
-               .when(scalar_false, F.lit("invalid_json_response"))
-               .when(keys2.isNotNull() & (F.size(keys2) > 0), F.lit(None))
+    c = F.col
+    # Staged projections: every intermediate is computed once and read by name.
+    v = verdicts.select("listing_id_1", "listing_id_2", "error",
+                        _ustrip(F.coalesce(c("raw_response"), F.lit(""))).alias("_raw"))
+    v = v.withColumn("_t", F.when(c("_raw").startswith("```"),
+                                  _ustrip(F.regexp_replace(F.regexp_replace(c("_raw"), "```json", ""), "```", "")))
+                     .otherwise(c("_raw")))
+    v = v.withColumns({"_first": F.instr(c("_t"), "{"),
+                       "_last": F.length(c("_t")) - F.instr(F.reverse(c("_t")), "}") + 1,
+                       "_close": F.instr(c("_t"), "}")})
+    v = v.withColumn("_inner", F.when((c("_first") > 0) & (c("_close") > 0) & (c("_last") > c("_first")),
+                                      F.substring(c("_t"), c("_first"), c("_last") - c("_first") + 1)))
+    v = v.withColumns({"_keys1": F.json_object_keys(c("_t")), "_arr1": F.json_array_length(c("_t")),
+                       "_strue": c("_t").rlike(_SCALAR_TRUE), "_sfalse": c("_t").rlike(_SCALAR_FALSE),
+                       "_keys2": F.json_object_keys(c("_inner"))})
+    outcome = (F.when(c("error").isNotNull(), F.concat(F.lit("provider_error_"), c("error")))
+               .when(c("_raw") == "", F.lit("invalid_json_response"))
+               .when(c("_keys1").isNotNull() & (F.size(c("_keys1")) == 0), F.lit("invalid_json_response"))
+               .when(c("_keys1").isNotNull(), F.lit(None))
+               .when(c("_arr1") > 0, F.lit("provider_error_AttributeError"))
+               .when(c("_arr1") == 0, F.lit("invalid_json_response"))
+               .when(c("_strue"), F.lit("provider_error_AttributeError"))
+               .when(c("_sfalse"), F.lit("invalid_json_response"))
+               .when(c("_keys2").isNotNull() & (F.size(c("_keys2")) > 0), F.lit(None))
                .otherwise(F.lit("invalid_json_response")))
-    parsed = F.from_json(obj, "match string, confidence string, reason string")
+    obj = (F.when(c("_keys1").isNotNull(), c("_t"))
+           .when(c("_arr1").isNull() & ~c("_strue") & ~c("_sfalse") & c("_keys2").isNotNull(), c("_inner")))
+    v = v.select("listing_id_1", "listing_id_2", outcome.alias("_outcome"),
+                 F.when(c("_keys1").isNotNull(), c("_keys1")).otherwise(c("_keys2")).alias("_keys"),
+                 F.from_json(obj, "match string, confidence string, reason string").alias("_p"))
 
     def field(name: str, default: str) -> Column:
-        present = F.coalesce(F.array_contains(keys, name), F.lit(False))
-        return F.when(present, F.coalesce(parsed[name], F.lit("None"))).otherwise(F.lit(default))
+        present = F.coalesce(F.array_contains(c("_keys"), name), F.lit(False))
+        return _ustrip(F.when(present, F.coalesce(c("_p")[name], F.lit("None"))).otherwise(F.lit(default)))
 
-    match = F.lower(_ustrip(field("match", "no")))
-    label = F.lower(_ustrip(field("confidence", "low")))
-    reason = _ustrip(field("reason", "missing_reason"))
+    v = v.select("listing_id_1", "listing_id_2", "_outcome",
+                 F.lower(field("match", "no")).alias("_m"), F.lower(field("confidence", "low")).alias("_c"),
+                 field("reason", "missing_reason").alias("_r"))
     conf_map = F.create_map(*[F.lit(x) for kv in CONFIDENCE_SCORES.items() for x in kv])
-    ok = outcome.isNull()
-    return verdicts.select(
+    ok = c("_outcome").isNull()
+    return v.select(
         "listing_id_1", "listing_id_2",
-        F.when(ok & match.isin("yes", "no"), match).otherwise(F.lit("no")).alias("llm_match"),
-        F.when(ok, F.coalesce(F.try_element_at(conf_map, label), F.lit(DEFAULT_CONFIDENCE)))
+        F.when(ok & c("_m").isin("yes", "no"), c("_m")).otherwise(F.lit("no")).alias("llm_match"),
+        F.when(ok, F.coalesce(F.try_element_at(conf_map, c("_c")), F.lit(DEFAULT_CONFIDENCE)))
         .otherwise(F.lit(DEFAULT_CONFIDENCE)).alias("llm_confidence"),
-        F.when(ok, F.when(reason == "", F.lit("missing_reason")).otherwise(reason))
-        .otherwise(outcome).alias("llm_reason"),
+        F.when(ok, F.when(c("_r") == "", F.lit("missing_reason")).otherwise(c("_r")))
+        .otherwise(c("_outcome")).alias("llm_reason"),
     )
 
 
@@ -211,7 +217,9 @@ def replay_verdicts(requests: DataFrame) -> DataFrame:
     pb = F.get_json_object("request_json", "$.product_b.tier_variant")
     ca = F.get_json_object("request_json", "$.product_a.color")
     cb = F.get_json_object("request_json", "$.product_b.color")
-    yes = pa.eqNullSafe(pb) & ca.eqNullSafe(cb)
+    requests = requests.select("listing_id_1", "listing_id_2",
+                               (pa.eqNullSafe(pb) & ca.eqNullSafe(cb)).alias("_yes"))
+    yes = F.col("_yes")
     m = F.when(yes, "yes").otherwise("no")
     r = F.when(yes, "same model and colour").otherwise("tier variant or colour differs")
     shape = F.abs(F.xxhash64("listing_id_1", "listing_id_2")) % len(_REPLY_SHAPES)
