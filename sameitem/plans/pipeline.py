@@ -60,7 +60,9 @@ class Run:
 
     @cached_property
     def listings(self) -> DataFrame:
-        return matchable(self.attributed)
+        # Materialised once: the regex extraction is the heaviest per-row step
+        # and nodes, conflict counts, members and evaluation all read it.
+        return self._ckpt(matchable(self.attributed))
 
     @cached_property
     def keyed(self) -> DataFrame:
