@@ -73,6 +73,12 @@ def score_pairs(nodes: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     decision uses the unrounded score.
     """
     p = rule_pairs(nodes, pairs)
+    # The UDF is CPU-bound: spread it explicitly.  AQE would otherwise coalesce
+    # a byte-small pair table into a few partitions and serialise the Python
+    # work; a numbered repartition is never coalesced.
+    spark = nodes.sparkSession
+    n = max(spark.sparkContext.defaultParallelism * 4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    p = p.repartition(n, "node_id_1", "node_id_2")
     p = p.withColumn("fuzzy", fuzzy_score_udf(F.col("normalized_title_1"), F.col("normalized_title_2")))
     p = p.withColumn("score", R.match_score(F.col("fuzzy"), F.col("attribute"), F.col("emb")))
     # One column per rule so no rule's expression is inlined twice.
