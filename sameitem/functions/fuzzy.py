@@ -10,10 +10,17 @@ and the conflict test, so Python runs on the smallest possible set.
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Ship this module's functions inside the UDF closure, so executors need no
+# installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def lcs_length(a: str, b: str) -> int:
     if not a or not b:
