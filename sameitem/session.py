@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -83,7 +84,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # pragma: no cover - conf not visible in this mode
             configured = None
     if not configured:
-        # Only reached when the session names no shared folder (local tests).
+        # Only a local master may fall back: its driver and tasks see one disk.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="sameitem-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's source to the executors, once per Spark context.
+
+    Spark's file server hands the archive to every executor, also to those
+    that replace lost ones, so nothing has to be installed on them.
+    """
+    sc = spark.sparkContext
+    if sc.master.startswith("local[") or sc.master == "local" or getattr(sc, "_sameitem_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="sameitem-src-")
+    archive = os.path.join(folder, "sameitem-src.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for top, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(top, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    sc._sameitem_shipped = True
