@@ -4,7 +4,8 @@ Spark has no DataFrame connected-components primitive, so this is the
 alternating large-star / small-star algorithm (Kiveris et al., "Connected
 Components in MapReduce and Beyond", SoCC 2014): every round is one
 ``groupBy(min)`` + ``join`` per star step, rounds are O(log^2 n), and the
-edge set shrinks to a star around each component's minimum id.
+edge set shrinks to a star around each component's minimum id.  Whether a
+round changed anything is read from a checksum, not from a set difference.
 
 Each round's edge set is written with ``checkpoint()`` (reliable, into the
 session's ``spark.checkpoint.dir``) so lineage stays short and a lost
@@ -25,21 +26,37 @@ def _canonical(edges: DataFrame) -> DataFrame:
             .where(F.col("src") != F.col("dst")).distinct())
 
 
+def _least_smaller(e: DataFrame) -> DataFrame:
+    """Least smaller neighbour of every node that has one.
+
+    Checkpointed, so that the joins below have plain exchanges on both sides
+    and adaptive execution can split a hub's rows.
+    """
+    return e.groupBy(F.col("dst").alias("node")).agg(F.min("src").alias("least")).checkpoint()
+
+
 def _large_star(e: DataFrame) -> DataFrame:
-    """Connect every larger neighbour of u to the minimum of u's closed neighbourhood."""
-    both = e.select(F.col("src").alias("u"), F.col("dst").alias("v")).unionByName(
-        e.select(F.col("dst").alias("u"), F.col("src").alias("v")))
-    m = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return _canonical(both.join(m, "u").where(F.col("v") > F.col("u"))
-                      .select(F.col("v").alias("src"), F.col("m").alias("dst")))
+    """Connect every larger neighbour of u to the minimum of u's closed neighbourhood.
+
+    u is the smaller end of the edge; only a u with a still smaller neighbour
+    changes anything, so a hub that is its component's minimum joins no row.
+    """
+    m = _least_smaller(e)
+    return _canonical(e.join(m, e["src"] == m["node"], "left")
+                      .select(F.col("dst").alias("src"), F.coalesce("least", "src").alias("dst"))
+                      .unionByName(m.select(F.col("node").alias("src"), F.col("least").alias("dst"))))
 
 
 def _small_star(e: DataFrame) -> DataFrame:
     """Connect u and its smaller neighbours to the minimum of those neighbours."""
-    d = e.select(F.col("dst").alias("u"), F.col("src").alias("v"))  # v < u
-    m = d.groupBy("u").agg(F.min("v").alias("m"))
-    return _canonical(d.join(m, "u").select(F.col("v").alias("src"), F.col("m").alias("dst"))
-                      .unionByName(m.select(F.col("u").alias("src"), F.col("m").alias("dst"))))
+    m = _least_smaller(e)
+    return _canonical(e.join(m, e["dst"] == m["node"]).select("src", F.col("least").alias("dst"))
+                      .unionByName(m.select(F.col("node").alias("src"), F.col("least").alias("dst"))))
+
+
+def _state(e: DataFrame) -> tuple:
+    """Count and order-free checksum of an edge set."""
+    return tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first())
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
@@ -52,11 +69,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     spark = edges.sparkSession
     checkpoint_dir(spark)
     e = _canonical(edges.select(F.col("src").cast("long"), F.col("dst").cast("long"))).checkpoint()
+    state = _state(e)
     for _ in range(max_rounds):
-        nxt = _small_star(_large_star(e)).checkpoint()
-        changed = (nxt.exceptAll(e).limit(1).count() + e.exceptAll(nxt).limit(1).count())
-        e = nxt
-        if changed == 0:
+        e = _small_star(_large_star(e).checkpoint()).checkpoint()
+        before, state = state, _state(e)
+        if state == before:
             break
     else:
         raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
