@@ -6,11 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sameitem.llm.decontamination import op8_decontamination
+from sameitem.llm.html_extraction import op2_html_extraction
+from sameitem.llm.jaccard_join import op4_jaccard_join
+from sameitem.llm.language_id import op3_language_id
+from sameitem.llm.licenses import op6_licenses
+from sameitem.llm.licenses import oracle as licenses_sql
+from sameitem.llm.lm_scoring import op7_lm_scoring
 from sameitem.llm.sentencepiece_codec import op9_sentencepiece
 from sameitem.llm.sharding import op5_sharding
+from sameitem.llm.spotsigs import op10_fingerprints
+from sameitem.llm.toxicity import op1_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_html_extraction": op2_html_extraction,
+    "op3_language_id": op3_language_id,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_sharding": op5_sharding,
+    "op6_licenses": op6_licenses,
+    "op7_lm_scoring": op7_lm_scoring,
+    "op8_decontamination": op8_decontamination,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_fingerprints": op10_fingerprints,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op6_licenses": licenses_sql()}
