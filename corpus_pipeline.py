@@ -33,16 +33,14 @@ LEAST_LANGUAGE = 0.4
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    names = docs.columns
-    scored = toxicity.toxicity(spark, docs, table(spark, sf_dir, "labels"), ~toxicity.held_out(), names)
-    return scored.where(F.col("predicted") == 0).select(*names)
+    scored = toxicity.scored(spark, docs, table(spark, sf_dir, "labels"), ~toxicity.held_out(), docs.columns)
+    return scored.where(F.col("predicted") == 0).select("row.*")
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    names = docs.columns
-    predicted = language_id.language_id(spark, docs, names)
+    predicted = language_id.predicted(spark, docs, docs.columns)
     known = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE)
-    return predicted.where(known).select(*names)
+    return predicted.where(known).select("row.*")
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

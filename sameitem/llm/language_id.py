@@ -25,7 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sameitem.llm.common import batches, prepared, table, utf8
@@ -153,8 +153,6 @@ class ByteCNN:
 
 def fit(docs: DataFrame, learn: Column, sample_docs: int = SAMPLE_DOCS) -> ByteCNN | None:
     """Train on at most ``sample_docs`` documents of each language, chosen by a hash of ``doc_id``."""
-    from pyspark.sql import Window
-
     rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
         F.col("lang").cast("string").alias("lang"), "doc_id",
         # Whole documents are not needed here: the sample takes windows spread over each.
@@ -186,21 +184,21 @@ def fit(docs: DataFrame, learn: Column, sample_docs: int = SAMPLE_DOCS) -> ByteC
 
 
 def predict(spark: SparkSession, docs: DataFrame, model: ByteCNN | None, keep: list[str]) -> DataFrame:
-    """``keep`` columns plus ``lang_pred`` and ``score`` for every whole text."""
+    """``row`` (the ``keep`` columns), ``lang_pred`` and ``score`` for every whole text."""
     shared = spark.sparkContext.broadcast(model)
-    picked = docs.select(*keep, F.col("text").alias("_text"), F.coalesce(
-        F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("_letters"))
-    schema = picked.drop("_text", "_letters").withColumns(
+    picked = docs.select(F.struct(*keep).alias("row"), F.col("text"), F.coalesce(
+        F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
+    schema = picked.drop("text", "letters").withColumns(
         {"lang_pred": F.lit("").cast("string"), "score": F.lit(0.0)}).schema
 
     def run(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cnn = shared.value
         for batch in batches(records, 512):
-            letters = batch.column(len(keep) + 1).to_numpy(zero_copy_only=False)
+            letters = batch.column(2).to_numpy(zero_copy_only=False)
             n = batch.num_rows
             lang, score = np.full(n, UNDETERMINED, dtype=object), np.ones(n)
             if cnn is not None and n:
-                offsets, data = utf8(batch.column(len(keep)))
+                offsets, data = utf8(batch.column(1))
                 total, count = np.zeros((n, len(cnn.langs))), np.zeros(n)
                 for a, b in _spans(offsets):
                     x, owner = text_windows(offsets[a:b + 1] - offsets[a], data[offsets[a]:offsets[b]])
@@ -213,8 +211,8 @@ def predict(spark: SparkSession, docs: DataFrame, model: ByteCNN | None, keep: l
                 for i in np.flatnonzero(letters):
                     lang[i], score[i] = cnn.langs[best[i]], float(p[i])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:len(keep)], pa.array(lang, pa.string()), pc.cast(pa.array(score), pa.float64())],
-                [*keep, "lang_pred", "score"])
+                [batch.column(0), pa.array(lang, pa.string()), pc.cast(pa.array(score), pa.float64())],
+                ["row", "lang_pred", "score"])
 
     return picked.mapInArrow(run, schema)
 
@@ -228,12 +226,18 @@ def _spans(offsets: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]
         a = b
 
 
-def language_id(spark: SparkSession, docs: DataFrame, keep: list[str]) -> DataFrame:
-    """Learn from the documents outside the held-out fold, then predict all of them."""
+def predicted(spark: SparkSession, docs: DataFrame, keep: list[str]) -> DataFrame:
+    """Learn from the documents outside the held-out fold, then predict all of them (``row, lang_pred, score``)."""
     prepared(spark)
     return predict(spark, docs, fit(docs, ~held_out(4, 2)), keep)
 
 
+def language_id(spark: SparkSession, docs: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` columns plus ``lang_pred`` and ``score`` (in place of columns of these names)."""
+    rows = predicted(spark, docs, keep)
+    return rows.select(*[F.col("row")[k].alias(k) for k in keep if k not in ("lang_pred", "score")], "lang_pred", "score")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("long").alias("doc_id"), held_out(4, 2).alias("held_out"), "text", "lang")

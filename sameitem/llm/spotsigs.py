@@ -66,7 +66,9 @@ def signatures(text: Column, anchors: tuple = ANCHORS, passed: tuple = PASSED, c
         return F.substring_index(F.coalesce(F.get(t, i), F.lit("")), _TIE, -1)
 
     def spots(t: Column) -> Column:
-        at = F.filter(F.sequence(F.lit(0), F.size(t) - 1), lambda i: F.contains(F.get(t, i), F.lit(_TIE)))
+        # Anchors without a content word after them, at the text's end, start no chain.
+        at = F.filter(F.sequence(F.lit(0), F.size(t) - 1),
+                      lambda i: F.contains(F.get(t, i), F.lit(_TIE)) & ~F.endswith(F.get(t, i), F.lit(_TIE)))
         return F.transform(at, lambda i: F.xxhash64(F.get(t, i), *[content(t, i + k) for k in range(1, chain)]))
 
     def chosen(w: Column) -> Column:

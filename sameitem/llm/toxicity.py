@@ -341,25 +341,29 @@ def score_texts(net: Network, column: pa.Array) -> np.ndarray:
     return out
 
 
-def toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, learn: Column, keep: list[str],
-             train_docs: DataFrame | None = None) -> DataFrame:
-    """``keep`` columns plus ``score`` and ``predicted`` for every whole text."""
+def scored(spark: SparkSession, docs: DataFrame, labels: DataFrame, learn: Column, keep: list[str]) -> DataFrame:
+    """``row`` (the ``keep`` columns), ``score`` and ``predicted`` for every whole text."""
     prepared(spark)
-    shared = spark.sparkContext.broadcast(fit(train_docs if train_docs is not None else docs, labels, learn))
-    picked = docs.select(*keep, F.col("text").alias("_text"))
-    schema = picked.drop("_text").withColumns({"score": F.lit(0.0), "predicted": F.lit(0)}).schema
+    shared = spark.sparkContext.broadcast(fit(docs, labels, learn))
+    picked = docs.select(F.struct(*keep).alias("row"), F.col("text"))
+    schema = picked.drop("text").withColumns({"score": F.lit(0.0), "predicted": F.lit(0)}).schema
 
     def run(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shared.value
         for batch in batches(records):
-            score = np.zeros(batch.num_rows) if net is None else score_texts(net, batch.column(len(keep)))
+            score = np.zeros(batch.num_rows) if net is None else score_texts(net, batch.column(1))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:len(keep)], pa.array(score), pa.array((score >= 0.5).astype(np.int32))],
-                [*keep, "score", "predicted"])
+                [batch.column(0), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], ["row", "score", "predicted"])
 
     return picked.mapInArrow(run, schema)
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, learn: Column, keep: list[str]) -> DataFrame:
+    """``keep`` columns plus ``score`` and ``predicted`` for every whole text (in place of columns of these names)."""
+    rows = scored(spark, docs, labels, learn, keep)
+    return rows.select(*[F.col("row")[k].alias(k) for k in keep if k not in ("score", "predicted")], "score", "predicted")
+
+
 def held_out(modulus: int = 5, remainder: int = 0) -> Column:
     """``crc32(doc_id as text) mod modulus = remainder``."""
     return F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "UTF-8")) % modulus == remainder
