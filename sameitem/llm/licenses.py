@@ -8,9 +8,8 @@ licence it states, from :data:`HEADER_COSINE` (lines) or :data:`FILE_COSINE`
 directory; a file that states no licence itself inherits that of its nearest
 ancestor directory, by joins on paths.
 
-Lines are first narrowed to those with a *core* term.  :func:`core_terms` picks
-the terms such that a line without any stays below the threshold for every
-template, so the narrowing loses nothing.
+Only texts and lines with one of :data:`KEY_WORDS` are looked at; without such a
+word no line or file counts as a licence, whatever its cosine.
 
 Defined cases: null and empty texts state nothing; a file that states several
 licences has the one of the greatest cosine, then the least name; two licence
@@ -18,7 +17,7 @@ files in a directory: greatest cosine, then least path; rows of one path are one
 file; a null source or lang is the directory ``unknown``; an empty table gives
 no rows; columns other than ``doc_id, source, lang, text`` are not read.
 
-Scale: one scan of the texts; only texts with a core term go on.  Equal lines are
+Scale: one scan of the texts; only texts with a key word go on.  Equal lines are
 scored once.  Directories, not files, look up their ancestors, so a directory
 with a third of all files is one row there; the join back has plain exchanges on
 both sides, which adaptive execution can split.  Only the templates' terms (fixed
@@ -74,9 +73,9 @@ TEMPLATES = (
     ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0"),
     ("Unlicense", "This is free and unencumbered software released into the public domain"),
 )
-# Words too common to narrow lines by.
-_PLAIN = frozenset("a and any are at be by for form forms free from general in is it of on or public source the this to use "
-                   "version v with work work under released 1.0 2 2.0 2.1 3 4.0 29 1991 2004 2007".split())
+# Only a text with one of these words can state a licence.  Every template has one.
+KEY_WORDS = r"licen[cs]e[ds]?|permission|redistribution|apache|gnu|mozilla|cc0|creative|unencumbered"
+KEY_PATTERN = f"(?i)(?<![a-z0-9])(?:{KEY_WORDS})(?![a-z0-9])"
 
 
 def words(text: str) -> list[str]:
@@ -101,21 +100,6 @@ def template_vectors(templates: tuple = TEMPLATES) -> list[dict[str, float]]:
     return out
 
 
-def core_terms(templates: tuple = TEMPLATES, threshold: float = min(HEADER_COSINE, FILE_COSINE)) -> list[str]:
-    """Terms such that a text with none of them has a cosine below ``threshold`` to every template."""
-    vectors = template_vectors(templates)
-    core = {t for v in vectors for t in v if t not in _PLAIN}
-    for v in vectors:
-        rest = sorted((t for t in v if t not in core), key=lambda t: (-v[t], t))
-        while rest and math.sqrt(sum(v[t] ** 2 for t in rest)) >= threshold:
-            core.add(rest.pop(0))
-    return sorted(core)
-
-
-def core_pattern() -> str:
-    return "(?i)(?<![a-z0-9])(?:" + "|".join(re.escape(t) for t in core_terms()) + ")(?![a-z0-9])"
-
-
 def cosines(spark: SparkSession, units: DataFrame, key: str, text: str) -> DataFrame:
     """Best licence of each unit: ``key, license, cosine`` (units that share no term with a template are left out)."""
     idf, other = inverse_frequencies()
@@ -138,10 +122,9 @@ def cosines(spark: SparkSession, units: DataFrame, key: str, text: str) -> DataF
 def scan(spark: SparkSession, files: DataFrame, header_cosine: float = HEADER_COSINE,
          file_cosine: float = FILE_COSINE) -> DataFrame:
     """What each file states itself: ``path, license, cosine, covers`` (``covers``: a licence file)."""
-    pattern = core_pattern()
     named = F.col("path").rlike(FILE_NAMES)
-    near = stage(spark, files.where(F.col("text").rlike(pattern) | named).select("path", "text").distinct(), "licence-texts")
-    lines = (near.select("path", F.explode(F.split("text", "\n")).alias("line")).where(F.col("line").rlike(pattern)).distinct())
+    near = stage(spark, files.where(F.col("text").rlike(KEY_PATTERN) | named).select("path", "text").distinct(), "licence-texts")
+    lines = (near.select("path", F.explode(F.split("text", "\n")).alias("line")).where(F.col("line").rlike(KEY_PATTERN)).distinct())
     lines = stage(spark, lines, "licence-lines")
     scored = stage(spark, cosines(spark, lines.select("line").distinct(), "line", "line")
                    .where(F.col("cosine") >= header_cosine), "licence-scores")
@@ -149,8 +132,6 @@ def scan(spark: SparkSession, files: DataFrame, header_cosine: float = HEADER_CO
     whole = cosines(spark, near, "path", "text")
     named = F.col("path").rlike(FILE_NAMES)
     cover = whole.where((F.col("cosine") >= file_cosine) | named).select("path", "license", "cosine", F.lit(True).alias("covers"))
-    order = F.struct(~F.col("covers"), -F.col("cosine"), F.col("license"))
-    best = Window.partitionBy("path").orderBy(order)
     # A licence file's own statement is that of its whole text, unless a line says it more clearly.
     both = header.unionByName(cover).withColumn("any_cover", F.max("covers").over(Window.partitionBy("path")))
     return (both.withColumn("nth", F.row_number().over(Window.partitionBy("path").orderBy(-F.col("cosine"), "license")))
@@ -204,7 +185,7 @@ def licenses(spark: SparkSession, files: DataFrame) -> DataFrame:
 
 
 #: Documents of one directory.
-DIRECTORY_DOCS = 16
+DIRECTORY_DOCS = 1024
 
 
 def document_files(docs: DataFrame) -> DataFrame:
@@ -250,7 +231,7 @@ files as (select doc_id, concat_ws('/', coalesce(source, 'unknown'), coalesce(la
     coalesce(cast(cast(floor(doc_id / {DIRECTORY_DOCS}.0) as bigint) as varchar), 'unknown'),
     coalesce(cast(doc_id as varchar), 'unknown') || '.txt') as path, text from documents),
 lines as (select distinct path, unnest(string_split(text, chr(10))) as body from files),
-lunit as (select distinct body as u, body from lines where regexp_matches(lower(body), 'licen|permission|redistribution|domain|cc|apache|mit|gnu|bsd|isc|mozilla|commons|{"|".join(core_terms())}')),
+lunit as (select distinct body as u, body from lines where regexp_matches(lower(body), '(^|[^a-z0-9])({KEY_WORDS})([^a-z0-9]|$)')),
 lbest as {best("lunit")},
 header as (select path, license, c, false as covers from lines join lbest on body = u where c >= {HEADER_COSINE}),
 funit as (select distinct path as u, text as body from files where path in (
