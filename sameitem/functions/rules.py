@@ -15,12 +15,14 @@ from pyspark.sql import functions as F
 
 from sameitem.functions.titles import SCORED_FIELDS, SPECIAL_TIERS
 
+# The fields of each test, in test order.
 CONFLICT_FIELDS = ["brand", "model_family", "model_number", "storage", "tier_variant",
                    "display_variant", "connectivity", "ram", "condition"]
 PHONE_IDENTITY = ["brand", "model_family", "model_number", "storage", "tier_variant",
                   "condition", "color"]
 MODEL_IDENTITY = ["brand", "model_family", "model_number", "tier_variant", "display_variant",
                   "connectivity", "ram", "storage", "screen_size", "condition", "color"]
+STRICT_CONDITIONS = ["refurbished", "used"]
 
 # Thresholds, weights and labels of the decision ladder.
 W_FUZZY, W_ATTRIBUTE, W_EMBEDDING = 0.50, 0.35, 0.15
@@ -67,19 +69,26 @@ def conflict_reason() -> Column:
         cond = both_differ(f)
         val = F.lit(f + "_mismatch")
         out = F.when(cond, val) if out is None else out.when(cond, val)
-    strict = F.array(*[F.lit(x) for x in ("refurbished", "used")])
+    strict = F.array(*[F.lit(x) for x in STRICT_CONDITIONS])
     special = ((F.coalesce(F.array_contains(strict, a("condition")), F.lit(False)) & ~eq("condition"))
                | (F.coalesce(F.array_contains(strict, b("condition")), F.lit(False)) & ~eq("condition")))
     return out.when(special, F.lit("condition_mismatch"))
 
 
-def strong_reason(conflict: Column | None = None) -> Column:
-    """Strong identity reason, null when not strong."""
+def strong_reason(conflict: Column | None = None, min_non_null_fields: int = 0) -> Column:
+    """Strong identity reason, null when not strong.
+
+    ``min_non_null_fields``: present fields that the all-fields test needs.  0 is the
+    reference's rule, under which null equals null and titles without any
+    attribute that share a fallback key are the same.
+    """
     conflict = conflict_reason() if conflict is None else conflict
     exact = (a("normalized_title") == b("normalized_title")) & conflict.isNull()
     phone = ((a("category") == "phone") & (b("category") == "phone")
              & _all([eq(f) for f in PHONE_IDENTITY]))
     model = _all([eq(f) for f in MODEL_IDENTITY])
+    if min_non_null_fields:
+        model = model & (sum(a(f).isNotNull().cast("int") for f in MODEL_IDENTITY) >= min_non_null_fields)
     return (F.when(exact, F.lit("exact_normalized_match"))
             .when(phone, F.lit("strong_phone_identity_match"))
             .when(model, F.lit("strong_model_identity_match")))

@@ -150,6 +150,35 @@ def normalize_title(title: Column, aliases=HEBREW_ALIASES) -> Column:
     return _normalize_rest(_alias_words(_lower_strip(title), aliases))
 
 
+def _bind(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once (a bound lambda variable), however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def times_1024(n: Column) -> Column:
+    """Decimal text of a number of any length times 1024, without leading zeros."""
+    ascii_digits = F.translate(n, "٠١٢٣٤٥٦٧٨٩"
+                               "۰۱۲۳۴۵۶۷۸۹", "0123456789" * 2)
+
+    def multiply(x: Column) -> Column:
+        # Chunks of 14 digits from the right, each times 1024 plus the carry.
+        parts = F.sequence(F.lit(0), F.floor((F.length(x) - 1) / 14).cast("int"))
+
+        def add(acc: Column, k: Column) -> Column:
+            end = F.length(x) - k * 14
+            digits = F.substring(x, F.greatest(end - 13, F.lit(1)), F.least(end, F.lit(14)))
+            product = digits.cast("long") * 1024 + acc["carry"]
+            unit = F.lit(10 ** 14)
+            return F.struct(((product - product % unit) / unit).cast("long").alias("carry"),
+                            F.concat(F.lpad((product % unit).cast("string"), 14, "0"), acc["text"]).alias("text"))
+
+        start = F.struct(F.lit(0).cast("long").alias("carry"), F.lit("").alias("text"))
+        total = F.aggregate(parts, start, add, lambda acc: F.concat(acc["carry"].cast("string"), acc["text"]))
+        return F.regexp_replace(total, "^0+(?=.)", "")
+
+    return _bind(ascii_digits, lambda x: F.when(x.rlike("^[0-9]+$"), _bind(x, multiply)).otherwise(x))
+
+
 def _normalize_units(t: Column) -> Column:
     """Storage unit spellings."""
     return F.regexp_replace(t, _rx(r"(\d+)\s*(gb|g|gig|gigabyte)\b"), "$1gb")
@@ -161,14 +190,18 @@ def _normalize_rest(t: Column, staged: bool = False) -> Column:
         t = _normalize_units(t)
     # N tb -> N*1024 gb (computed replacement, one pass per distinct number).
     tb = r"(\d+)\s*tb\b"
-    t = F.when(~t.contains("tb"), t).otherwise(F.aggregate(
-        F.array_distinct(F.regexp_extract_all(t, F.lit(_rx(tb)), 1)),
-        t,
-        lambda acc, n: F.regexp_replace(
-            acc,
-            F.concat(F.lit(U + r"(?<!\d)"), n, F.lit(r"\s*tb\b")),
-            F.concat((n.cast("decimal(38,0)") * 1024).cast("string"), F.lit("gb"))),
-    ))
+
+    def to_gb(x: Column) -> Column:
+        return F.when(~x.contains("tb"), x).otherwise(F.aggregate(
+            F.array_distinct(F.regexp_extract_all(x, F.lit(_rx(tb)), 1)),
+            x,
+            lambda acc, n: F.regexp_replace(
+                acc,
+                F.concat(F.lit(U + r"(?<!\d)"), n, F.lit(r"\s*tb\b")),
+                F.concat(times_1024(n), F.lit("gb"))),
+        ))
+
+    t = _bind(t, to_gb)
     # N5
     t = F.regexp_replace(t, _rx(r"(\d+)\s*ssd\b"), "$1ssd")
     t = F.regexp_replace(t, _rx(r"(\d+)\s*ram\b"), "$1gb ram")

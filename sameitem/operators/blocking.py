@@ -29,11 +29,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Hard-conflict test order (C2); the first field that is non-null on both
-# sides and differs names the reason.
-CONFLICT_FIELDS = ["brand", "model_family", "model_number", "storage", "tier_variant",
-                   "display_variant", "connectivity", "ram", "condition"]
-STRICT_CONDITIONS = ["refurbished", "used"]
+from sameitem.functions.rules import CONFLICT_FIELDS, STRICT_CONDITIONS
+from sameitem.functions.titles import ATTRIBUTES
+
 SEP = "\u0001"
 
 
@@ -111,7 +109,6 @@ def title_nodes(listings: DataFrame) -> DataFrame:
     ``first_seq``, the block, the null pattern and the attributes.  Listings
     without a block can pair with nothing and are left out.
     """
-    from sameitem.functions.titles import ATTRIBUTES
     keyed = listings.withColumn("block", block_id()).where(F.col("block").isNotNull())
     return (keyed.groupBy("normalized_title")
             .agg(F.min("listing_id").alias("node_id"),
@@ -128,14 +125,14 @@ def title_nodes(listings: DataFrame) -> DataFrame:
 def compatible_title_pairs(nodes: DataFrame) -> DataFrame:
     """All pairs of distinct title nodes in one block with no hard conflict.
 
-    Each node is expanded once per null pattern present in its block (at most
-    2^9, in practice a handful) and joined on
+    Each node is expanded once per null pattern of any node (at most 2^9, in
+    practice a handful, read to the driver) and joined on
     ``(block, my pattern, other pattern, strict condition, shared values)``.
-    Output: ``node_id_1 < node_id_2``.
+    Nothing is joined on the block alone, and both sides are plain exchanges,
+    so adaptive execution can split a heavy key.  Output: ``node_id_1 < node_id_2``.
     """
-    block_patterns = nodes.select("block", F.col("pattern").alias("other")).distinct()
     expanded = (nodes.select("block", "node_id", "pattern", "strict_cond", *CONFLICT_FIELDS)
-                .join(block_patterns, "block")
+                .withColumn("other", F.explode(_patterns(nodes)))
                 .select("block", "node_id", "pattern", "other", "strict_cond",
                         projection(F.col("pattern"), F.col("other")).alias("proj")))
     left = expanded.alias("l")
@@ -150,10 +147,27 @@ def compatible_title_pairs(nodes: DataFrame) -> DataFrame:
                                          F.col("r.node_id").alias("node_id_2"))
 
 
-def _pairs_within(n: Column) -> Column:
-    """C(n, 2) in exact integer arithmetic."""
-    d = n.cast("decimal(38,0)")
-    return (d * (d - 1) / 2).cast("long")
+def _patterns(df: DataFrame) -> Column:
+    """The null patterns that occur, as an array literal (at most 2^9 small numbers)."""
+    found = sorted(r["pattern"] for r in df.select("pattern").distinct().collect())
+    return F.array(*[F.lit(p) for p in found]) if found else F.array().cast("array<int>")
+
+
+def big(n: Column) -> Column:
+    """Counts of pairs are decimal(38,0) throughout: they outgrow a long."""
+    return n.cast("decimal(38,0)")
+
+
+def pairs_within(n: Column) -> Column:
+    """C(n, 2), exact: one of n and n - 1 is even and is halved before the product."""
+    n = n.cast("long")
+    even = n % 2 == 0
+    return pair_product(F.shiftright(F.when(even, n).otherwise(n - 1), 1), F.when(even, n - 1).otherwise(n))
+
+
+def pair_product(a: Column, b: Column) -> Column:
+    """Product of two counts, exact."""
+    return big(a.cast("decimal(19,0)") * b.cast("decimal(19,0)"))
 
 
 def candidate_pair_count(listings: DataFrame) -> DataFrame:
@@ -164,15 +178,16 @@ def candidate_pair_count(listings: DataFrame) -> DataFrame:
     keyed = listings.select(block_id().alias("block"), core_storage_key().alias("cs"),
                             F.col("model_family"))
     blocks = (keyed.where(F.col("block").isNotNull()).groupBy("block").count()
-              .agg(F.sum(_pairs_within(F.col("count"))).alias("n")))
+              .agg(F.sum(pairs_within(F.col("count"))).alias("n")))
     cs_all = (keyed.where(F.col("cs").isNotNull()).groupBy("cs").count()
-              .agg(F.sum(_pairs_within(F.col("count"))).alias("n")))
+              .agg(F.sum(pairs_within(F.col("count"))).alias("n")))
     cs_same = (keyed.where(F.col("cs").isNotNull()).groupBy("cs", "model_family").count()
-               .agg(F.sum(_pairs_within(F.col("count"))).alias("n")))
-    parts = (blocks.select(F.coalesce(F.col("n"), F.lit(0)).alias("n"))
-             .unionByName(cs_all.select(F.coalesce(F.col("n"), F.lit(0)).alias("n")))
-             .unionByName(cs_same.select((-F.coalesce(F.col("n"), F.lit(0))).alias("n"))))
-    return parts.agg(F.sum("n").cast("long").alias("candidate_pairs"))
+               .agg(F.sum(pairs_within(F.col("count"))).alias("n")))
+    none = big(F.lit(0))
+    parts = (blocks.select(F.coalesce(F.col("n"), none).alias("n"))
+             .unionByName(cs_all.select(F.coalesce(F.col("n"), none).alias("n")))
+             .unionByName(cs_same.select((-F.coalesce(F.col("n"), none)).alias("n"))))
+    return parts.agg(big(F.sum("n")).alias("candidate_pairs"))
 
 
 def compatible_pair_count_by_level(listings: DataFrame) -> DataFrame:
@@ -190,9 +205,8 @@ def compatible_pair_count_by_level(listings: DataFrame) -> DataFrame:
     # Distinct conflict tuples with their listing counts (partial aggregation).
     tuples = keyed.groupBy("block", "pattern", "strict_cond", *CONFLICT_FIELDS).agg(
         F.count(F.lit(1)).alias("n"))
-    block_patterns = tuples.select("block", F.col("pattern").alias("other")).distinct()
     levels = F.explode(F.sequence(F.lit(0), F.lit(nf + 1))).alias("level")
-    exp = tuples.join(block_patterns, "block").select("*", levels)
+    exp = tuples.withColumn("other", F.explode(_patterns(tuples))).select("*", levels)
     proj = F.concat_ws(
         SEP,
         *[F.when((F.col("level") > i) & (F.col("pattern").bitwiseAND(F.col("other")).bitwiseAND(F.lit(1 << i)) != 0),
@@ -205,10 +219,10 @@ def compatible_pair_count_by_level(listings: DataFrame) -> DataFrame:
     joined = l.join(r, (F.col("l.block") == F.col("r.block")) & (F.col("l.level") == F.col("r.level"))
                     & (F.col("l.pattern") == F.col("r.other")) & (F.col("l.other") == F.col("r.pattern"))
                     & (F.col("l.proj") == F.col("r.proj")) & (F.col("l.pattern") <= F.col("r.pattern")))
-    pairs = F.when(F.col("l.pattern") == F.col("r.pattern"), _pairs_within(F.col("l.s"))) \
-        .otherwise(F.col("l.s") * F.col("r.s"))
+    pairs = F.when(F.col("l.pattern") == F.col("r.pattern"), pairs_within(F.col("l.s"))) \
+        .otherwise(pair_product(F.col("l.s"), F.col("r.s")))
     return (joined.groupBy(F.col("l.block").alias("block"), F.col("l.level").alias("level"))
-            .agg(F.sum(pairs).cast("long").alias("compatible_pairs")))
+            .agg(big(F.sum(pairs)).alias("compatible_pairs")))
 
 
 def conflict_counts(listings: DataFrame) -> DataFrame:
@@ -228,10 +242,40 @@ def conflict_counts(listings: DataFrame) -> DataFrame:
                       (F.col("a.c") - F.col("b.c")).alias("pairs")))
     keyed = listings.select(core_storage_key().alias("cs"), F.col("model_family"))
     cs_all = keyed.where(F.col("cs").isNotNull()).groupBy("cs").count() \
-        .select(_pairs_within(F.col("count")).alias("p"))
+        .select(pairs_within(F.col("count")).alias("p"))
     cs_same = keyed.where(F.col("cs").isNotNull()).groupBy("cs", "model_family").count() \
-        .select((-_pairs_within(F.col("count"))).alias("p"))
+        .select((-pairs_within(F.col("count"))).alias("p"))
     cross = cs_all.unionByName(cs_same).agg(F.sum("p").alias("pairs")) \
-        .select(F.lit("model_family_mismatch").alias("reason"), F.coalesce(F.col("pairs"), F.lit(0)).alias("pairs"))
-    return (within.unionByName(cross).groupBy("reason").agg(F.sum("pairs").cast("long").alias("pairs"))
+        .select(F.lit("model_family_mismatch").alias("reason"), F.coalesce(F.col("pairs"), big(F.lit(0))).alias("pairs"))
+    return (within.unionByName(cross).groupBy("reason").agg(big(F.sum("pairs")).alias("pairs"))
             .where(F.col("pairs") > 0))
+
+
+def variant_conflicts(listings: DataFrame) -> DataFrame:
+    """Hard-conflict rejects whose reason names a variant, one row per pair of attribute tuples.
+
+    Listings of one block with equal conflict fields are one tuple, named by its
+    lowest listing.  Two tuples meet by an equi-join on the fields before the
+    variant, as in :func:`compatible_title_pairs`, so no listing pair is emitted;
+    ``n_pairs`` is the number of listing pairs that a row stands for.
+    """
+    keyed = (listings.withColumn("block", block_id()).where(F.col("block").isNotNull())
+             .withColumn("pattern", null_pattern()))
+    tuples = keyed.groupBy("block", "pattern", *CONFLICT_FIELDS).agg(
+        F.min("listing_id").alias("id"), F.min_by("title", "listing_id").alias("title"), F.count(F.lit(1)).alias("n"))
+    out = None
+    for at, field in enumerate(CONFLICT_FIELDS):
+        if "variant" not in field:
+            continue
+        here = (tuples.where(F.col(field).isNotNull()).withColumn("other", F.explode(_patterns(tuples)))
+                .select("block", "pattern", "other", projection(F.col("pattern"), F.col("other"), upto=at).alias("proj"),
+                        F.col(field).alias("value"), "id", "title", "n"))
+        l, r = here.alias("l"), here.alias("r")
+        met = l.join(r, (F.col("l.block") == F.col("r.block")) & (F.col("l.pattern") == F.col("r.other"))
+                     & (F.col("l.other") == F.col("r.pattern")) & (F.col("l.proj") == F.col("r.proj"))
+                     & (F.col("l.value") != F.col("r.value")) & (F.col("l.id") < F.col("r.id")))
+        rows = met.select(F.col("l.id").alias("listing_id_1"), F.col("r.id").alias("listing_id_2"),
+                          F.col("l.title").alias("title_1"), F.col("r.title").alias("title_2"),
+                          F.lit(field + "_mismatch").alias("reason"), pair_product(F.col("l.n"), F.col("r.n")).alias("n_pairs"))
+        out = rows if out is None else out.unionByName(rows)
+    return out

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sameitem.functions import rules as R
 from sameitem.functions.titles import ATTRIBUTES
-from sameitem.operators.blocking import block_id, core_storage_key
+from sameitem.operators.blocking import big, block_id, core_storage_key
 
 LABEL_SCHEMA = "listing_id_1 int, listing_id_2 int, label int"
 
@@ -56,7 +56,8 @@ def labelled_predictions(labels: DataFrame, listings: DataFrame, final_pairs: Da
     return j.select(F.col("k1").alias("listing_id_1"), F.col("k2").alias("listing_id_2"), "label",
                     decision.alias("decision"), reason.alias("reason"),
                     F.coalesce((decision == "merge").cast("int"), F.lit(0)).alias("pred_label"),
-                    F.col("title_1"), F.col("title_2"))
+                    F.col("title_1"), F.col("title_2"),
+                    F.when(F.col("normalized_title_1") != F.col("normalized_title_2"), F.col("pair_score")).alias("final_score"))
 
 
 def confusion_metrics(pred: DataFrame) -> DataFrame:
@@ -90,15 +91,21 @@ def misclassified(pred: DataFrame) -> DataFrame:
 
 def weighted_decisions(final_pairs: DataFrame, same_title: DataFrame, conflicts: DataFrame) -> DataFrame:
     """All candidate listing pairs as ``decision, reason, pairs`` (G10 source)."""
-    scored = final_pairs.groupBy("decision", "reason").agg(F.sum("n_pairs").alias("pairs"))
-    same = same_title.groupBy("decision", "reason").agg(F.sum("n_pairs").alias("pairs"))
+    scored = final_pairs.groupBy("decision", "reason").agg(big(F.sum("n_pairs")).alias("pairs"))
+    same = same_title.groupBy("decision", "reason").agg(big(F.sum("n_pairs")).alias("pairs"))
     conf = conflicts.select(F.lit("reject").alias("decision"), "reason", "pairs")
     return (scored.unionByName(same).unionByName(conf)
-            .groupBy("decision", "reason").agg(F.sum("pairs").cast("long").alias("pairs")))
+            .groupBy("decision", "reason").agg(big(F.sum("pairs")).alias("pairs")))
 
 
 def decision_counts(weighted: DataFrame) -> DataFrame:
     """Listing pairs per decision, plus the total as ``decision = 'total'``."""
-    per = weighted.groupBy("decision").agg(F.sum("pairs").cast("long").alias("pairs"))
-    total = weighted.agg(F.sum("pairs").cast("long").alias("pairs")).select(F.lit("total").alias("decision"), "pairs")
+    per = weighted.groupBy("decision").agg(big(F.sum("pairs")).alias("pairs"))
+    total = weighted.agg(big(F.sum("pairs")).alias("pairs")).select(F.lit("total").alias("decision"), "pairs")
     return per.unionByName(total)
+
+
+def evaluation_summary(pred: DataFrame, groups: DataFrame) -> DataFrame:
+    """G8-G11 in one row: the confusion metrics and the number of product groups."""
+    total = groups.agg(F.count(F.lit(1)).alias("total_groups"))
+    return confusion_metrics(pred).withColumn("_k", F.lit(1)).join(total.withColumn("_k", F.lit(1)), "_k").drop("_k")

@@ -12,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sameitem.functions.titles import SCORED_FIELDS, completeness, promo_penalty
+from sameitem.functions.titles import completeness, promo_penalty
+from sameitem.session import stage
 
-# Group conflict test order (C12): no colour.
+# Group conflict test order (C12), no colour.
 GROUP_CONFLICT_FIELDS = ["brand", "model_family", "model_number", "tier_variant", "display_variant",
                          "connectivity", "storage", "ram", "screen_size", "condition"]
 SUSPICIOUS_RATIO = 0.5
@@ -27,8 +28,8 @@ def consecutive_ids(df: DataFrame, order_col: str, name: str) -> DataFrame:
     counts into offsets, and add a row number inside each partition.  Only
     the per-partition counts (bounded by the partition count) are broadcast.
     """
-    parts = df.repartitionByRange(order_col).withColumn("_pid", F.spark_partition_id())
-    parts = parts.checkpoint()  # fixes the range bounds and partition ids for both uses
+    # Written once: this fixes the range bounds and partition ids for both uses.
+    parts = stage(df.repartitionByRange(order_col).withColumn("_pid", F.spark_partition_id()), "numbered")
     counts = parts.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
     w = Window.partitionBy("_pid").orderBy(order_col)
@@ -46,21 +47,33 @@ def listing_components(listings: DataFrame, nodes: DataFrame, components: DataFr
             .withColumn("component", F.coalesce("component", "node_id", "listing_id")))
 
 
-def _price_stats(members: DataFrame) -> DataFrame:
-    """G1: median price per component when it has at least two prices."""
-    return members.groupBy("component").agg(
-        F.count("price").alias("_n_prices"),
-        F.median("price").alias("_median"))
+def low_prices(members: DataFrame) -> DataFrame:
+    """Distinct prices per component that lie below half the component's median.
+
+    Prices are counted per (component, price) before the shuffle.  The exact
+    median is read off the running counts, so no component's prices are held in
+    one buffer; components with fewer than two prices have none.
+    """
+    prices = (members.where(F.col("price").isNotNull()).groupBy("component", "price").agg(F.count(F.lit(1)).alias("n")))
+    whole = Window.partitionBy("component")
+    upto = whole.orderBy("price").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    runs = prices.withColumns({"total": F.sum("n").over(whole), "end": F.sum("n").over(upto)})
+    first, second = F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1  # the middle ranks, from 1
+    runs = runs.withColumns({"lower": F.min(F.when(F.col("end") >= first, F.col("price"))).over(whole),
+                             "upper": F.min(F.when(F.col("end") >= second, F.col("price"))).over(whole)})
+    median = (F.col("lower") + F.col("upper")) / 2
+    return runs.where((F.col("total") >= 2) & (F.col("price") < SUSPICIOUS_RATIO * median)).select("component", "price")
 
 
 def flag_suspicious(members: DataFrame) -> DataFrame:
-    """``suspicious_price`` = price below half the group median."""
-    stats = _price_stats(members)
-    return (members.join(stats, "component")
-            .withColumn("suspicious_price",
-                        F.coalesce((F.col("_n_prices") >= 2) & (F.col("price") < SUSPICIOUS_RATIO * F.col("_median")),
-                                   F.lit(False)))
-            .drop("_n_prices", "_median"))
+    """``suspicious_price`` = price below half the group median.
+
+    Joined on (component, price), so a component with a third of all listings
+    is spread over its prices.
+    """
+    low = low_prices(members).withColumn("_low", F.lit(True))
+    return (members.join(low, ["component", "price"], "left")
+            .withColumn("suspicious_price", F.coalesce("_low", F.lit(False))).drop("_low"))
 
 
 def match_metadata(edges: DataFrame, comp_of_node: DataFrame) -> DataFrame:

@@ -14,24 +14,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sameitem.functions import rules as R
-from sameitem.functions.fuzzy import fuzzy_score_udf
+from sameitem.functions.fuzzy import with_fuzzy
 from sameitem.functions.titles import ATTRIBUTES
-from sameitem.operators.blocking import compatible_title_pairs, title_nodes
+from sameitem.operators.blocking import compatible_title_pairs, pair_product, pairs_within
 
+#: Title pairs that one task of the ratios takes.
+PAIRS_PER_TASK = 50_000
 NODE_COLUMNS = ["node_id", "normalized_title", "rep_title", "n_listings", "category", *ATTRIBUTES]
 
 
-def nodes_with_vectors(listings: DataFrame, vectors: DataFrame | None = None) -> DataFrame:
+def nodes_with_vectors(nodes: DataFrame, vectors: DataFrame | None = None) -> DataFrame:
     """Title nodes plus the vector of each title.
 
     A title's vector is the vector of its lowest listing id: the reference
     embeds the normalised title, so one vector per title is its model.
     Only one lookup per title node reaches the vector table.
     """
-    nodes = title_nodes(listings)
     if vectors is None:
         return nodes.withColumn("embedding", F.lit(None).cast("array<float>"))
-    vec = vectors.select(F.col("listing_id").alias("node_id"), "embedding")
+    # One vector a listing, whatever the source holds: the least of them.
+    vec = (vectors.withColumnRenamed("listing_id", "node_id").join(nodes.select("node_id"), "node_id", "left_semi")
+           .groupBy("node_id").agg(F.min("embedding").alias("embedding")))
     return nodes.join(vec, "node_id", "left")
 
 
@@ -57,11 +60,11 @@ def rule_pairs(nodes: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     return p.withColumn("_strong", R.strong_reason(F.col("_conflict")))
 
 
-def strong_edges(nodes: DataFrame) -> DataFrame:
+def strong_edges(nodes: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """Title pairs merged by strong identity (C3) alone, with ``n_pairs``."""
-    p = rule_pairs(nodes).where(F.col("_strong").isNotNull())
+    p = rule_pairs(nodes, pairs).where(F.col("_strong").isNotNull())
     return p.select(F.col("node_id_1").alias("listing_id_1"), F.col("node_id_2").alias("listing_id_2"),
-                    (F.col("n_listings_1") * F.col("n_listings_2")).alias("n_pairs"),
+                    pair_product(F.col("n_listings_1"), F.col("n_listings_2")).alias("n_pairs"),
                     F.lit("merge").alias("decision"), F.col("_strong").alias("reason"))
 
 
@@ -72,14 +75,14 @@ def score_pairs(nodes: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     JVM expressions.  Scores are rounded to 4 digits on output (M5), the
     decision uses the unrounded score.
     """
-    p = rule_pairs(nodes, pairs)
-    # The UDF is CPU-bound: spread it explicitly.  AQE would otherwise coalesce
-    # a byte-small pair table into a few partitions and serialise the Python
-    # work; a numbered repartition is never coalesced.
     spark = nodes.sparkSession
-    n = max(spark.sparkContext.defaultParallelism * 4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    pairs = compatible_title_pairs(nodes) if pairs is None else pairs
+    p = rule_pairs(nodes, pairs)
+    # The ratios are CPU-bound: AQE would coalesce the byte-small pair table into
+    # few partitions.  A numbered repartition is never coalesced; it grows with the pairs.
+    n = max(spark.sparkContext.defaultParallelism, -(-pairs.count() // PAIRS_PER_TASK))
     p = p.repartition(n, "node_id_1", "node_id_2")
-    p = p.withColumn("fuzzy", fuzzy_score_udf(F.col("normalized_title_1"), F.col("normalized_title_2")))
+    p = with_fuzzy(p, "normalized_title_1", "normalized_title_2")
     p = p.withColumn("score", R.match_score(F.col("fuzzy"), F.col("attribute"), F.col("emb")))
     # One column per rule so no rule's expression is inlined twice.
     p = p.withColumn("_flags", R.risk_flags(F.col("score")))
@@ -90,7 +93,7 @@ def score_pairs(nodes: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
         F.col("rep_title_1").alias("title_1"),
         F.col("rep_title_2").alias("title_2"),
         "normalized_title_1", "normalized_title_2",
-        (F.col("n_listings_1") * F.col("n_listings_2")).alias("n_pairs"),
+        pair_product(F.col("n_listings_1"), F.col("n_listings_2")).alias("n_pairs"),
         F.round("fuzzy", 4).alias("fuzzy_score"),
         F.round("emb", 4).alias("embedding_score"),
         F.round("attribute", 4).alias("attribute_score"),
@@ -116,7 +119,7 @@ def same_title_edges(nodes: DataFrame) -> DataFrame:
              + R.W_EMBEDDING * has_vec.cast("double"))
     return (nodes.where(F.col("n_listings") >= 2)
             .select(F.col("node_id").alias("listing_id_1"), F.col("node_id").alias("listing_id_2"),
-                    (F.col("n_listings") * (F.col("n_listings") - 1) / 2).cast("long").alias("n_pairs"),
+                    pairs_within(F.col("n_listings")).alias("n_pairs"),
                     F.round(score, 4).alias("final_score"),
                     F.lit("merge").alias("decision"),
                     F.lit("exact_normalized_match").alias("reason")))

@@ -33,9 +33,6 @@ def parse_price(c: Column) -> Column:
     return F.when(s.rlike(_NUMBER), s.try_cast("double"))
 
 
-_price = parse_price
-
-
 def clean_listings(df: DataFrame) -> DataFrame:
     """Keep non-blank titles that are not the text ``nan`` and positive prices.
 
@@ -43,7 +40,7 @@ def clean_listings(df: DataFrame) -> DataFrame:
     """
     check_required_columns(df)
     title = ustrip(F.col("title"))
-    price = _price(F.col("price"))
+    price = parse_price(F.col("price"))
     keep = (F.col("title").isNotNull() & (title != "") & (F.lower(title) != "nan")
             & price.isNotNull() & (price > 0))
     return df.where(keep)
@@ -61,7 +58,7 @@ def add_quality_flags(df: DataFrame, low_price: float = 200.0, compat: bool = Tr
             c = F.coalesce(c.cast("string"), F.lit("nan"))
         return ustrip(c)
 
-    price = _price(F.col("price"))
+    price = parse_price(F.col("price"))
     title = text("title")
     out = df.withColumns({
         "title": title,
@@ -81,13 +78,27 @@ def add_quality_flags(df: DataFrame, low_price: float = 200.0, compat: bool = Tr
     return out.withColumns(blanks)
 
 
+def latest_listings(df: DataFrame) -> DataFrame:
+    """One row per ``listing_id``: that of the highest ``row_seq`` (the last one read).
+
+    Rows without an id are kept.  Ties take the greatest of (title, price,
+    source, currency).  The aggregate combines rows before the shuffle, so an id
+    that repeats a million times is a few rows there.
+    """
+    order = F.struct("row_seq", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("title", "price", "source", "currency")])
+    named = df.where(F.col("listing_id").isNotNull())
+    last = named.groupBy("listing_id").agg(F.max_by(F.struct(*df.columns), order).alias("_row"))
+    return last.select("_row.*").unionByName(df.where(F.col("listing_id").isNull()))
+
+
 def prepare_listings(df: DataFrame, mode: str = "drop", low_price: float = 200.0,
                      compat: bool = True) -> DataFrame:
     """Cleaned + flagged listings.
 
     ``mode="drop"`` follows the reference code (invalid rows removed before
     flagging); ``mode="flag"`` follows its README (rows kept, flags set).
-    A ``row_seq`` column (input order) is added when absent.
+    A ``row_seq`` column (input order) is added when absent; of rows of one
+    ``listing_id`` the last in that order stays.
     """
     if mode not in ("drop", "flag"):
         raise ValueError("mode must be 'drop' or 'flag'")
@@ -96,6 +107,7 @@ def prepare_listings(df: DataFrame, mode: str = "drop", low_price: float = 200.0
         df = df.withColumn("row_seq", F.col("listing_id").cast("long"))
     if mode == "drop":
         df = clean_listings(df)
+    df = latest_listings(df)
     return add_quality_flags(df, low_price=low_price, compat=compat)
 
 

@@ -68,7 +68,9 @@ def request_json() -> Column:
         product_payload("_2").alias("product_b"),
         evidence.alias("evidence"),
         F.struct(*[F.lit(v).alias(k) for k, v in OUTPUT_FORMAT.items()]).alias("output_format"))
-    return F.to_json(payload, {"ignoreNullFields": "false"})
+    text = F.to_json(payload, {"ignoreNullFields": "false"})
+    # Scores have four digits; Spark writes those below 0.001 as d.0E-4, JSON writers elsewhere as 0.000d.
+    return F.regexp_replace(text, r'(?<=[a-z]":)(-?)(\d)\.0E-4(?=[,}])', r"$10\.000$2")
 
 
 def verdict_requests(pairs_with_nodes: DataFrame) -> DataFrame:
@@ -95,6 +97,12 @@ _SCALAR_TRUE = r"^(true|-?(0*[1-9]\d*(\.\d*)?|0*\.\d*[1-9]\d*|0+\.0*[1-9]\d*)([e
 _SCALAR_FALSE = r"^(false|null|-?0+(\.0*)?([eE][+-]?\d+)?|\"\")$"
 
 
+def api_verdicts(responses: DataFrame) -> DataFrame:
+    """S5 / J-g: verdict table from stored API envelopes ``(listing_id_1, listing_id_2, api_response, error)``."""
+    return responses.select("listing_id_1", "listing_id_2",
+                            F.when(F.col("error").isNull(), response_text(F.col("api_response"))).alias("raw_response"), "error")
+
+
 def parse_verdicts(verdicts: DataFrame) -> DataFrame:
     """J-d, J-e, J-f: raw response text -> ``llm_match, llm_confidence, llm_reason``.
 
@@ -222,7 +230,7 @@ def replay_verdicts(requests: DataFrame) -> DataFrame:
     yes = F.col("_yes")
     m = F.when(yes, "yes").otherwise("no")
     r = F.when(yes, "same model and colour").otherwise("tier variant or colour differs")
-    shape = F.abs(F.xxhash64("listing_id_1", "listing_id_2")) % len(_REPLY_SHAPES)
+    shape = (F.col("listing_id_1") * 7 + F.col("listing_id_2") * 13) % len(_REPLY_SHAPES)
     text = None
     for i, tpl in enumerate(_REPLY_SHAPES):
         parts = tpl.replace("{{", "\u0002").replace("}}", "\u0003").split("{")
@@ -233,6 +241,6 @@ def replay_verdicts(requests: DataFrame) -> DataFrame:
             pieces += [val, F.lit(rest.replace("\u0002", "{").replace("\u0003", "}"))]
         expr = F.concat(*pieces)
         text = F.when(shape == i, expr) if text is None else text.when(shape == i, expr)
-    err = F.when(F.abs(F.xxhash64("listing_id_2", "listing_id_1")) % 13 == 0, F.lit("RateLimitError"))
+    err = F.when((F.col("listing_id_1") * 3 + F.col("listing_id_2") * 5) % 13 == 0, F.lit("RateLimitError"))
     return requests.select("listing_id_1", "listing_id_2",
                            F.when(err.isNull(), text).alias("raw_response"), err.alias("error"))

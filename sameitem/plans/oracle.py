@@ -249,7 +249,7 @@ def candidate_pairs_ctes() -> str:
 def compat_pairs_ctes() -> str:
     """VEC (title vectors), CP (compatible title pairs with rule columns)."""
     vec = ("VEC as (select n.node_id, e.embedding from NODES n join L on L.listing_id = n.node_id "
-           "join embeddings e on e.vec_id = L.true_product % 500)")
+           "join embeddings e on e.vec_id = L.true_product % (select count(*) from embeddings))")
     cos = ("case when va.embedding is not null and vb.embedding is not null "
            "and list_dot_product(va.embedding::DOUBLE[], va.embedding::DOUBLE[]) > 0 "
            "and list_dot_product(vb.embedding::DOUBLE[], vb.embedding::DOUBLE[]) > 0 "

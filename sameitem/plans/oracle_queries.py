@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from sameitem.functions.titles import ATTRIBUTES
 from sameitem.plans import oracle as O
+from sameitem.plans import oracle_full as X
+from sameitem.operators.verdicts import INSTRUCTION, OUTPUT_FORMAT, RULES
 
 DQ = "dq_missing_title, dq_missing_price, dq_nonpositive_price, dq_suspicious_low_price"
 CONF = ", ".join(f"{a}_confidence" for a in ATTRIBUTES)
@@ -59,4 +61,74 @@ def build() -> dict[str, str]:
     sql["document_attributes"] = ("with D as (select doc_id, text from documents),\n"
                                   + O.attribute_ctes("D", "text").strip()
                                   + f" select doc_id, length(normalized_title)::INT as normalized_length, {ATTR}, category from A")
+    sql.update(_scored())
     return sql
+
+
+def _scored() -> dict[str, str]:
+    """Oracles of everything above the ratios."""
+    scored = _base() + ",\n" + X.pair_ctes() + ",\n" + X.fuzzy_ctes().strip() + ",\n" + X.decision_ctes().strip()
+    answered = scored + ",\n" + X.verdict_ctes().strip()
+    final = answered + ",\n" + X.final_ctes().strip()
+    weighted = final + ",\n" + X.weighted_ctes()
+    grouped = final + ",\n" + X.component_ctes()
+    groups = grouped + ",\n" + X.metadata_ctes() + ",\n" + O.groups_select()
+    predicted = final + ",\n" + O.gold_ctes() + ",\n" + X.prediction_ctes()
+    routed = "answered"
+    verdict = (f"conf as llm_confidence, m as llm_raw_decision, case when {routed} then 'v4_evidence_routed' end as llm_prompt_version, "
+               f"case when {routed} then route end as llm_route, "
+               f"case when {routed} then 'v2_routed_llm_verifier_guarded_yes_merge' end as pipeline_version, "
+               f"case when {routed} then 'fuzzy50_attr35_embed15' end as score_version, "
+               f"case when {routed} then case when route = 'llm_verify' then 'verify' else 'review' end end as review_bucket")
+    numbered = ("GN as (select row_number() over (order by first_seq)::BIGINT as group_id, * from G join CAN using (component) "
+                "left join MD using (component))")
+    ratio = lambda n, d: f"coalesce(round(({n})::DOUBLE / nullif({d}, 0), 6), 0.0)"
+    counts = ("select count(*)::BIGINT as evaluated_pairs, count(*) filter (where label = 1 and pred_label = 1)::BIGINT as tp, "
+              "count(*) filter (where label = 0 and pred_label = 1)::BIGINT as fp, "
+              "count(*) filter (where label = 0 and pred_label = 0)::BIGINT as tn, "
+              "count(*) filter (where label = 1 and pred_label = 0)::BIGINT as fn")
+    ratios = (f"{ratio('tp', 'tp + fp')} as precision, {ratio('tp', 'tp + fn')} as recall, "
+              f"{ratio('tp + tn', 'evaluated_pairs')} as accuracy, {ratio('fp', 'tp + fp')} as false_merge_rate")
+    variant = "(decision = 'reject' and contains(lower(reason), 'variant'))"
+    summary = ("LLM correctly rejected base vs special variant pairs")
+    return {
+        "fuzzy_scores": scored + " select id1 as listing_id_1, id2 as listing_id_2, fuzzy_score, final_score from SC",
+        "match_decisions": final + " select id1 as listing_id_1, id2 as listing_id_2, title_1, title_2, normalized_title_1, "
+        "normalized_title_2, n_pairs::BIGINT as n_pairs, fuzzy_score, embedding_score, attribute_score, final_score, decision, reason, "
+        + verdict + " from FP",
+        "decision_counts": weighted + " select decision, sum(pairs)::BIGINT as pairs from WD group by decision "
+        "union all select 'total', sum(pairs)::BIGINT from WD",
+        "reason_counts": weighted + " select decision, reason, pairs from WD",
+        "verdict_requests": scored + ",\n" + X.request_ctes(INSTRUCTION, RULES, OUTPUT_FORMAT)
+        + " select id1 as listing_id_1, id2 as listing_id_2, review_bucket, request_json from RQ",
+        "verdict_parse": answered + " select id1 as listing_id_1, id2 as listing_id_2, m as llm_match, conf as llm_confidence, "
+        "r as llm_reason from VD",
+        "components": grouped + " select listing_id, component from LC",
+        "product_groups": groups + ",\n" + numbered + " select group_id, canonical_title, n_listings, sources, min_price, currency, "
+        "coalesce(match_source, 'singleton') as match_source, coalesce(confidence, 1.0) as confidence, "
+        "group_conflict_reason <> 'no_conflict' as group_conflict, group_conflict_reason, n_suspicious_low_price from GN",
+        "group_members": groups + ",\n" + numbered + " select group_id, listing_id, row_seq, title, price, source, susp as suspicious_price, "
+        "dq_suspicious_low_price as suspicious_low_price from LF join GN using (component)",
+        "evaluation_metrics": predicted + f", MT as ({counts} from PD) select *, {ratios} from MT",
+        "evaluation_summary": predicted + ",\n" + X.component_ctes() + f", MT as ({counts} from PD) select *, {ratios}, "
+        "(select count(distinct component) from LC)::BIGINT as total_groups from MT",
+        "misclassified_pairs": predicted + " select *, case when label = 0 then 'false_positive' else 'false_negative' end as error_kind "
+        "from PD where label <> pred_label",
+        "verdict_usage": weighted + " select (select sum(pairs) from WD)::BIGINT as total_pairs, "
+        "coalesce((select sum(n_pairs) from FP where answered), 0)::BIGINT as llm_used, "
+        "coalesce(round(100.0 * coalesce((select sum(n_pairs) from FP where answered), 0)::DOUBLE / "
+        "nullif((select sum(pairs) from WD)::DOUBLE, 0), 2), 0.0)::DOUBLE as llm_used_pct",
+        "route_breakdown": final + " select route as llm_route, sum(n_pairs)::BIGINT as count from FP where answered group by route",
+        "verdict_summary": final + " select decision, sum(n_pairs)::BIGINT as pairs, (select round(sum(conf * n_pairs)::DOUBLE / "
+        "sum(n_pairs)::DOUBLE, 3) from FP where conf is not null) as mean_llm_confidence, coalesce((select sum(n_pairs) from FP "
+        "where contains(reason, 'llm_rule_disagreement')), 0)::BIGINT as disagreements, coalesce((select sum(n_pairs) from FP where answered), 0)::BIGINT as llm_used "
+        "from FP where starts_with(reason, 'llm_') group by decision",
+        "variant_confusion": weighted + ",\n" + X.variant_ctes() + " select *, 'variant_confusion' as error_type from VC",
+        "error_analysis": weighted + ",\n" + X.variant_ctes() + " select 'SUMMARY' as listing_id_1, 'total: ' || (select coalesce(sum(pairs), 0) "
+        f"from WD where {variant})::VARCHAR as listing_id_2, '' as title_1, '' as title_2, '' as final_score, '' as llm_raw_decision, "
+        f"'' as llm_confidence, 'variant_confusion cases — {summary}' as reason, (select coalesce(sum(pairs), 0) from WD where {variant})::VARCHAR "
+        "as n_pairs, 'variant_confusion' as error_type union all select listing_id_1::VARCHAR, listing_id_2::VARCHAR, title_1, title_2, "
+        "final_score::VARCHAR, llm_raw_decision, llm_confidence::VARCHAR, reason, n_pairs::VARCHAR, 'variant_confusion' from VC",
+        "top_reject_reasons": weighted + f" select 'variant_confusion' as error_type, reason, pairs from WD where {variant} "
+        "order by pairs desc, reason limit 5",
+    }

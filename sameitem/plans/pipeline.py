@@ -2,7 +2,7 @@
 
 ``Run`` holds every intermediate as an attribute built on first use, so a
 query that needs only the attributed listings never plans the pair join,
-and a query that needs groups reuses the checkpointed pair table.
+and a query that needs groups reuses the staged pair table.
 """
 
 from __future__ import annotations
@@ -12,13 +12,14 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sameitem.functions.titles import with_attributes
+from sameitem.functions.titles import ATTRIBUTES, with_attributes
 from sameitem.operators import analysis, evaluation, groups, verdicts
-from sameitem.operators.blocking import block_keys, candidate_pair_count, conflict_counts
+from sameitem.operators.blocking import (block_keys, candidate_pair_count, compatible_title_pairs, conflict_counts,
+                                         title_nodes, variant_conflicts)
 from sameitem.operators.components import connected_components
 from sameitem.operators.matching import nodes_with_vectors, same_title_edges, score_pairs
 from sameitem.operators.quality import matchable, prepare_listings
-from sameitem.session import checkpoint_dir, configure
+from sameitem.session import configure, ship_package, stage
 from sameitem.sources import fixture
 
 
@@ -31,15 +32,14 @@ class Run:
     """
 
     def __init__(self, spark: SparkSession, raw: DataFrame, vectors: DataFrame | None = None,
-                 labels: DataFrame | None = None, verdict_source=None, mode: str = "drop",
-                 checkpoint: bool = True):
+                 labels: DataFrame | None = None, verdict_source=None, mode: str = "drop"):
         self.spark = configure(spark)
+        ship_package(spark)
         self.raw = raw
         self.vectors = vectors
         self.labels = labels
         self.verdict_source = verdict_source
         self.mode = mode
-        self.checkpoint = checkpoint
 
     @classmethod
     def from_fixture(cls, spark: SparkSession, sf_dir: str, verdict_source="replay", **kw) -> "Run":
@@ -47,12 +47,6 @@ class Run:
         return cls(spark, raw, vectors=fixture.listing_vectors(spark, sf_dir, raw),
                    labels=fixture.gold_pairs(spark, sf_dir), verdict_source=verdict_source, **kw)
 
-    def _ckpt(self, df: DataFrame) -> DataFrame:
-        if not self.checkpoint:
-            return df
-        checkpoint_dir(self.spark)
-        return df.checkpoint()
-
     # -- listings -------------------------------------------------------
     @cached_property
     def attributed(self) -> DataFrame:
@@ -62,20 +56,36 @@ class Run:
     def listings(self) -> DataFrame:
         # Materialised once: the regex extraction is the heaviest per-row step
         # and nodes, conflict counts, members and evaluation all read it.
-        return self._ckpt(matchable(self.attributed))
+        # Only the columns that they use are written, and each of them reads only its own.
+        keep = ["listing_id", "row_seq", "title", "price", "source", "currency", "dq_suspicious_low_price",
+                "normalized_title", "category", *ATTRIBUTES]
+        return stage(matchable(self.attributed).select(*keep), "listings")
 
     @cached_property
     def keyed(self) -> DataFrame:
         return block_keys(self.listings)
 
     # -- pairs ------------------------------------------------------------
+    @cached_property
+    def title_nodes(self) -> DataFrame:
+        return stage(title_nodes(self.listings), "title-nodes")
+
+    @cached_property
+    def title_nodes_only(self) -> DataFrame:
+        """Title nodes without vectors, for rules that don't use them."""
+        return nodes_with_vectors(self.title_nodes)
+
     @cached_property
     def nodes(self) -> DataFrame:
-        return nodes_with_vectors(self.listings, self.vectors)
+        return nodes_with_vectors(self.title_nodes, self.vectors)
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        return stage(compatible_title_pairs(self.title_nodes), "title-pairs")
 
     @cached_property
     def scored(self) -> DataFrame:
-        return self._ckpt(score_pairs(self.nodes))
+        return stage(score_pairs(self.nodes, self.pairs), "scored-pairs")
 
     @cached_property
     def requests(self) -> DataFrame:
@@ -119,12 +129,12 @@ class Run:
     @cached_property
     def components(self) -> DataFrame:
         e = self.merge_edges.where(F.col("listing_id_1") != F.col("listing_id_2"))
-        return self._ckpt(connected_components(
-            e.select(F.col("listing_id_1").alias("src"), F.col("listing_id_2").alias("dst"))))
+        return stage(connected_components(
+            e.select(F.col("listing_id_1").alias("src"), F.col("listing_id_2").alias("dst"))), "components")
 
     @cached_property
     def members(self) -> DataFrame:
-        return groups.listing_components(self.listings, self.nodes, self.components)
+        return stage(groups.listing_components(self.listings, self.title_nodes, self.components), "members")
 
     @cached_property
     def groups(self) -> DataFrame:
@@ -135,6 +145,10 @@ class Run:
     def group_members(self) -> DataFrame:
         return groups.group_members(self.members, self.groups)
 
+    @cached_property
+    def variant_conflicts(self) -> DataFrame:
+        return variant_conflicts(self.listings)
+
     # -- evaluation / analysis ---------------------------------------------
     @cached_property
     def predictions(self) -> DataFrame:

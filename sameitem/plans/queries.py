@@ -1,10 +1,9 @@
 """Registered queries: each takes ``(spark, sf_dir)`` and returns a DataFrame.
 
 Every query reads the driver tables (``part``, ``embeddings``, ``documents``)
-or data Spark derives from them, over whole tables and whole texts.
-Queries whose result depends on the fuzzy-ratio UDF have no SQL oracle
-(DuckDB has no Indel ratio); they are checked against a brute-force Python
-implementation in ``tests/``.
+or data Spark derives from them, over whole tables and whole texts, and has a
+DuckDB oracle (:mod:`sameitem.plans.oracle_queries`).  The operators count pairs
+as decimal(38,0); the queries show them as longs, which the oracle has too.
 """
 
 from __future__ import annotations
@@ -28,6 +27,10 @@ DQ = ["dq_missing_title", "dq_missing_price", "dq_nonpositive_price", "dq_suspic
 CONF = [f"{a}_confidence" for a in ATTRIBUTES]
 
 
+def _long(df: DataFrame, *cols: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("long") for c in cols})
+
+
 def _run(spark: SparkSession, sf_dir: str, **kw) -> Run:
     return Run.from_fixture(configure(spark), sf_dir, **kw)
 
@@ -59,16 +62,16 @@ def q_block_keys(spark, sf_dir):
 
 
 def q_candidate_pair_count(spark, sf_dir):
-    return _run(spark, sf_dir).candidate_count
+    return _long(_run(spark, sf_dir).candidate_count, "candidate_pairs")
 
 
 def q_conflict_counts(spark, sf_dir):
-    return _run(spark, sf_dir).conflicts
+    return _long(_run(spark, sf_dir).conflicts, "pairs")
 
 
 def q_compatible_pairs(spark, sf_dir):
     r = _run(spark, sf_dir)
-    return rule_pairs(r.nodes).select(
+    return rule_pairs(r.nodes, r.pairs).select(
         F.col("node_id_1").alias("listing_id_1"), F.col("node_id_2").alias("listing_id_2"),
         (F.col("n_listings_1") * F.col("n_listings_2")).alias("n_pairs"),
         F.round("attribute", 4).alias("attribute_score"),
@@ -78,9 +81,9 @@ def q_compatible_pairs(spark, sf_dir):
 
 def _strong_run(spark, sf_dir):
     r = _run(spark, sf_dir)
-    se = strong_edges(r.nodes).select("listing_id_1", "listing_id_2")
+    se = strong_edges(r.title_nodes_only, r.pairs).select("listing_id_1", "listing_id_2")
     comps = connected_components(se.select(F.col("listing_id_1").alias("src"), F.col("listing_id_2").alias("dst")))
-    members = groups.listing_components(r.listings, r.nodes, comps)
+    members = groups.listing_components(r.listings, r.title_nodes, comps)
     return r, members
 
 
@@ -103,7 +106,7 @@ def q_gold_pairs(spark, sf_dir):
 
 def q_strong_evaluation(spark, sf_dir):
     r = _run(spark, sf_dir)
-    se = strong_edges(r.nodes).withColumn("final_score", F.lit(None).cast("double"))
+    se = strong_edges(r.title_nodes_only, r.pairs).withColumn("final_score", F.lit(None).cast("double"))
     pred = evaluation.labelled_predictions(r.labels, r.listings, se)
     return evaluation.confusion_metrics(pred)
 
@@ -115,7 +118,7 @@ def q_document_attributes(spark, sf_dir):
     return a.select("doc_id", F.length("normalized_title").alias("normalized_length"), *ATTRIBUTES, "category")
 
 
-# -- full pipeline (fuzzy UDF inside: rows-only check + Python brute force in tests)
+# -- full pipeline
 def q_fuzzy_scores(spark, sf_dir):
     return _run(spark, sf_dir).scored.select("listing_id_1", "listing_id_2", "fuzzy_score", "final_score")
 
@@ -125,15 +128,15 @@ def q_match_decisions(spark, sf_dir):
             "n_pairs", "fuzzy_score", "embedding_score", "attribute_score", "final_score", "decision", "reason",
             "llm_confidence", "llm_raw_decision", "llm_prompt_version", "llm_route", "pipeline_version",
             "score_version", "review_bucket"]
-    return _run(spark, sf_dir).final_pairs.select(*cols)
+    return _long(_run(spark, sf_dir).final_pairs.select(*cols), "n_pairs")
 
 
 def q_decision_counts(spark, sf_dir):
-    return _run(spark, sf_dir).decision_counts()
+    return _long(_run(spark, sf_dir).decision_counts(), "pairs")
 
 
 def q_reason_counts(spark, sf_dir):
-    return _run(spark, sf_dir).weighted
+    return _long(_run(spark, sf_dir).weighted, "pairs")
 
 
 def q_verdict_requests(spark, sf_dir):
@@ -163,33 +166,39 @@ def q_evaluation_metrics(spark, sf_dir):
     return _run(spark, sf_dir).metrics
 
 
+def q_evaluation_summary(spark, sf_dir):
+    r = _run(spark, sf_dir)
+    return evaluation.evaluation_summary(r.predictions, r.groups)
+
+
 def q_misclassified_pairs(spark, sf_dir):
     return evaluation.misclassified(_run(spark, sf_dir).predictions)
 
 
 def q_verdict_usage(spark, sf_dir):
-    return _run(spark, sf_dir).usage()
+    return _long(_run(spark, sf_dir).usage(), "total_pairs", "llm_used")
 
 
 def q_route_breakdown(spark, sf_dir):
-    return analysis.route_breakdown(_run(spark, sf_dir).final_pairs)
+    return _long(analysis.route_breakdown(_run(spark, sf_dir).final_pairs), "count")
 
 
 def q_verdict_summary(spark, sf_dir):
-    return analysis.verdict_summary(_run(spark, sf_dir).final_pairs)
+    return _long(analysis.verdict_summary(_run(spark, sf_dir).final_pairs), "pairs", "disagreements", "llm_used")
 
 
 def q_variant_confusion(spark, sf_dir):
-    return analysis.variant_confusion(_run(spark, sf_dir).final_pairs)
+    r = _run(spark, sf_dir)
+    return _long(analysis.variant_confusion(r.final_pairs, r.variant_conflicts), "n_pairs")
 
 
 def q_error_analysis(spark, sf_dir):
     r = _run(spark, sf_dir)
-    return analysis.error_analysis_table(r.final_pairs, r.weighted)
+    return analysis.error_analysis_table(r.final_pairs, r.weighted, r.variant_conflicts)
 
 
 def q_top_reject_reasons(spark, sf_dir):
-    return analysis.top_reject_reasons(_run(spark, sf_dir).weighted)
+    return _long(analysis.top_reject_reasons(_run(spark, sf_dir).weighted), "pairs")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -217,6 +226,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "product_groups": q_product_groups,
     "group_members": q_group_members,
     "evaluation_metrics": q_evaluation_metrics,
+    "evaluation_summary": q_evaluation_summary,
     "misclassified_pairs": q_misclassified_pairs,
     "verdict_usage": q_verdict_usage,
     "route_breakdown": q_route_breakdown,

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -25,15 +26,12 @@ DEFAULT_CONF = {
 # Runtime settings every job of this package relies on (set on the active
 # session, so they also apply to a session the caller built).
 RUNTIME_CONF = {
-    # Wide attribute projections under filters make constraint propagation
-    # grow combinatorially in the analyzer; it buys nothing for these plans.
-    "spark.sql.constraintPropagation.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 # Local runs only: the driver JVM is the executor, so give it the heap.
 LOCAL_CONF = {
-    "spark.driver.memory": os.environ.get("SAMEITEM_DRIVER_MEMORY", "16g"),
+    "spark.driver.memory": os.environ.get("SAMEITEM_DRIVER_MEMORY", "8g"),
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }
 
@@ -92,6 +90,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back.
+
+    Cuts lineage like a checkpoint, but readers prune columns, push filters
+    down and see sizes.  A lost executor costs no more than its running tasks.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stage/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package's source to the executors, once per Spark context.
 

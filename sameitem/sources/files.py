@@ -1,4 +1,4 @@
-"""Listing CSV source and result sinks (S1 partial, S2, K1-K5).
+"""Listing CSV source and result sinks.
 
 The CSV reader takes an explicit schema (price as text, cast later by the
 quality rules) and maps the NA spellings of the reference's CSV reader to
@@ -8,6 +8,9 @@ JSON text because the CSV writer rejects arrays.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,24 +20,85 @@ NA_VALUES = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
              "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 
-def read_listings_csv(spark: SparkSession, paths, encoding: str = "UTF-8") -> DataFrame:
-    """Listings from CSV files with a header, NA spellings -> null."""
+# Charsets tried in order for a feed file, as Python and Java name them.
+CHARSETS = (("utf-8", "UTF-8"), ("utf-8-sig", "UTF-8"), ("cp1255", "windows-1255"), ("iso-8859-8", "ISO-8859-8"),
+            ("cp1252", "windows-1252"), ("latin1", "ISO-8859-1"))
+
+
+def detect_charset(content: bytes) -> str:
+    """The first charset (Java name) that decodes every byte."""
+    for name, java in CHARSETS:
+        try:
+            content.decode(name)
+            return java
+        except UnicodeDecodeError:
+            continue
+    raise ValueError("no charset fits")  # not reached: latin1 takes any byte
+
+
+def file_charsets(spark: SparkSession, paths) -> DataFrame:
+    """``path, charset`` of every feed file under ``paths``, one row a file."""
+    files = spark.read.format("binaryFile").load(paths).select("path", "content")
+
+    def run(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in records:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([detect_charset(c.as_py()) for c in batch.column(1)])], ["path", "charset"])
+
+    return files.mapInArrow(run, "path string, charset string")
+
+
+def read_listings_csv(spark: SparkSession, paths, encoding: str = "UTF-8", multi_line: bool = True) -> DataFrame:
+    """Listings from CSV files with a header, NA spellings -> null.
+
+    Quotes inside quoted fields are doubled.  ``multi_line=False`` splits files
+    between tasks, for feeds without line breaks inside fields.  A malformed row
+    ends the job (``FAILFAST``) rather than becoming a row of nulls.
+    """
     df = (spark.read.schema(LISTING_SCHEMA).option("header", True).option("encoding", encoding)
-          .option("multiLine", True).csv(paths))
+          .option("quote", '"').option("escape", '"').option("mode", "FAILFAST")
+          .option("multiLine", multi_line).csv(paths))
     na = F.array(*[F.lit(x) for x in NA_VALUES])
     return df.select("listing_id", *[
         F.when(F.array_contains(na, F.col(c)), F.lit(None)).otherwise(F.col(c)).alias(c)
         for c in ("title", "price", "source", "currency")])
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """K1-K5: overwrite ``path``; CSV gets a header and JSON text for arrays."""
+def read_listing_feeds(spark: SparkSession, paths, multi_line: bool = True) -> DataFrame:
+    """Listings from feed files of mixed charsets: one read per charset, put together.
+
+    The driver holds the files' names and charsets, no content.
+    """
+    found: dict[str, list[str]] = {}
+    for row in file_charsets(spark, paths).collect():
+        found.setdefault(row["charset"], []).append(row["path"])
+    if any(c.startswith("windows") or c == "ISO-8859-8" for c in found):
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # else Spark reads no such charset
+    out = None
+    for charset in sorted(found):
+        part = read_listings_csv(spark, sorted(found[charset]), charset, multi_line)
+        out = part if out is None else out.unionByName(part)
+    return out if out is not None else spark.createDataFrame([], LISTING_SCHEMA)
+
+
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", order: list[str] | None = None, bom: bool = False,
+                partition_by: str | None = None) -> None:
+    """K1-K5: overwrite ``path``, sorted by ``order``; CSV gets a header and JSON text for arrays.
+
+    ``bom=True`` puts U+FEFF before the CSV's first column name.
+    """
+    if order:
+        df = df.orderBy(*order)
+    writer = df.write
     if fmt == "csv":
         arrays = [f.name for f in df.schema.fields if f.dataType.typeName() == "array"]
         df = df.withColumns({c: F.to_json(c) for c in arrays})
-        df.write.mode("overwrite").option("header", True).csv(path)
-    else:
-        df.write.mode("overwrite").format(fmt).save(path)
+        if bom:
+            df = df.withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0])
+        writer = df.write.option("header", True).option("quote", '"').option("escape", '"')
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.mode("overwrite").format(fmt).save(path)
 
 
 def write_outputs(run, out_dir: str, fmt: str = "parquet") -> None:
@@ -43,11 +107,12 @@ def write_outputs(run, out_dir: str, fmt: str = "parquet") -> None:
     write_table(run.final_pairs.drop(*[c for c in run.final_pairs.columns if c.endswith(("_1", "_2"))
                                        and c not in ("listing_id_1", "listing_id_2", "title_1", "title_2",
                                                      "normalized_title_1", "normalized_title_2")]),
-                f"{out_dir}/match_decisions", fmt)
-    write_table(run.groups, f"{out_dir}/grouped_products", fmt)
-    write_table(run.group_members, f"{out_dir}/group_members", fmt)
-    write_table(run.attributed, f"{out_dir}/products_with_attributes", fmt)
+                f"{out_dir}/match_decisions", fmt, ["listing_id_1", "listing_id_2"])
+    write_table(run.groups, f"{out_dir}/grouped_products", fmt, ["group_id"])
+    write_table(run.group_members, f"{out_dir}/group_members", fmt, ["group_id", "row_seq"])
+    write_table(run.attributed, f"{out_dir}/products_with_attributes", fmt, ["row_seq"])
     write_table(run.usage(), f"{out_dir}/llm_usage_summary", fmt)
-    write_table(analysis.error_analysis_table(run.final_pairs, run.weighted), f"{out_dir}/llm_error_analysis", fmt)
-    if run.verdict_table is not None:
-        write_table(run.requests, f"{out_dir}/verdict_outbox", fmt)
+    write_table(analysis.error_analysis_table(run.final_pairs, run.weighted, run.variant_conflicts),
+                f"{out_dir}/llm_error_analysis", fmt)
+    # The requests are what a first run is for: there are no verdicts yet.
+    write_table(run.requests, f"{out_dir}/verdict_outbox", fmt, partition_by="review_bucket")

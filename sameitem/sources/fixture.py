@@ -68,7 +68,7 @@ def fixture_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listing_vectors(spark: SparkSession, sf_dir: str, listings: DataFrame | None = None) -> DataFrame:
-    """Per-listing vectors: ``embeddings.vec_id = true_product % 500``.
+    """Per-listing vectors: ``embeddings.vec_id = true_product modulo the number of vectors``.
 
     The embeddings table is small per vec_id but the join is a plain equi
     join; Spark broadcasts it only when its measured size is under the
@@ -76,7 +76,8 @@ def listing_vectors(spark: SparkSession, sf_dir: str, listings: DataFrame | None
     """
     listings = listings if listings is not None else fixture_listings(spark, sf_dir)
     emb = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return (listings.select("listing_id", (F.col("true_product") % 500).alias("vec_id"))
+    vectors = max(1, emb.count())
+    return (listings.select("listing_id", (F.col("true_product") % vectors).alias("vec_id"))
             .join(emb, "vec_id", "inner")
             .select("listing_id", "embedding"))
 
