@@ -146,7 +146,7 @@ def _lower_strip(title: Column) -> Column:
 
 
 def normalize_title(title: Column, aliases=HEBREW_ALIASES) -> Column:
-    """N1-N9 as one expression (see :func:`with_normalized_title` for the staged form)."""
+    """N1-N9 as one expression."""
     return _normalize_rest(_alias_words(_lower_strip(title), aliases))
 
 
@@ -317,34 +317,25 @@ def attribute_columns(normalized: Column) -> dict[str, Column]:
     return cols
 
 
-def with_normalized_title(df, title_col: str = "title", aliases=HEBREW_ALIASES, name: str = "normalized_title"):
-    """Append the normalised title behind a one-row ``inline`` (a Generate node).
-
-    The Generate is a plan barrier: the scan planner folds every Project
-    above a scan into one, inlining aliases, which would copy the whole
-    normalisation chain into each of the ~60 extractor expressions.  Above
-    the barrier the extractors read the computed column.  No shuffle, no
-    materialisation.
-    """
-    nt = normalize_title(F.coalesce(F.col(title_col), F.lit("")), aliases)
-    return df.select("*", F.inline(F.array(F.struct(nt.alias(name)))))
-
-
 def with_attributes(df, title_col: str = "title", aliases=HEBREW_ALIASES):
     """Append ``normalized_title``, 11 attributes, ``category`` and 11 confidences.
 
-    Two projections: the normalised title is computed once and the extractors
-    read it (Catalyst collapses adjacent projects but keeps the common
-    sub-expression in one codegen stage).
+    The title is normalised once, bound to a lambda variable and read by all
+    extractors in one ``inline``.  As expressions of a projection they would copy
+    the normalisation into each of the ~60 patterns and outgrow a generated method.
     """
-    df = with_normalized_title(df, title_col, aliases)
-    attrs = attribute_columns(F.col("normalized_title"))
-    df = df.withColumns(attrs)
-    extra = {"model_number": extract_model_number(F.col("normalized_title"), F.col("model_family")),
-             "category": infer_category(F.col("model_family"))}
-    for a in ATTRIBUTES:
-        extra[f"{a}_confidence"] = F.when(F.col(a).isNotNull(), F.lit("high")).otherwise(F.lit("missing"))
-    return df.withColumns(extra)
+    nt = normalize_title(F.coalesce(F.col(title_col), F.lit("")), aliases)
+    found = F.transform(F.array(nt), lambda t: F.struct(
+        t.alias("normalized_title"), *[c.alias(k) for k, c in attribute_columns(t).items()]))
+    rest = [k for k in attribute_columns(nt) if k != "model_family"]
+    rows = F.transform(found, lambda s: F.struct(
+        s["normalized_title"].alias("normalized_title"), s["model_family"].alias("model_family"),
+        *[s[k].alias(k) for k in rest],
+        extract_model_number(s["normalized_title"], s["model_family"]).alias("model_number"),
+        infer_category(s["model_family"]).alias("category")))
+    df = df.select("*", F.inline(rows))
+    return df.withColumns({f"{a}_confidence": F.when(F.col(a).isNotNull(), F.lit("high")).otherwise(F.lit("missing"))
+                           for a in ATTRIBUTES})
 
 
 def promo_penalty(title: Column, terms=PROMO_TERMS) -> Column:

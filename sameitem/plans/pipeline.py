@@ -48,9 +48,13 @@ class Run:
                    labels=fixture.gold_pairs(spark, sf_dir), verdict_source=verdict_source, **kw)
 
     # -- listings -------------------------------------------------------
+    @cached_property
+    def prepared(self) -> DataFrame:
+        return prepare_listings(self.raw, mode=self.mode)
+
     @cached_property
     def attributed(self) -> DataFrame:
-        return with_attributes(prepare_listings(self.raw, mode=self.mode))
+        return with_attributes(self.prepared)
 
     @cached_property
     def listings(self) -> DataFrame:
@@ -59,7 +63,8 @@ class Run:
         # Only the columns that they use are written, and each of them reads only its own.
         keep = ["listing_id", "row_seq", "title", "price", "source", "currency", "dq_suspicious_low_price",
                 "normalized_title", "category", *ATTRIBUTES]
-        return stage(matchable(self.attributed).select(*keep), "listings")
+        # Filtered before the extraction, whose expressions fill a generated method of their own.
+        return stage(with_attributes(matchable(self.prepared)).select(*keep), "listings")
 
     @cached_property
     def keyed(self) -> DataFrame:
