@@ -116,17 +116,14 @@ class LogOdds:
     odds: np.ndarray
 
     @classmethod
-    def of(cls, pairs: np.ndarray, label: np.ndarray, texts: np.ndarray) -> LogOdds:
-        """``pairs``: (text, hash) as two columns; ``label`` by text."""
-        order = np.lexsort((pairs[:, 0], pairs[:, 1]))
-        pairs = pairs[order]
-        new = np.ones(len(pairs), bool)
-        new[1:] = (pairs[1:] != pairs[:-1]).any(axis=1)
-        pairs = pairs[new]
-        key, at = np.unique(pairs[:, 1], return_inverse=True)
-        bad = np.bincount(at, label[pairs[:, 0].astype(np.int64)], len(key))
+    def of(cls, hashes: np.ndarray, bounds: np.ndarray, label: np.ndarray) -> LogOdds:
+        """``hashes`` of all texts in a row, ``bounds`` of each text's, and its ``label``.  A text counts once a hash."""
+        distinct = [np.unique(hashes[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
+        size = [len(d) for d in distinct]
+        key, at = np.unique(np.concatenate(distinct), return_inverse=True)
+        bad = np.bincount(at, np.repeat(label, size), len(key))
         seen = np.bincount(at, minlength=len(key))
-        n_bad, n = float(label.sum()), float(len(texts))
+        n_bad, n = float(label.sum()), float(len(label))
         odds = np.log((bad + 0.5) / (n_bad + 1)) - np.log((seen - bad + 0.5) / (n - n_bad + 1))
         keep = seen >= 3
         return cls(key[keep], (odds * seen / (seen + 8.0))[keep].astype(F32))
@@ -155,29 +152,34 @@ class Network:
         self.bias = np.zeros(1, F32)
 
     # -- inputs ---------------------------------------------------------
-    def vectors(self, x: Inputs) -> np.ndarray:
-        """Input (words, 2 * VECTOR + 2) of every word."""
-        if not len(x.word):
-            return np.zeros((0, 2 * VECTOR + 2), F32)
-        grams = np.diff(np.append(x.gram_start, len(x.gram)))
-        mean = np.add.reduceat(self.gram_table[x.gram % np.uint64(BUCKETS)], x.gram_start, axis=0) / grams[:, None]
-        most = np.maximum.reduceat(self.grams.look_up(x.gram), x.gram_start)
-        return np.concatenate([self.word_table[x.word % np.uint64(BUCKETS)], self.words.look_up(x.word)[:, None],
-                               mean, most[:, None]], axis=1).astype(F32)
+    def vectors(self, x: Inputs, block: int = 1 << 17) -> np.ndarray:
+        """Input (words, 2 * VECTOR + 2) of every word, ``block`` words at a time."""
+        out = np.empty((len(x.word), 2 * VECTOR + 2), F32)
+        edge = np.append(x.gram_start, len(x.gram))
+        for a in range(0, len(x.word), block):
+            b = min(a + block, len(x.word))
+            gram, first = x.gram[edge[a]:edge[b]], edge[a:b] - edge[a]
+            total = np.add.reduceat(self.gram_table[gram % np.uint64(BUCKETS)], first, axis=0)
+            out[a:b, :VECTOR] = self.word_table[x.word[a:b] % np.uint64(BUCKETS)]
+            out[a:b, VECTOR] = self.words.look_up(x.word[a:b])
+            out[a:b, VECTOR + 1:-1] = total / np.diff(edge[a:b + 1])[:, None]
+            out[a:b, -1] = np.maximum.reduceat(self.grams.look_up(gram), first)
+        return out
 
     # -- scoring --------------------------------------------------------
     def logits(self, vectors: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """Logit of each window: its first word and its number of words."""
-        gates = [np.concatenate([vectors @ w + b, np.zeros((1, 3 * HIDDEN), F32)]) for w, b in zip(self.w, self.b, strict=True)]
+        """Logit of each window: its first word (ascending) and its number of words."""
         out = np.empty(len(start), F32)
-        full = np.flatnonzero(size == WINDOW)
-        part = np.flatnonzero(size < WINDOW)
-        for at in range(0, len(full), BLOCK):
-            k = full[at:at + BLOCK]
-            out[k] = self._score(gates, start[k], None)
-        for at in range(0, len(part), BLOCK):
-            k = part[at:at + BLOCK]
-            out[k] = self._score(gates, start[k], size[k])
+        for at in range(0, len(start), 4 * BLOCK):
+            some = slice(at, at + 4 * BLOCK)
+            first = int(start[some][0])
+            words = vectors[first:int((start[some] + size[some]).max())]
+            gates = [np.concatenate([words @ w + b, np.zeros((1, 3 * HIDDEN), F32)]) for w, b in zip(self.w, self.b, strict=True)]
+            full = size[some] == WINDOW
+            for part in (np.flatnonzero(full), np.flatnonzero(~full)):
+                for k in (part[i:i + BLOCK] for i in range(0, len(part), BLOCK)):
+                    whole = bool(full[k[0]])
+                    out[at + k] = self._score(gates, start[some][k] - first, None if whole else size[some][k])
         return out
 
     def _score(self, gates: list[np.ndarray], start: np.ndarray, size: np.ndarray | None) -> np.ndarray:
@@ -314,11 +316,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: tuple[int, in
     x = read_words(*utf8(pa.array(texts, pa.string())))
     if not len(x.word):
         return None
-    every = np.arange(len(texts))
-    grams = np.diff(np.append(x.gram_start, len(x.gram)))
-    pairs = np.stack([x.text.astype(np.uint64), x.word], axis=1)
-    gram_pairs = np.stack([np.repeat(x.text, grams).astype(np.uint64), x.gram], axis=1)
-    return Network(LogOdds.of(pairs, label, every), LogOdds.of(gram_pairs, label, every)).train(x, label)
+    bounds = np.searchsorted(x.text, np.arange(x.texts + 1))
+    return Network(LogOdds.of(x.word, bounds, label),
+                   LogOdds.of(x.gram, np.append(x.gram_start, len(x.gram))[bounds], label)).train(x, label)
 
 
 def score_texts(net: Network, column: pa.Array) -> np.ndarray:
