@@ -1,8 +1,7 @@
 """Title normalisation and attribute extraction as Spark column expressions.
 
 Everything here is a ``Column -> Column`` function built from
-``regexp_replace`` / ``rlike`` / ``regexp_extract``; no Python UDF, so the
-whole extraction runs inside whole-stage codegen.  Patterns carry ``(?U)`` so
+``regexp_replace`` / ``rlike`` / ``regexp_extract``; no Python UDF.  Patterns carry ``(?U)`` so
 ``\\b``, ``\\w``, ``\\s`` and ``\\d`` are Unicode-aware like Python's ``re``.
 
 The dictionaries are parameters with the reference values as defaults, so a
@@ -105,14 +104,52 @@ CATEGORY_BY_FAMILY = {
 SPECIAL_TIERS = ["pro", "ultra", "plus", "fe"]
 # Noise terms that lower a title's chance to be canonical (substring test).
 PROMO_TERMS = ["מבצע", "sale", "חדש", "original", "יבואן", "official"]
-# ---------------------------------------------------------------------------
-
+# Spellings made alike (pattern, replacement), in this order: N3, then N5 to N8.
+STORAGE_UNITS = (r"(\d+)\s*(gb|g|gig|gigabyte)\b", "$1gb")
+TERABYTES = r"(\d+)\s*tb\b"
+SPELLINGS = [
+    (r"(\d+)\s*ssd\b", "$1ssd"),
+    (r"(\d+)\s*ram\b", "$1gb ram"),
+    (r"(\d+)\s*ממ\b", "$1mm"),
+    (r"(\d+)\s*inch\b", "$1 inch"),
+    (r"\b1st\s*gen\b", "gen1"),
+    (r"\b2nd\s*gen\b", "gen2"),
+    (r"\b3rd\s*gen\b", "gen3"),
+    (r"\bgen\s+(\d)\b", "gen$1"),
+    (r"\biphone\s+(11|12|13|14|15|16)\b", "iphone $1"),
+    (r"\bnote\s+(\d{1,2})\b", "note $1"),
+    (r"\bseries\s+(\d{1,2})\b", "series $1"),
+    (r"\bwh[\-\s]?1000[\-\s]?xm([345])\b", "wh1000xm$1"),
+]
+# What the extractors look for (group 1 is the value), tried in this order.
+STORAGE_GB = r"\b(32|64|128|256|512|1024|2048)gb\b"
+STORAGE_SSD = r"\b(128|256|512|1024|2048)ssd\b"
+RAM_PATTERNS = [
+    r"\b(4|8|16|24|32|64)gb\s+ram\b",
+    r"\b(4|8|16|24|32|64)gb\b(?=.*\b(?:128ssd|256ssd|512ssd|1024ssd|128gb|256gb|512gb|1024gb)\b)",
+]
+SCREEN_PATTERNS = [
+    r"\b(13|14|15|16|17)(?:\.3)?\s*inch\b",
+    r"\b(13|14|15|16|17)\b(?=.*\b(?:8gb|16gb|512ssd|512gb)\b)",
+    r"\b(41|45)mm\b",
+]
+# Model number by family: what goes before the value, and the patterns.
+NUMBER_PATTERNS = {
+    "galaxy": ("", [r"\b(s\d{2})\b", r"\b(a\d{2})\b"]),
+    "iphone": ("", [r"\biphone\s(11|12|13|14|15|16)\b", r"\biphone(11|12|13|14|15|16)\b"]),
+    "airpods": ("gen", [r"\bgen([123])\b"]),
+    "redmi_note": ("", [r"\bnote\s(\d{1,2})\b", r"\bnote(\d{1,2})\b"]),
+    "ideapad": ("", [r"\bideapad\s+(\d)\b"]),
+    "watch": ("", [r"\bseries\s(\d{1,2})\b", r"\bwatch\s(7|8|9|10)\b"]),
+    "wh1000x": ("xm", [r"\bwh1000xm([345])\b"]),
+}
 # The 11 extracted attributes, in output order.
 ATTRIBUTES = ["brand", "model_family", "model_number", "tier_variant", "display_variant",
               "connectivity", "condition", "storage", "ram", "screen_size", "color"]
 # Order used by completeness / agreement / group conflict checks.
 SCORED_FIELDS = ["brand", "model_family", "model_number", "tier_variant", "display_variant",
                  "connectivity", "storage", "ram", "screen_size", "condition", "color"]
+# ---------------------------------------------------------------------------
 
 U = "(?U)"
 
@@ -181,19 +218,17 @@ def times_1024(n: Column) -> Column:
 
 def _normalize_units(t: Column) -> Column:
     """Storage unit spellings."""
-    return F.regexp_replace(t, _rx(r"(\d+)\s*(gb|g|gig|gigabyte)\b"), "$1gb")
+    return F.regexp_replace(t, _rx(STORAGE_UNITS[0]), STORAGE_UNITS[1])
 
 
-def _normalize_rest(t: Column, staged: bool = False) -> Column:
-    """N3-N9 on lowercased, aliased text (N3 skipped when ``staged``)."""
-    if not staged:
-        t = _normalize_units(t)
-    # N tb -> N*1024 gb (computed replacement, one pass per distinct number).
-    tb = r"(\d+)\s*tb\b"
+def _normalize_rest(t: Column) -> Column:
+    """N3-N9 on lowercased, aliased text."""
+    t = _normalize_units(t)
 
+    # N tb -> N*1024 gb (computed replacement, one pass per distinct number).
     def to_gb(x: Column) -> Column:
         return F.when(~x.contains("tb"), x).otherwise(F.aggregate(
-            F.array_distinct(F.regexp_extract_all(x, F.lit(_rx(tb)), 1)),
+            F.array_distinct(F.regexp_extract_all(x, F.lit(_rx(TERABYTES)), 1)),
             x,
             lambda acc, n: F.regexp_replace(
                 acc,
@@ -202,22 +237,8 @@ def _normalize_rest(t: Column, staged: bool = False) -> Column:
         ))
 
     t = _bind(t, to_gb)
-    # N5
-    t = F.regexp_replace(t, _rx(r"(\d+)\s*ssd\b"), "$1ssd")
-    t = F.regexp_replace(t, _rx(r"(\d+)\s*ram\b"), "$1gb ram")
-    t = F.regexp_replace(t, _rx(r"(\d+)\s*ממ\b"), "$1mm")
-    t = F.regexp_replace(t, _rx(r"(\d+)\s*inch\b"), "$1 inch")
-    # N6
-    t = F.regexp_replace(t, _rx(r"\b1st\s*gen\b"), "gen1")
-    t = F.regexp_replace(t, _rx(r"\b2nd\s*gen\b"), "gen2")
-    t = F.regexp_replace(t, _rx(r"\b3rd\s*gen\b"), "gen3")
-    t = F.regexp_replace(t, _rx(r"\bgen\s+(\d)\b"), "gen$1")
-    # N7
-    t = F.regexp_replace(t, _rx(r"\biphone\s+(11|12|13|14|15|16)\b"), "iphone $1")
-    t = F.regexp_replace(t, _rx(r"\bnote\s+(\d{1,2})\b"), "note $1")
-    t = F.regexp_replace(t, _rx(r"\bseries\s+(\d{1,2})\b"), "series $1")
-    # N8
-    t = F.regexp_replace(t, _rx(r"\bwh[\-\s]?1000[\-\s]?xm([345])\b"), "wh1000xm$1")
+    for pattern, spelling in SPELLINGS:  # N5-N8
+        t = F.regexp_replace(t, _rx(pattern), spelling)
     # N9
     t = F.regexp_replace(t, r"[\-\+\(\),/|]", " ")
     t = F.regexp_replace(t, r"(?U)\s+", " ")
@@ -253,45 +274,30 @@ def extract_condition(t: Column) -> Column:
 
 def extract_storage(t: Column) -> Column:
     """The largest storage figure among all ``NNgb`` and ``NNssd`` hits."""
-    gb = F.regexp_extract_all(t, F.lit(_rx(r"\b(32|64|128|256|512|1024|2048)gb\b")), 1)
-    ssd = F.regexp_extract_all(t, F.lit(_rx(r"\b(128|256|512|1024|2048)ssd\b")), 1)
+    gb = F.regexp_extract_all(t, F.lit(_rx(STORAGE_GB)), 1)
+    ssd = F.regexp_extract_all(t, F.lit(_rx(STORAGE_SSD)), 1)
     nums = F.transform(F.concat(gb, ssd), lambda x: x.cast("int"))
     top = F.array_max(nums)
     return F.when(top.isNotNull(), F.concat(top.cast("string"), F.lit("gb")))
 
 
 def extract_ram(t: Column) -> Column:
-    first = _extract(t, r"\b(4|8|16|24|32|64)gb\s+ram\b")
-    second = _extract(t, r"\b(4|8|16|24|32|64)gb\b(?=.*\b(?:128ssd|256ssd|512ssd|1024ssd|128gb|256gb|512gb|1024gb)\b)")
-    v = F.coalesce(first, second)
+    v = F.coalesce(*[_extract(t, p) for p in RAM_PATTERNS])
     return F.when(v.isNotNull(), F.concat(v, F.lit("gb")))
 
 
 def extract_screen_size(t: Column) -> Column:
-    return F.coalesce(
-        _extract(t, r"\b(13|14|15|16|17)(?:\.3)?\s*inch\b"),
-        _extract(t, r"\b(13|14|15|16|17)\b(?=.*\b(?:8gb|16gb|512ssd|512gb)\b)"),
-        _extract(t, r"\b(41|45)mm\b"),
-    )
+    return F.coalesce(*[_extract(t, p) for p in SCREEN_PATTERNS])
 
 
 def extract_model_number(t: Column, family: Column) -> Column:
     """A10: per-family number patterns, tried in order."""
-    def pref(prefix: str, c: Column) -> Column:
-        return F.when(c.isNotNull(), F.concat(F.lit(prefix), c))
-
-    return (
-        F.when(family == "galaxy", F.coalesce(_extract(t, r"\b(s\d{2})\b"), _extract(t, r"\b(a\d{2})\b")))
-        .when(family == "iphone", F.coalesce(_extract(t, r"\biphone\s(11|12|13|14|15|16)\b"),
-                                             _extract(t, r"\biphone(11|12|13|14|15|16)\b")))
-        .when(family == "airpods", pref("gen", _extract(t, r"\bgen([123])\b")))
-        .when(family == "redmi_note", F.coalesce(_extract(t, r"\bnote\s(\d{1,2})\b"),
-                                                 _extract(t, r"\bnote(\d{1,2})\b")))
-        .when(family == "ideapad", _extract(t, r"\bideapad\s+(\d)\b"))
-        .when(family == "watch", F.coalesce(_extract(t, r"\bseries\s(\d{1,2})\b"),
-                                            _extract(t, r"\bwatch\s(7|8|9|10)\b")))
-        .when(family == "wh1000x", pref("xm", _extract(t, r"\bwh1000xm([345])\b")))
-    )
+    out = None
+    for name, (prefix, patterns) in NUMBER_PATTERNS.items():
+        v = F.coalesce(*[_extract(t, p) for p in patterns])
+        v = F.concat(F.lit(prefix), v) if prefix else v
+        out = F.when(family == name, v) if out is None else out.when(family == name, v)
+    return out
 
 
 def infer_category(family: Column, mapping=CATEGORY_BY_FAMILY) -> Column:

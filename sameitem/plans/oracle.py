@@ -19,6 +19,7 @@ NW = r"[^\p{L}\p{N}_]"
 LB = f"(?:^|{NW})"
 RB = f"(?:{NW}|$)"
 ATTRS = TT.ATTRIBUTES
+# Field lists of the rules, written out again (a test compares them with the engine's).
 CONFLICT = ["brand", "model_family", "model_number", "storage", "tier_variant",
             "display_variant", "connectivity", "ram", "condition"]
 PHONE = ["brand", "model_family", "model_number", "storage", "tier_variant", "condition", "color"]
