@@ -60,12 +60,9 @@ def add_quality_flags(df: DataFrame, low_price: float = 200.0, compat: bool = Tr
 
     price = parse_price(F.col("price"))
     title = text("title")
-    out = df.withColumns({
-        "title": title,
-        "source": text("source"),
-        "currency": text("currency"),
-        "price": price,
-    })
+    # One ``inline`` of one row: flags and filters below read the values, not their expressions.
+    read = F.struct(title.alias("title"), text("source").alias("source"), text("currency").alias("currency"), price.alias("price"))
+    out = df.select(*[c for c in df.columns if c not in ("title", "source", "currency", "price")], F.inline(F.array(read)))
     out = out.withColumns({
         "dq_missing_title": F.col("title").isNull() | (F.col("title") == ""),
         "dq_missing_price": F.col("price").isNull(),
