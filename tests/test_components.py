@@ -38,3 +38,30 @@ def test_long_chain(spark):
     chain = [(i, i + 1) for i in range(1, 300)]
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(chain, "src long, dst long")).collect()}
     assert set(got.values()) == {1} and len(got) == 300
+
+
+def components_of(edges):
+    root = {}
+
+    def find(x):
+        root.setdefault(x, x)
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {x: find(x) for x in root}
+
+
+def test_random_graphs_against_union_find(spark):
+    import random
+    rng = random.Random(3)
+    graphs = [[(rng.randrange(60), rng.randrange(60)) for _ in range(n)] for n in (10, 40, 90)]
+    graphs.append([(i, i + 1) for i in range(100, 160)][::-1])           # a path
+    graphs.append([(500, i) for i in range(501, 700)] + [(700, 650)])    # a hub with most of the edges
+    for edges in graphs:
+        proper = [(a, b) for a, b in edges if a != b]
+        out = connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()
+        assert {r.node: r.component for r in out} == components_of(proper)
