@@ -5,21 +5,29 @@ when their Jaccard similarity is at least 0.8; the result is each document's
 component.  The join never emits the pairs inside a group of copies:
 
 1. :func:`shingle_sets` - one pass over the texts gives each set's size, its
-   128-bit key (documents of equal sets are one *set* from here on) and its
+   128-bit key (documents of equal sets are one *set* from here on), its tokens
+   as a bitmap (:func:`set_bits`, half a byte to a byte a token) and its
    *prefix*: the first ``n - ceil(0.8 n) + 1`` tokens, rarest first.  Two sets
    that link share a token of their prefixes, whatever the order (Chaudhuri et
    al., 2006); the tokens counted most often come last, so shared passages
    stay out of nearly all prefixes.
 2. Tokens in the prefixes of two sets at least are *contested*; all other sets
-   are alone already.  Only contested rows and the texts of their sets are kept.
-3. Grouping - :data:`ROUNDS` times, each set is compared with the least set
-   of another group under the tokens it shares most (at most :data:`HUBS`
-   comparisons a set), and what links becomes one group.
-4. Token-group matrix - groups are cut into chunks of about :data:`CHUNK`
-   sets; the matrix holds, by contested token, the chunks whose union has it.
-   A set and a chunk of another group meet where the matrix says so; the chunk
-   is opened if the set's overlap with the chunk's whole token union can reach
-   the threshold, and then each member is compared exactly.
+   are alone already.  Only contested rows are kept.
+3. Grouping - :data:`ROUNDS` times, each set meets the least set of another
+   group under the tokens it shares most (at most :data:`HUBS` a set), and what
+   links becomes one group.
+4. Token-group matrix - similar sets are one group, linked or not: a set's
+   group is the least component that holds the most of its tokens.  The matrix says which
+   groups' token unions have a contested token; a set meets the groups that hold
+   one of its own.  Groups are cut into chunks of about :data:`CHUNK` sets of
+   one band of sizes.  A chunk is opened if the set's overlap with the chunk's
+   whole token union, as a bitmap, can reach the threshold, and then its members
+   of other components are compared.
+
+A bitmap has a bit for each residue of the token hashes.  A bit of one set that
+another lacks is a token that the other lacks, so bits bound the overlap from
+above and drop no link.  Pairs that pass are compared exactly, from the texts;
+only the texts of sets in such pairs are fetched.
 
 Step 4 alone is exact; step 3 makes it cheap, because tokens that only one
 group holds leave the matrix.  So no link between two groups is lost, and
@@ -49,12 +57,13 @@ from sameitem.operators.components import connected_components
 WORDS = 5
 THRESHOLD = 80  # per cent
 #: Tokens ordered last, by their count over all documents.  Only the order depends on the bound.
-COMMON = 1 << 16
+COMMON = 1 << 19
 ROUNDS = 2
 HUBS = 2
-CHUNK = 8
-#: Bits of the set of contested tokens that tasks filter by (false hits only cost work).
-FILTER_BITS = 27
+CHUNK = 32
+#: Bits of the filters of contested tokens and of wanted documents (false hits only cost work).
+TOKEN_BITS = 27
+DOCUMENT_BITS = 24
 
 
 # -- sets ------------------------------------------------------------------
@@ -94,6 +103,36 @@ def set_key(tokens: np.ndarray) -> tuple[int, int]:
     return int(both[0]), int(both[1])
 
 
+def set_bits(tokens: np.ndarray) -> bytes:
+    """Bitmap of a set: ``size`` bits, a power of two of at least four times the tokens; bit ``token mod size``."""
+    size = max(64, 1 << (4 * len(tokens) - 1).bit_length())
+    bits = np.zeros(size, bool)
+    bits[(tokens & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def fold(bits: np.ndarray, size: int) -> np.ndarray:
+    """The same bitmap at a smaller size (bytes, a power of two)."""
+    while len(bits) > size:
+        half = len(bits) // 2
+        bits = bits[:half] | bits[half:]
+    return bits
+
+
+def missing(a: np.ndarray, b: np.ndarray) -> int:
+    """Tokens, at least, of the set of bitmap ``a`` that the set of bitmap ``b`` lacks."""
+    size = min(len(a), len(b))
+    return int(np.bitwise_count(fold(a, size) & ~fold(b, size)).sum())
+
+
+def may_link(a: np.ndarray, n_a: int, b: np.ndarray, n_b: int, threshold: int = THRESHOLD) -> bool:
+    """Whether the bitmaps of two sets leave the threshold within reach."""
+    if 100 * min(n_a, n_b) < threshold * max(n_a, n_b):
+        return False
+    both = min(n_a - missing(a, b), n_b - missing(b, a))
+    return 100 * both >= threshold * (n_a + n_b - both)
+
+
 def common_tokens(docs: DataFrame, most: int = COMMON) -> np.ndarray:
     """The tokens counted in most documents, rarest first (sorted by count, then hash).
 
@@ -114,12 +153,12 @@ def common_tokens(docs: DataFrame, most: int = COMMON) -> np.ndarray:
                      pa.array(n[keep].astype(np.int64)) if len(tokens) else pa.array([], pa.int64())], ["token", "n"])
 
     rows = (docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-            .orderBy(F.desc("n"), "token").limit(most).collect())
-    return np.array([r["token"] for r in reversed(rows)], np.int64).view(np.uint64)
+            .orderBy(F.desc("n"), "token").limit(most).select("token").toPandas())
+    return rows["token"].to_numpy(np.int64)[::-1].copy().view(np.uint64)
 
 
 def shingle_sets(spark: SparkSession, docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> tuple[DataFrame, list[int]]:
-    """``doc_id, text_hash, n, k1, k2, prefix`` of every document; keys are null and the prefix empty without words.
+    """``doc_id, text_hash, n, k1, k2, prefix, bits`` of every document; keys are null and the prefix empty without words.
 
     Also the keys that two sets shared, which go by ``k2``.
     """
@@ -130,12 +169,13 @@ def shingle_sets(spark: SparkSession, docs: DataFrame, words: int = WORDS, thres
     def run(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, rank = shared.value
         for batch in batches(records):
-            n, k1, k2, prefix = [], [], [], []
+            n, k1, k2, prefix, bits = [], [], [], [], []
             for tokens in text_sets(batch.column(1), words):
                 n.append(len(tokens))
                 a, b = set_key(tokens) if len(tokens) else (None, None)
                 k1.append(a)
                 k2.append(b)
+                bits.append(set_bits(tokens) if len(tokens) else None)
                 want = prefix_size(len(tokens), threshold)
                 if len(known) and want:
                     at = np.searchsorted(known, tokens)
@@ -151,11 +191,12 @@ def shingle_sets(spark: SparkSession, docs: DataFrame, words: int = WORDS, thres
             flat = np.concatenate(prefix).view(np.int64) if prefix else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(size), pa.array(flat))],
-                ["doc_id", "text_hash", "n", "k1", "k2", "prefix"])
+                 pa.ListArray.from_arrays(pa.array(size), pa.array(flat)), pa.array(bits, pa.binary())],
+                ["doc_id", "text_hash", "n", "k1", "k2", "prefix", "bits"])
 
     sets = stage(spark, docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
-        run, "doc_id long, text_hash long, n long, k1 long, k2 long, prefix array<long>"), "shingle-sets")
+        run, "doc_id long, text_hash long, n long, k1 long, k2 long, prefix array<long>, "
+             "bits binary"), "shingle-sets")
     # Two sets with one k1 (about one in 2^64 pairs): these go by k2.
     twice = sets.where("n > 0").groupBy("k1").agg(F.min("k2").alias("a"), F.max("k2").alias("b")).where("a <> b").select("k1")
     clash = [r["k1"] for r in twice.collect()]
@@ -166,7 +207,7 @@ def shingle_sets(spark: SparkSession, docs: DataFrame, words: int = WORDS, thres
 
 
 # -- candidate generation ---------------------------------------------------
-def bit_filter(df: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarray:
+def bit_filter(df: DataFrame, column: str, bits: int) -> np.ndarray:
     """Bitmap of ``2**bits`` of the values of a long column, modulo its size (16 MB at 27 bits, whatever the rows)."""
     place = F.pmod(F.col(column), F.lit(1 << bits)) + 1
     rows = (df.select(place.alias("p"))
@@ -180,20 +221,20 @@ def bit_filter(df: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarra
     return out
 
 
-def in_filter(bitmap: np.ndarray, values: np.ndarray, bits: int = FILTER_BITS) -> np.ndarray:
+def in_filter(bitmap: np.ndarray, values: np.ndarray, bits: int) -> np.ndarray:
     place = values.view(np.uint64) & np.uint64((1 << bits) - 1)
     return (bitmap[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
 def contested_rows(spark: SparkSession, sets: DataFrame, tokens: DataFrame) -> DataFrame:
     """``token, k1, n``: the prefix tokens that the filter of contested tokens lets through, once a set."""
-    shared = spark.sparkContext.broadcast(bit_filter(tokens, "token"))
+    shared = spark.sparkContext.broadcast(bit_filter(tokens, "token", TOKEN_BITS))
 
     def run(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(records, 1024):
             bounds = batch.column(2).offsets.to_numpy()
             flat = np.asarray(batch.column(2).values).astype(np.int64)
-            hit = in_filter(shared.value, flat)
+            hit = in_filter(shared.value, flat, TOKEN_BITS)
             hit[:bounds[0]] = False
             hit[bounds[-1]:] = False
             at = np.flatnonzero(hit)
@@ -204,24 +245,22 @@ def contested_rows(spark: SparkSession, sets: DataFrame, tokens: DataFrame) -> D
     return sets.where("n > 0").select("k1", "n", "prefix").mapInArrow(run, "token long, k1 long, n long").distinct()
 
 
-def active_texts(spark: SparkSession, docs: DataFrame, sets: DataFrame, rows: DataFrame, clash: list[int]) -> DataFrame:
-    """``k1, text`` of the sets with contested tokens: the text of one document each."""
-    active = rows.select("k1").distinct()
-    rep = (sets.where("n > 0").groupBy("k1").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("d"))
-           .join(active, "k1", "left_semi").select(F.xxhash64("d.doc_id").alias("h")))
-    shared = spark.sparkContext.broadcast((bit_filter(rep, "h"), set(clash)))
+def set_texts(spark: SparkSession, docs: DataFrame, members: DataFrame, wanted: DataFrame, clash: list[int]) -> DataFrame:
+    """``k1, text`` of the sets ``wanted`` (``k1``): the text of one document each."""
+    rep = members.join(wanted, "k1", "left_semi").select(F.xxhash64("first.doc_id").alias("h"))
+    shared = spark.sparkContext.broadcast((bit_filter(rep, "h", DOCUMENT_BITS), set(clash)))
 
     def run(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap, second = shared.value
         for batch in batches(records):
             h = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            text = batch.column(1).take(pa.array(np.flatnonzero(in_filter(bitmap, h))))
+            text = batch.column(1).take(pa.array(np.flatnonzero(in_filter(bitmap, h, DOCUMENT_BITS))))
             keys = [set_key(s) if len(s) else (None, None) for s in text_sets(text)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([b if a in second else a for a, b in keys], pa.int64()), text], ["k1", "text"])
 
     return (docs.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(run, "k1 long, text string")
-            .join(active, "k1", "left_semi").dropDuplicates(["k1"]))
+            .join(wanted, "k1", "left_semi").dropDuplicates(["k1"]))
 
 
 # -- comparison ---------------------------------------------------------------
@@ -229,6 +268,25 @@ def _one(text) -> np.ndarray:
     return next(text_sets(pa.array([text], pa.string())))
 
 
+def _bits(value: bytes) -> np.ndarray:
+    return np.frombuffer(value, np.uint8)
+
+
+def within_reach(pairs: DataFrame, members: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """The pairs ``x, y`` of sets whose bitmaps leave a link possible."""
+    side = lambda c: members.select(F.col("k1").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"b{c}"))
+    both = pairs.join(side("x"), "x").join(side("y"), "y").select("x", "y", "nx", "ny", "bx", "by")
+
+    def run(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(records):
+            _, _, nx, ny, bx, by = (c.to_pylist() for c in batch.columns)
+            keep = [may_link(_bits(a), i, _bits(b), j, threshold) for i, j, a, b in zip(nx, ny, bx, by, strict=True)]
+            at = pa.array(np.flatnonzero(keep))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], ["x", "y"])
+
+    return both.mapInArrow(run, "x long, y long")
+
+
 def compare(pairs: DataFrame, texts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """The pairs ``x, y`` of sets that link, as ``src, dst``."""
     both = (pairs.join(texts.select(F.col("k1").alias("x"), F.col("text").alias("tx")), "x")
@@ -251,68 +309,88 @@ def compare(pairs: DataFrame, texts: DataFrame, threshold: int = THRESHOLD) -> D
     return both.mapInArrow(run, "src long, dst long")
 
 
-def group_links(spark: SparkSession, rows: DataFrame, texts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """Links between groups, through the token-group matrix.  ``rows``: ``token, k1, n, comp``."""
+def group_pairs(spark: SparkSession, rows: DataFrame, members: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """Pairs ``x, y`` of sets of different components within reach, through the token-group matrix.
+
+    ``rows``: ``token, k1, n, comp`` by contested token.  A set's group is the
+    least component that holds the most of its tokens.  A set meets a group
+    once, whatever the tokens and members it shares with it, so nothing grows with
+    the pairs of members before the chunks are opened.  A chunk holds one band of
+    sizes, and a set meets chunks of its own band and its neighbours only: sets
+    that link differ in size by a quarter at most, less than a band's width.
+    """
     mixed = (rows.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("token"))
-    rows = stage(spark, rows.join(mixed, "token", "left_semi"), "mixed-tokens")
-    sets = rows.select("k1", "n", "comp").distinct()
-    sizes = stage(spark, sets.groupBy("comp").count(), "group-sizes")
-    member = stage(spark, sets.join(sizes, "comp").select(
-        "k1", "n", "comp", F.pmod(F.xxhash64("k1"), F.ceil(F.col("count") / CHUNK)).alias("part")), "group-members")
-    chunk = stage(spark, member.join(texts, "k1").groupBy("comp", "part").agg(
-        F.collect_list(F.struct("k1", "text")).alias("members"),
-        F.min("n").alias("least"), F.max("n").alias("most")), "group-texts")
-    matrix = (rows.join(member.select("k1", "part"), "k1")
-              .select("token", F.col("comp").alias("g_comp"), "part").distinct())
-    bounds = chunk.select(F.col("comp").alias("g_comp"), "part", "least", "most")
-    meet = (rows.join(matrix, "token").where("g_comp < comp")
-            .groupBy("k1", "n", "g_comp", "part").agg(F.count(F.lit(1)).alias("shared"))
-            .join(bounds, ["g_comp", "part"])
-            .where(f"100 * most >= {threshold} * n and 100 * n >= {threshold} * least")
-            .select("k1", "g_comp", "part"))
-    opened = (meet.join(texts, "k1").join(chunk.select(F.col("comp").alias("g_comp"), "part", "members"), ["g_comp", "part"])
-              .select("k1", "text", "g_comp", "part", "members"))
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(np.log(100 / threshold + 0.01))).cast("int")
+    rows = stage(spark, rows.join(mixed, "token", "left_semi").withColumn("band", band), "mixed-rows")
+    hub = rows.groupBy("token").agg(F.min("comp").alias("group"))
+    shared = rows.join(hub, "token").groupBy("k1", "group").count()
+    near = shared.groupBy("k1").agg(F.min(F.struct(-F.col("count"), "group")).alias("g")).select("k1", "g.group")
+    rows = stage(spark, rows.join(near, "k1"), "mixed-tokens")
+    matrix = (rows.select("token", "group", "band").distinct()
+              .select("token", F.col("group").alias("g_group"), F.col("band").alias("g_band"),
+                      F.explode(F.array(*[F.col("band") + d for d in (-1, 0, 1)])).alias("band")))
+    meet = rows.join(matrix, ["token", "band"]).select("k1", "n", "comp", "g_group", "g_band").distinct()
+    own = rows.select("k1", "n", "comp", F.col("group").alias("g_group"), F.col("band").alias("g_band")).distinct()
+    held = _chunks(spark, own, members, "held", "group-chunks")
+    asked = _chunks(spark, meet, members, "asked", "query-chunks")
+    opened = held.join(asked, ["g_group", "g_band"]).select("g_group", "g_band", "held_part", "held", "asked")
 
     def run(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, sets, union = None, [], np.zeros(0, np.uint64)
-        for batch in batches(records, 64):
-            src, dst = [], []
-            for i, query in enumerate(text_sets(batch.column(1))):
-                key = (batch.column(2)[i].as_py(), batch.column(3)[i].as_py())
+        last, sets, union = None, [], np.zeros(0, np.uint8)
+        for batch in batches(records, 16):
+            x, y = [], []
+            group, band_, part, chunk, queries = batch.columns
+            for i in range(batch.num_rows):
+                key = (group[i].as_py(), band_[i].as_py(), part[i].as_py())
                 if key != last:
-                    members = batch.column(4)[i].as_py()
-                    sets = list(zip([m["k1"] for m in members],
-                                    text_sets(pa.array([m["text"] for m in members], pa.string())), strict=True))
-                    last, union = key, np.unique(np.concatenate([s for _, s in sets]))
-                # No member shares more with the query than their union does.
-                if 100 * overlap(query, union) < threshold * len(query):
-                    continue
-                for k, tokens in sets:
-                    if linked(query, tokens, threshold):
-                        src.append(batch.column(0)[i].as_py())
-                        dst.append(k)
-            if src:
-                yield pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], ["src", "dst"])
-
-    return opened.mapInArrow(run, "src long, dst long")
-
-
-def set_components(spark: SparkSession, docs: DataFrame, sets: DataFrame, clash: list[int],
+                    sets = [(m["k1"], m["n"], m["comp"], _bits(m["bits"])) for m in chunk[i].as_py()]
+                    size = min(len(m[3]) for m in sets)
+                    last, union = key, np.bitwise_or.reduce([fold(m[3], size) for m in sets])
+                for q in queries[i].as_py():
+                    query, n_q, mine, of = _bits(q["bits"]), q["n"], q["k1"], q["comp"]
+                    # No member shares more tokens with the query than their union does.
+                    if 100 * (n_q - missing(query, union)) < threshold * n_q:
+                        continue
+                    for k, n_k, c, b in sets:  # of two sets that meet each other, the greater asks
+                        if k < mine and c != of and may_link(query, n_q, b, n_k, threshold):
+                            x.append(mine)
+                            y.append(k)
+            if x:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["x", "y"])
+
+    return opened.mapInArrow(run, "x long, y long")
+
+
+def _chunks(spark: SparkSession, sets: DataFrame, members: DataFrame, name: str, file: str) -> DataFrame:
+    """Sets by (g_group, g_band) in lists of about :data:`CHUNK`, as column ``name``, numbered by ``<name>_part``."""
+    by = ["g_group", "g_band"]
+    sizes = stage(spark, sets.groupBy(*by).count(), file + "-sizes")
+    part = F.pmod(F.xxhash64("k1"), F.ceil(F.col("count") / CHUNK)).alias(name + "_part")
+    return stage(spark, sets.join(sizes, by).select("k1", "n", "comp", *by, part).join(members.select("k1", "bits"), "k1")
+                 .groupBy(*by, name + "_part").agg(F.collect_list(F.struct("k1", "n", "comp", "bits")).alias(name)), file)
+
+
+def set_components(spark: SparkSession, docs: DataFrame, sets: DataFrame, members: DataFrame, clash: list[int],
                    threshold: int = THRESHOLD) -> DataFrame:
     """``k1, comp`` of every set that links with another."""
     tokens = stage(spark, sets.where("n > 0").select("k1", F.explode("prefix").alias("token"))
                    .groupBy("token").agg(F.min("k1").alias("a"), F.max("k1").alias("b")).where("a <> b").select("token"),
                    "contested")
     rows = stage(spark, contested_rows(spark, sets, tokens).join(tokens, "token", "left_semi"), "contested-rows")
-    texts = stage(spark, active_texts(spark, docs, sets, rows, clash), "active-texts")
     links, labels = None, spark.createDataFrame([], "k1 long, comp long")
 
     def joined() -> DataFrame:
         return rows.join(labels, "k1", "left").withColumn("comp", F.coalesce("comp", "k1"))
 
-    def grow(new: DataFrame) -> bool:
+    def grow(pairs: DataFrame) -> bool:
+        """Compare pairs exactly; whether new links came of it."""
         nonlocal links, labels
-        new = stage(spark, new, "links")
+        pairs = stage(spark, pairs.distinct(), "near-pairs")
+        if not pairs.head(1):
+            return False
+        wanted = pairs.select(F.col("x").alias("k1")).unionByName(pairs.select(F.col("y").alias("k1"))).distinct()
+        texts = stage(spark, set_texts(spark, docs, members, stage(spark, wanted, "wanted-sets"), clash), "set-texts")
+        new = stage(spark, compare(pairs, texts, threshold), "links")
         if not new.head(1):
             return False
         links = new if links is None else links.unionByName(new)
@@ -329,10 +407,10 @@ def set_components(spark: SparkSession, docs: DataFrame, sets: DataFrame, clash:
         pairs = stage(spark, here.join(hub, "token").where("comp <> h_comp").groupBy(F.col("k1").alias("x"), "y").count()
                       .join(tested, ["x", "y"], "left_anti")
                       .withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= HUBS).select("x", "y"), "hub-pairs")
-        if not grow(compare(pairs, texts, threshold)):
+        if not grow(within_reach(pairs, members, threshold)):
             break
         tested = tested.unionByName(pairs)
-    grow(group_links(spark, joined(), texts, threshold))
+    grow(group_pairs(spark, joined(), members, threshold))
     return labels
 
 
@@ -341,8 +419,12 @@ def _labelled(spark: SparkSession, docs: DataFrame, threshold: int) -> tuple[Dat
     prepared(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     sets, clash = shingle_sets(spark, docs, threshold=threshold)
-    labels = set_components(spark, docs, sets, clash, threshold)
-    least = sets.where("n > 0").groupBy("k1").agg(F.min("doc_id").alias("least"))
+    # One row a set; its first document is the one whose text stands for it.
+    members = stage(spark, sets.where("n > 0").groupBy("k1").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("first"), F.first("n").alias("n"),
+        F.first("bits").alias("bits")), "sets")
+    labels = set_components(spark, docs, sets, members, clash, threshold)
+    least = members.select("k1", F.col("first.doc_id").alias("least"))
     named = stage(spark, least.join(labels, "k1", "left").withColumn("comp", F.coalesce("comp", "k1")), "set-labels")
     first = stage(spark, named.groupBy("comp").agg(F.min("least").alias("component_id")), "component-names")
     return (sets.select("doc_id", "text_hash", "n", "k1"),
