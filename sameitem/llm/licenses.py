@@ -8,8 +8,9 @@ licence it states, from :data:`HEADER_COSINE` (lines) or :data:`FILE_COSINE`
 directory; a file that states no licence itself inherits that of its nearest
 ancestor directory, by joins on paths.
 
-Only texts and lines with one of :data:`KEY_WORDS` are looked at; without such a
-word no line or file counts as a licence, whatever its cosine.
+No line or text is left out by its words.  :func:`may_reach` bounds a unit's cosine
+from above within its row, and only units whose bound stays below the threshold
+are not scored against the templates.
 
 Defined cases: null and empty texts state nothing; a file that states several
 licences has the one of the greatest cosine, then the least name; two licence
@@ -17,8 +18,9 @@ files in a directory: greatest cosine, then least path; rows of one path are one
 file; a null source or lang is the directory ``unknown``; an empty table gives
 no rows; columns other than ``doc_id, source, lang, text`` are not read.
 
-Scale: one scan of the texts; only texts with a key word go on.  Equal lines are
-scored once.  Directories, not files, look up their ancestors, so a directory
+Scale: terms are counted within the row, so neither texts nor their terms are
+shuffled, but for rows of one path with different texts, whose terms meet in a
+groupBy.  Equal lines are scored once.  Directories, not files, look up their ancestors, so a directory
 with a third of all files is one row there; the join back has plain exchanges on
 both sides, which adaptive execution can split.  Only the templates' terms (fixed
 here, a few kB) are broadcast.
@@ -73,7 +75,7 @@ TEMPLATES = (
     ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0"),
     ("Unlicense", "This is free and unencumbered software released into the public domain"),
 )
-# Only a text with one of these words can state a licence.  Every template has one.
+# The words that :func:`oracle` asks for.  The scan doesn't use them.
 KEY_WORDS = r"licen[cs]e[ds]?|permission|redistribution|apache|gnu|mozilla|cc0|creative|unencumbered"
 KEY_PATTERN = f"(?i)(?<![a-z0-9])(?:{KEY_WORDS})(?![a-z0-9])"
 
@@ -119,18 +121,100 @@ def cosines(spark: SparkSession, units: DataFrame, key: str, text: str) -> DataF
             .select(key, F.col("best.license").alias("license"), (-F.col("best.c")).alias("cosine")))
 
 
+def terms(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+
+
+def _by_term(term: Column, values: dict[str, float], other: float) -> Column:
+    """``values[term]`` as a few look-ups in sets of terms of equal value."""
+    groups: dict[float, list[str]] = {}
+    for t, x in sorted(values.items()):
+        groups.setdefault(round(x, 12), []).append(t)
+    out = None
+    for x, names in sorted(groups.items(), key=lambda g: -len(g[1])):
+        out = (F if out is None else out).when(term.isin(names), F.lit(x))
+    return out.otherwise(F.lit(other))
+
+
+def square_norm(terms: Column) -> Column:
+    """Square of the TF-IDF vector's length: the k-th occurrence of a term adds ``(2k - 1) idf^2``."""
+    idf, other = inverse_frequencies()
+    squares = {w: x * x for w, x in idf.items()}
+    zero = F.struct(F.lit("").alias("t"), F.lit(0).alias("k"), F.lit(0.0).alias("s"))
+
+    def add(acc: Column, t: Column) -> Column:
+        k = F.when(acc["t"] == t, acc["k"] + 1).otherwise(F.lit(1))
+        return F.struct(t.alias("t"), k.alias("k"), (acc["s"] + (2 * k - 1) * _by_term(t, squares, other * other)).alias("s"))
+
+    return F.aggregate(F.array_sort(terms), zero, add, lambda acc: acc["s"])
+
+
+def reach(known: Column) -> Column:
+    """At least the dot product with any template, from the terms that templates have."""
+    idf, _ = inverse_frequencies()
+    most: dict[str, float] = {}
+    for v in template_vectors():
+        for t, x in v.items():
+            most[t] = max(most.get(t, 0.0), idf[t] * x)
+    return F.aggregate(known, F.lit(0.0), lambda acc, t: acc + _by_term(t, most, 0.0))
+
+
+def may_reach(units: DataFrame, text: str, cosine: float, always: Column | None = None) -> DataFrame:
+    """``units`` with ``known, square``, without those whose cosine to every template is below ``cosine``.
+
+    A unit's dot product with a template is at most :func:`reach`.  Its length is
+    at least that of as many different terms without a template (and is then
+    taken exactly), so what goes is below the threshold whatever the template.
+    """
+    idf, other = inverse_frequencies()
+    least = (cosine - 1e-6) ** 2
+    always = F.lit(False) if always is None else always
+
+    def lone(x: Column) -> Column:
+        return (F.size(x["terms"]) - F.size(x["known"])) * other ** 2 + F.size(x["known"]) * min(idf.values()) ** 2
+
+    # Lambda variables, so that each step is taken once a unit.
+    found = F.transform(F.array(terms(F.col(text))), lambda t: F.struct(
+        t.alias("terms"), F.filter(t, lambda w: w.isin(sorted(idf))).alias("known")))
+    found = F.transform(F.filter(found, lambda x: F.size(x["known"]) > 0), lambda x: F.struct(
+        x["terms"].alias("terms"), x["known"].alias("known"), reach(x["known"]).alias("reach")))
+    found = F.filter(found, lambda x: always | (x["reach"] * x["reach"] >= lone(x) * least))
+    found = F.transform(found, lambda x: F.struct(
+        x["known"].alias("known"), x["reach"].alias("reach"), square_norm(x["terms"]).alias("square")))
+    found = F.filter(found, lambda x: always | (x["reach"] * x["reach"] >= x["square"] * least))
+    return units.select("*", F.inline(found)).drop("reach")
+
+
+def row_cosines(spark: SparkSession, units: DataFrame, key: str) -> DataFrame:
+    """As :func:`cosines`, from the ``known`` and ``square`` of :func:`may_reach`; each key is one row."""
+    idf, _ = inverse_frequencies()
+    vectors = spark.createDataFrame(
+        [(k, TEMPLATES[k][0], t, x * idf[t]) for k, v in enumerate(template_vectors()) for t, x in sorted(v.items())],
+        "template int, license string, term string, part double")
+    dot = (units.select(key, "square", F.explode("known").alias("term")).join(F.broadcast(vectors), "term")
+           .groupBy(key, "template", "license").agg(F.sum("part").alias("dot"), F.first("square").alias("square")))
+    scored = dot.withColumn("cosine", F.round(F.col("dot") / F.sqrt("square"), 9))
+    return (scored.groupBy(key).agg(F.min(F.struct((-F.col("cosine")).alias("c"), "license")).alias("best"))
+            .select(key, F.col("best.license").alias("license"), (-F.col("best.c")).alias("cosine")))
+
+
 def scan(spark: SparkSession, files: DataFrame, header_cosine: float = HEADER_COSINE,
          file_cosine: float = FILE_COSINE) -> DataFrame:
     """What each file states itself: ``path, license, cosine, covers`` (``covers``: a licence file)."""
     named = F.col("path").rlike(FILE_NAMES)
-    near = stage(spark, files.where(F.col("text").rlike(KEY_PATTERN) | named).select("path", "text").distinct(), "licence-texts")
-    lines = (near.select("path", F.explode(F.split("text", "\n")).alias("line")).where(F.col("line").rlike(KEY_PATTERN)).distinct())
-    lines = stage(spark, lines, "licence-lines")
-    scored = stage(spark, cosines(spark, lines.select("line").distinct(), "line", "line")
+    lines = files.select("path", F.explode(F.split("text", "\n")).alias("line"))
+    lines = stage(spark, may_reach(lines, "line", header_cosine).distinct(), "licence-lines")
+    scored = stage(spark, row_cosines(spark, lines.select("line", "known", "square").dropDuplicates(["line"]), "line")
                    .where(F.col("cosine") >= header_cosine), "licence-scores")
     header = lines.join(scored, "line").select("path", "license", "cosine", F.lit(False).alias("covers"))
-    whole = cosines(spark, near, "path", "text")
-    named = F.col("path").rlike(FILE_NAMES)
+    # Different texts of one path are one file: their terms are counted together.
+    mixed = (files.groupBy("path").agg(F.min(F.xxhash64("text")).alias("a"), F.max(F.xxhash64("text")).alias("b"))
+             .where("a <> b").select("path"))
+    mixed = stage(spark, mixed, "licence-paths")
+    alone = may_reach(files.select("path", "text"), "text", file_cosine, named).select("path", "known", "square")
+    alone = row_cosines(spark, alone.join(mixed, "path", "left_anti").dropDuplicates(["path"]), "path")
+    together = cosines(spark, files.join(mixed, "path", "left_semi").select("path", "text").distinct(), "path", "text")
+    whole = alone.unionByName(together)
     cover = whole.where((F.col("cosine") >= file_cosine) | named).select("path", "license", "cosine", F.lit(True).alias("covers"))
     # A licence file's own statement is that of its whole text, unless a line says it more clearly.
     both = header.unionByName(cover).withColumn("any_cover", F.max("covers").over(Window.partitionBy("path")))
@@ -185,7 +269,7 @@ def licenses(spark: SparkSession, files: DataFrame) -> DataFrame:
 
 
 #: Documents of one directory.
-DIRECTORY_DOCS = 1024
+DIRECTORY_DOCS = 16
 
 
 def document_files(docs: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 import duckdb
@@ -36,6 +37,34 @@ def test_every_template_has_a_key_word():
     assert not re.search(L.KEY_PATTERN, "mit und nd cc the unlicensedx")
 
 
+def test_narrowing_loses_nothing(spark):
+    rng = random.Random(6)
+    pool = [w for _, text in L.TEMPLATES for w in L.words(text)] + ["cat", "river", "zebra", "quelo"]
+    units = ["Version 2.0, January 2004", "released into the public domain", "software released into the public domain",
+             "in source and binary forms, with or without modification, are permitted provided that the following conditions are met"]
+    units += [" ".join(rng.choice(pool) for _ in range(rng.choice([2, 5, 12, 60, 400]))) for _ in range(400)]
+    units += [" ".join(rng.choice(text.split()) for _ in range(rng.choice([3, 8, 20])))  for _, text in L.TEMPLATES for _ in range(6)]
+    units = sorted(set(units))
+    df = spark.createDataFrame([(u,) for u in units], "u string")
+    for least in (L.FILE_COSINE, L.HEADER_COSINE):
+        want = {u: c for u in units if (c := round(max(cosine(u, t) for _, t in L.TEMPLATES), 9)) >= least}
+        near = L.may_reach(df, "u", least)
+        got = {r.u: r.cosine for r in L.row_cosines(spark, near, "u").where(f"cosine >= {least}").collect()}
+        assert len(want) > 30 and not {u for u in want if abs(want[u] - least) > 1e-7} ^ {u for u in got if abs(got[u] - least) > 1e-7}
+        assert all(abs(got[u] - want[u]) < 1e-6 for u in got)
+
+
+def test_lines_and_texts_without_the_oracles_words(spark):
+    body = "in source and binary forms, with or without modification, are permitted provided that the following conditions are met"
+    files = [("a/x.txt", "prose of a day\n" + "word " * 90 + "\nsoftware released into the public domain"),
+             ("b/y.txt", body), ("b/z.txt", "code"), ("c/two.txt", "the public domain"), ("c/two.txt", "software released into")]
+    got = {r.path: (r.license, r.basis, r.from_path)
+           for r in L.licenses(spark, spark.createDataFrame(files, "path string, text string")).collect()}
+    assert got["a/x.txt"] == ("Unlicense", "header", "a/x.txt")
+    assert got["b/y.txt"] == ("BSD-3-Clause", "file", "b/y.txt") and got["b/z.txt"] == ("BSD-3-Clause", "inherited", "b/y.txt")
+    assert got["c/two.txt"][1:] == ("file", "c/two.txt")
+
+
 def test_inheritance_from_the_nearest_directory(spark):
     files = [("LICENSE", MIT), ("a/b/COPYING", GPL), ("a/b/c/x.py", "code"), ("a/b/c/d/y.py", None), ("a/z.py", "code"),
              ("w.py", ""), ("a/b/own.py", "# Licensed under the Apache License, Version 2.0\ncode here " + "word " * 50)]
