@@ -9,7 +9,7 @@ folder and reads it back as the next stage's ``docs``.
    a probability below :data:`LEAST_LANGUAGE`, go.
 3. ``near_duplicates`` (operator 4): of each component one row stays, that of
    the least ``doc_id``, then of the least hash of the text.
-4. ``decontamination`` (operator 8): documents that hold a benchmark item go.
+4. ``decontamination`` (operator 8): rows whose text holds a benchmark item go.
 5. ``tokens`` (operator 9): ``doc_id, n_tokens, ids, round_trip, decoded_crc32``.
 
 The models of stages 1 and 2 learn from the stage's own documents (and
@@ -48,9 +48,10 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontamination.leaks(spark, docs, table(spark, sf_dir, "benchmark"))
-    bad = stage(spark, found.select(F.col("doc_id").alias("_id")).distinct(), "leaking-documents")
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_id"]), "left_anti")
+    found = decontamination.leaks(spark, docs, table(spark, sf_dir, "benchmark"), text_hash=True)
+    bad = stage(spark, found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "leaking-documents")
+    same = docs["doc_id"].cast("long").eqNullSafe(bad["_id"]) & (F.xxhash64(docs["text"]) == bad["_hash"])
+    return docs.join(bad, same, "left_anti")
 
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,6 +42,7 @@ MIN_MATCH = 5
 MIN_COVERAGE = 0.5
 BLOCK_BYTES = 16 << 20
 LEAKS = "doc_id long, item_id long, n_tiles long, tiled_tokens long, item_tokens long, coverage double"
+HASH = "text_hash long"
 
 
 def window_hashes(tokens: np.ndarray, size: int) -> np.ndarray:
@@ -158,8 +159,11 @@ def _tiled(items: Items, doc_id: int | None, tokens: np.ndarray,
 
 
 def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH,
-          min_coverage: float = MIN_COVERAGE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Pairs of document and benchmark item whose tiles cover at least ``min_coverage`` of the item."""
+          min_coverage: float = MIN_COVERAGE, block_bytes: int = BLOCK_BYTES, text_hash: bool = False) -> DataFrame:
+    """Pairs of document and benchmark item whose tiles cover at least ``min_coverage`` of the item.
+
+    With ``text_hash`` also the text's ``xxhash64``, which tells rows of one ``doc_id`` apart.
+    """
     prepared(spark)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -167,7 +171,7 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, min_match:
     if blocks > 1:
         items = stage(spark, items.withColumn(
             "block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))).repartition("block"), "benchmark-blocks")
-    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"), F.xxhash64("text").alias("text_hash"))
     out = None
     for b in range(blocks):
         part = items.where(F.col("block") == b).drop("block") if blocks > 1 else items
@@ -178,10 +182,10 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, min_match:
         def run(records: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             block, schema = shared.value, pa.schema([
                 ("doc_id", pa.int64()), ("item_id", pa.int64()), ("n_tiles", pa.int64()), ("tiled_tokens", pa.int64()),
-                ("item_tokens", pa.int64()), ("coverage", pa.float64())])
+                ("item_tokens", pa.int64()), ("coverage", pa.float64()), ("text_hash", pa.int64())])
             for batch in batches(records):
                 found: list[tuple] = []
-                ids = batch.column(0)
+                ids, marks = batch.column(0), batch.column(2)
                 for words in batch_words(batch.column(1), punctuation=True):
                     bounds, by_doc = words.bounds(), {}
                     for seed, at, item, start in block.seeds_in(words.hash):
@@ -194,14 +198,15 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, min_match:
                                 by_doc.setdefault(int(d[0]), []).append((seed, a - bounds[d[0]], i, j))
                     for d, hits in sorted(by_doc.items()):
                         tokens = words.hash[bounds[d]:bounds[d + 1]]
-                        found += _tiled(block, ids[words.first + d].as_py(), tokens, hits, min_coverage)
+                        mark = marks[words.first + d].as_py()
+                        found += [(*t, mark) for t in _tiled(block, ids[words.first + d].as_py(), tokens, hits, min_coverage)]
                 if found:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(zip(*found, strict=True), schema.types, strict=True)], schema=schema)
 
-        here = picked.mapInArrow(run, LEAKS)
+        here = picked.mapInArrow(run, f"{LEAKS}, {HASH}")
         out = here if out is None else out.unionByName(here)
-    return out
+    return out if text_hash else out.drop("text_hash")
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

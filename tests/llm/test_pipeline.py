@@ -42,6 +42,19 @@ def test_stages_on_planted_rows(spark, tmp_path):
     assert {r.doc_id for r in docs.where("not round_trip").collect()} == set()
 
 
+def test_decontamination_judges_rows_of_one_id_each(spark, tmp_path):
+    item = " ".join(f"bench{k}" for k in range(20))
+    rows = [(i, text, "en", "s", 1) for i in (None, 5, 6) for text in (f"leaking {i} {item}", f"clean text of {i}", None)]
+    rows += [(7, item, "en", "s", 1), (7, item, "en", "s", 2), (8, "clean text of None", "en", "s", 1)]
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    out = P.decontamination_stage(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns
+    want = [r[:2] for r in rows if r[1] is None or "bench" not in r[1]]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in out.collect()))) == sorted(map(str, want))
+
+
 def test_empty_tables_pass_through(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
