@@ -45,9 +45,12 @@ ITERATIONS = 120
 
 # Fixed values of HTML: elements without content, whose text is not shown, and within a line.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style head noscript template svg math iframe object audio video canvas select textarea title".split())
+HIDDEN = frozenset("script style head noscript template svg iframe object audio video canvas select textarea title "
+                   "annotation annotation-xml mphantom".split())
 INLINE = frozenset(("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span "
-                    "strike strong sub sup time tt u var nobr ruby rb rt rp").split())
+                    "strike strong sub sup time tt u var nobr ruby rb rt rp "
+                    "math maction menclose merror mfenced mfrac mi mlabeledtr mmultiscripts mn mo mover mpadded mprescripts mroot mrow "
+                    "ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics").split())
 CLOSES_P = frozenset(("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form "
                       "h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul").split())
 # An opening tag of the left closes an open element of the right, up to the boundary.
@@ -94,7 +97,7 @@ def _attributes(raw: str) -> tuple[tuple, int]:
             label = int(value)
         else:
             names += [x.lower() for x in _PART.findall(value)]
-    return tuple(dict.fromkeys(names))[:12], label
+    return tuple(dict.fromkeys(names)), label
 
 
 def parse(html: str) -> Tree:
@@ -142,6 +145,8 @@ def parse(html: str) -> Tree:
             continue
         if tag in INLINE:
             links = 1 if tag == "a" else links
+            if tag == "mtd":  # cells of a matrix are apart
+                run.append(" ")
             continue
         if tag in VOID:
             if tag == "br":

@@ -25,6 +25,23 @@ def test_blocks_references_and_inline_elements():
     assert text(page) == "A & B!\nOnetwo three four five. é <b>\nSecond paragraph, unclosed.\nThird."
 
 
+def test_long_lists_of_names():
+    many = "".join(f" w{chr(97 + k)}-{chr(97 + k)}x" for k in range(20))
+    for own, word in (('id="comments"', "comments"), ('role="complementary"', "complementary")):
+        tree = H.parse(f'<div class="{many}" {own}><p>Words.</p></div>')
+        assert word in tree.names[1] and {"wa", "tx"} <= set(tree.names[1])
+    page = (f'<body><article><h1>Title here</h1><p>One paragraph of the article.</p><p>And a second one.</p></article>'
+            f'<div class="{many}" id="comments"><h3>Comments</h3><div class="{many} comment"><p>First! I like this very much.</p></div></div></body>')
+    assert text(page) == "Title here\nOne paragraph of the article.\nAnd a second one."
+
+
+def test_formulas_are_text():
+    page = ('<article><h1>Sums</h1><p>We know <math><semantics><mrow><mi>x</mi><mo>=</mo><msup><mi>y</mi><mn>2</mn></msup></mrow>'
+            '<annotation encoding="application/x-tex">x=y^2</annotation></semantics></math> from the start of this.</p>'
+            '<p>And <math><mtable><mtr><mtd><mn>1</mn></mtd><mtd><mn>2</mn></mtd></mtr></mtable></math> too, in the end.</p></article>')
+    assert text(page) == "Sums\nWe know x=y2 from the start of this.\nAnd 1 2 too, in the end."
+
+
 def test_odd_pages():
     assert H.extract_texts(H.trained(), [None, "", "   ", "<", "<p", "<!--", "</div></p>", "<script>x"]) == ["", "", "", "<", "<p", "", "", ""] \
         or all(isinstance(x, str) for x in H.extract_texts(H.trained(), [None, "", "   ", "<", "<p", "<!--", "</div></p>", "<script>x"]))
