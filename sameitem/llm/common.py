@@ -167,3 +167,26 @@ def batches(records: Iterator[pa.RecordBatch], rows: int = 2048) -> Iterator[pa.
     for batch in records:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+def runs(records: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables of consecutive rows with equal ``keys`` (integers, not null), also over batch borders."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in records:
+        if not batch.num_rows:
+            continue
+        values = [batch.column(batch.schema.get_field_index(k)).to_numpy() for k in keys]
+        differs = np.zeros(batch.num_rows - 1, dtype=bool)
+        for v in values:
+            differs |= v[1:] != v[:-1]
+        edges = [0, *(np.flatnonzero(differs) + 1).tolist(), batch.num_rows]
+        for lo, hi in zip(edges, edges[1:]):
+            key = tuple(int(v[lo]) for v in values)
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = key
+            held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield pa.Table.from_batches(held)
