@@ -20,6 +20,12 @@ Scale design
   iff both agree on the fields that are non-null on both sides, so joining
   rows of pattern P with rows of pattern Q on the projection to P∩Q gives
   each compatible pair exactly once per orientation.
+* Titles of one block with the same eleven attributes are one *identity class*
+  (:func:`title_classes`).  Any two of them are a strong match (C3) whatever their
+  scores, and so are classes of one phone identity, so such pairs are counted
+  (:func:`identity_links`) and represented by one star edge per title
+  (:func:`identity_edges`); only pairs of titles in compatible classes without a
+  strong match are enumerated (:func:`open_title_pairs`).
 """
 
 from __future__ import annotations
@@ -29,10 +35,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sameitem.functions.rules import CONFLICT_FIELDS, STRICT_CONDITIONS
+from sameitem.functions.rules import CONFLICT_FIELDS, STRICT_CONDITIONS, strong_reason
 from sameitem.functions.titles import ATTRIBUTES
 
 SEP = "\u0001"
+ABSENT = "\u0002"
 
 
 def block_keys(df: DataFrame) -> DataFrame:
@@ -153,6 +160,90 @@ def _patterns(df: DataFrame) -> Column:
     return F.array(*[F.lit(p) for p in found]) if found else F.array().cast("array<int>")
 
 
+def class_key() -> Column:
+    """The identity class of a title node as text: its block and its eleven attributes."""
+    return F.concat_ws(SEP, F.col("block"), *[F.coalesce(F.col(a), F.lit(ABSENT)) for a in ATTRIBUTES])
+
+
+def title_classes(nodes: DataFrame) -> DataFrame:
+    """Identity classes of title nodes: one row per block and attribute tuple.
+
+    ``class_id`` is the least node id; ``n_titles``, ``n_listings`` and ``squares`` (sum of the
+    titles' squared listing counts) are what :func:`identity_links` counts from.
+    """
+    return (nodes.groupBy(class_key().alias("class_key"))
+            .agg(F.min("node_id").alias("class_id"), F.any_value("block").alias("block"),
+                 F.any_value("category").alias("category"), F.any_value("pattern").alias("pattern"),
+                 F.any_value("strict_cond").alias("strict_cond"),
+                 F.count(F.lit(1)).alias("n_titles"), F.sum("n_listings").alias("n_listings"),
+                 F.sum(pair_product(F.col("n_listings"), F.col("n_listings"))).alias("squares"),
+                 *[F.any_value(a).alias(a) for a in ATTRIBUTES]))
+
+
+def class_members(nodes: DataFrame, classes: DataFrame) -> DataFrame:
+    """``node_id, class_id`` of every title node (``classes`` staged, so that a heavy class can be split)."""
+    return (nodes.select("node_id", class_key().alias("class_key"))
+            .join(classes.select("class_key", "class_id"), "class_key").select("node_id", "class_id"))
+
+
+def class_pairs(classes: DataFrame, min_non_null_fields: int = 0) -> DataFrame:
+    """Compatible pairs of classes, each with itself included: ``class_id_1 <= class_id_2, strong``.
+
+    ``strong`` is the reason (C3) that merges every pair of titles between the two
+    classes, null where scores decide.  Joined like :func:`compatible_title_pairs`.
+    """
+    pairs = compatible_title_pairs(classes.withColumnRenamed("class_id", "node_id")).select(
+        F.col("node_id_1").alias("class_id_1"), F.col("node_id_2").alias("class_id_2"))
+    own = classes.where(F.col("n_titles") > 1).select(F.col("class_id").alias("class_id_1"), F.col("class_id").alias("class_id_2"))
+    cols = ["class_id", "category", *ATTRIBUTES]
+    sides = [classes.select(*[F.col(c).alias(c + s) for c in cols]) for s in ("_1", "_2")]
+    # Distinct titles never match exactly; conflicts are out already.
+    p = (pairs.unionByName(own).join(sides[0], "class_id_1").join(sides[1], "class_id_2")
+         .withColumns({"normalized_title_1": F.lit("1"), "normalized_title_2": F.lit("2")}))
+    return p.select("class_id_1", "class_id_2",
+                    strong_reason(F.lit(None).cast("string"), min_non_null_fields).alias("strong"))
+
+
+def identity_links(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Exact numbers of strong matches per pair of classes, without a row per pair of titles.
+
+    ``class_id_1, class_id_2, reason, n_links`` (pairs of titles), ``n_pairs`` (pairs of
+    listings with different titles).
+    """
+    cols = ["class_id", "n_titles", "n_listings", "squares"]
+    sides = [classes.select(*[F.col(c).alias(c + s) for c in cols]) for s in ("_1", "_2")]
+    p = pairs.where(F.col("strong").isNotNull()).join(sides[0], "class_id_1").join(sides[1], "class_id_2")
+    same = F.col("class_id_1") == F.col("class_id_2")
+    # Of N listings, those of different titles make (N * N - sum of n * n) / 2 pairs; the difference is even.
+    within = big((pair_product(F.col("n_listings_1"), F.col("n_listings_1")) - F.col("squares_1")) / 2)
+    return p.select("class_id_1", "class_id_2", F.col("strong").alias("reason"),
+                    F.when(same, pairs_within(F.col("n_titles_1"))).otherwise(pair_product(F.col("n_titles_1"), F.col("n_titles_2"))).alias("n_links"),
+                    F.when(same, within).otherwise(pair_product(F.col("n_listings_1"), F.col("n_listings_2"))).alias("n_pairs"))
+
+
+def identity_edges(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """Title pairs that stand for all strong matches: a star per class and an edge per pair of classes.
+
+    They connect what all strong matches connect; ``node_id_1 < node_id_2``.
+    """
+    strong = pairs.where(F.col("strong").isNotNull())
+    centre = strong.where(F.col("class_id_1") == F.col("class_id_2")).select(F.col("class_id_1").alias("class_id"))
+    star = (members.where(F.col("node_id") != F.col("class_id")).join(centre, "class_id")
+            .select(F.col("class_id").alias("node_id_1"), F.col("node_id").alias("node_id_2")))
+    between = strong.where(F.col("class_id_1") < F.col("class_id_2")).select(
+        F.col("class_id_1").alias("node_id_1"), F.col("class_id_2").alias("node_id_2"))
+    return star.unionByName(between)
+
+
+def open_title_pairs(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """Title pairs of compatible classes that no strong match decides: ``node_id_1 < node_id_2``."""
+    open_ = pairs.where(F.col("strong").isNull()).select("class_id_1", "class_id_2")
+    one, two = (members.select(F.col("class_id").alias(f"class_id_{s}"), F.col("node_id").alias(f"n{s}")) for s in "12")
+    met = open_.join(one, "class_id_1").join(two, "class_id_2")
+    return met.where((F.col("class_id_1") != F.col("class_id_2")) | (F.col("n1") < F.col("n2"))).select(
+        F.least("n1", "n2").alias("node_id_1"), F.greatest("n1", "n2").alias("node_id_2"))
+
+
 def big(n: Column) -> Column:
     """Counts of pairs are decimal(38,0) throughout: they outgrow a long."""
     return n.cast("decimal(38,0)")

@@ -23,8 +23,8 @@ def read_labels_csv(spark, path: str) -> DataFrame:
     return spark.read.schema(LABEL_SCHEMA).option("header", True).csv(path)
 
 
-def labelled_predictions(labels: DataFrame, listings: DataFrame, final_pairs: DataFrame) -> DataFrame:
-    """J6 + J-h: gold pairs with ``pred_label`` and the pair's decision/reason."""
+def _labelled(labels: DataFrame, listings: DataFrame) -> DataFrame:
+    """Labelled pairs (``k1 <= k2``) with both listings' columns and their title nodes ``n1, n2``."""
     keyed = listings.select("listing_id", "title", "normalized_title", "category", *ATTRIBUTES,
                             block_id().alias("block"), core_storage_key().alias("cs"))
     g = labels.select(F.least("listing_id_1", "listing_id_2").cast("long").alias("k1"),
@@ -33,25 +33,44 @@ def labelled_predictions(labels: DataFrame, listings: DataFrame, final_pairs: Da
     s2 = keyed.select(*[F.col(c).alias(c + "_2") for c in keyed.columns])
     j = (g.join(s1, F.col("k1") == F.col("listing_id_1"), "left")
          .join(s2, F.col("k2") == F.col("listing_id_2"), "left"))
+    node_of = listings.groupBy("normalized_title").agg(F.min("listing_id").alias("node"))
+    return (j.join(node_of.select(F.col("normalized_title").alias("normalized_title_1"), F.col("node").alias("n1")),
+                   "normalized_title_1", "left")
+            .join(node_of.select(F.col("normalized_title").alias("normalized_title_2"), F.col("node").alias("n2")),
+                  "normalized_title_2", "left"))
+
+
+def labelled_strong_pairs(labels: DataFrame, listings: DataFrame, min_non_null_fields: int = 0) -> DataFrame:
+    """Distinct title pairs ``node_id_1 < node_id_2`` of labelled pairs that strong identity decides."""
+    strong = R.strong_reason(R.conflict_reason(), min_non_null_fields)
+    j = _labelled(labels, listings).where((F.col("n1") != F.col("n2")) & (F.col("block_1") == F.col("block_2"))
+                                          & R.conflict_reason().isNull() & strong.isNotNull())
+    return j.select(F.least("n1", "n2").alias("node_id_1"), F.greatest("n1", "n2").alias("node_id_2")).distinct()
+
+
+def labelled_predictions(labels: DataFrame, listings: DataFrame, final_pairs: DataFrame,
+                         min_non_null_fields: int = 0) -> DataFrame:
+    """J6 + J-h: gold pairs with ``pred_label`` and the pair's decision/reason.
+
+    Strong identity is decided on the labelled pair itself, so ``final_pairs``
+    need not list such pairs; where it does, it gives their score.
+    """
+    j = _labelled(labels, listings)
     candidate = (F.col("listing_id_1").isNotNull() & F.col("listing_id_2").isNotNull() & (F.col("k1") != F.col("k2"))
                  & ((F.col("block_1") == F.col("block_2")) | (F.col("cs_1") == F.col("cs_2"))))
     conflict = R.conflict_reason()
-    node_of = listings.groupBy("normalized_title").agg(F.min("listing_id").alias("node"))
-    j = (j.join(node_of.select(F.col("normalized_title").alias("normalized_title_1"), F.col("node").alias("n1")),
-                "normalized_title_1", "left")
-         .join(node_of.select(F.col("normalized_title").alias("normalized_title_2"), F.col("node").alias("n2")),
-               "normalized_title_2", "left"))
+    strong = R.strong_reason(conflict, min_non_null_fields)
     fp = final_pairs.select(F.col("listing_id_1").alias("p1"), F.col("listing_id_2").alias("p2"),
                             F.col("decision").alias("pair_decision"), F.col("reason").alias("pair_reason"),
                             F.col("final_score").alias("pair_score"))
     j = j.join(fp, (F.least("n1", "n2") == F.col("p1")) & (F.greatest("n1", "n2") == F.col("p2")), "left")
     decision = (F.when(~F.coalesce(candidate, F.lit(False)), F.lit(None))
                 .when(conflict.isNotNull(), F.lit("reject"))
-                .when(F.col("normalized_title_1") == F.col("normalized_title_2"), F.lit("merge"))
+                .when(strong.isNotNull(), F.lit("merge"))
                 .otherwise(F.col("pair_decision")))
     reason = (F.when(~F.coalesce(candidate, F.lit(False)), F.lit(None))
               .when(conflict.isNotNull(), conflict)
-              .when(F.col("normalized_title_1") == F.col("normalized_title_2"), F.lit("exact_normalized_match"))
+              .when(strong.isNotNull(), strong)
               .otherwise(F.col("pair_reason")))
     return j.select(F.col("k1").alias("listing_id_1"), F.col("k2").alias("listing_id_2"), "label",
                     decision.alias("decision"), reason.alias("reason"),
@@ -89,12 +108,21 @@ def misclassified(pred: DataFrame) -> DataFrame:
     return pred.withColumn("error_kind", kind).where(F.col("error_kind").isNotNull())
 
 
-def weighted_decisions(final_pairs: DataFrame, same_title: DataFrame, conflicts: DataFrame) -> DataFrame:
-    """All candidate listing pairs as ``decision, reason, pairs`` (G10 source)."""
+def weighted_decisions(final_pairs: DataFrame, same_title: DataFrame, conflicts: DataFrame,
+                       links: DataFrame | None = None) -> DataFrame:
+    """All candidate listing pairs as ``decision, reason, pairs`` (G10 source).
+
+    ``links``: counted strong matches (:func:`sameitem.operators.blocking.identity_links`)
+    that ``final_pairs`` doesn't list.
+    """
     scored = final_pairs.groupBy("decision", "reason").agg(big(F.sum("n_pairs")).alias("pairs"))
     same = same_title.groupBy("decision", "reason").agg(big(F.sum("n_pairs")).alias("pairs"))
     conf = conflicts.select(F.lit("reject").alias("decision"), "reason", "pairs")
-    return (scored.unionByName(same).unionByName(conf)
+    parts = scored.unionByName(same).unionByName(conf)
+    if links is not None:
+        parts = parts.unionByName(links.groupBy("reason").agg(big(F.sum("n_pairs")).alias("pairs"))
+                                  .select(F.lit("merge").alias("decision"), "reason", "pairs"))
+    return (parts
             .groupBy("decision", "reason").agg(big(F.sum("pairs")).alias("pairs")))
 
 

@@ -43,12 +43,12 @@ def _side(nodes: DataFrame, suffix: str) -> DataFrame:
     return nodes.select(*[F.col(c).alias(c + suffix) for c in cols])
 
 
-def rule_pairs(nodes: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+def rule_pairs(nodes: DataFrame, pairs: DataFrame | None = None, min_non_null_fields: int = 0) -> DataFrame:
     """Compatible title pairs with both sides' attributes and the score-free rules.
 
     Adds ``attribute`` (M2), ``emb`` (M3), ``_conflict`` (C2, always null
     here) and ``_strong`` (C3).  No Python: the strong-identity slice of the
-    pipeline runs on this alone.
+    pipeline runs on this alone.  ``min_non_null_fields``: see :func:`R.strong_reason`.
     """
     pairs = compatible_title_pairs(nodes) if pairs is None else pairs
     p = (pairs.join(_side(nodes, "_1"), "node_id_1").join(_side(nodes, "_2"), "node_id_2"))
@@ -57,7 +57,7 @@ def rule_pairs(nodes: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
         "emb": R.cosine(F.col("embedding_1"), F.col("embedding_2")),
         "_conflict": R.conflict_reason(),
     })
-    return p.withColumn("_strong", R.strong_reason(F.col("_conflict")))
+    return p.withColumn("_strong", R.strong_reason(F.col("_conflict"), min_non_null_fields))
 
 
 def strong_edges(nodes: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
@@ -68,7 +68,7 @@ def strong_edges(nodes: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
                     F.lit("merge").alias("decision"), F.col("_strong").alias("reason"))
 
 
-def score_pairs(nodes: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+def score_pairs(nodes: DataFrame, pairs: DataFrame | None = None, min_non_null_fields: int = 0) -> DataFrame:
     """R2 for compatible title pairs: scores, decision, reason.
 
     The Python UDF sees each distinct title pair once; everything else is
@@ -77,7 +77,7 @@ def score_pairs(nodes: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """
     spark = nodes.sparkSession
     pairs = compatible_title_pairs(nodes) if pairs is None else pairs
-    p = rule_pairs(nodes, pairs)
+    p = rule_pairs(nodes, pairs, min_non_null_fields)
     # The ratios are CPU-bound: AQE would coalesce the byte-small pair table into
     # few partitions.  A numbered repartition is never coalesced; it grows with the pairs.
     n = max(spark.sparkContext.defaultParallelism, -(-pairs.count() // PAIRS_PER_TASK))

@@ -34,6 +34,12 @@ def build() -> dict[str, str]:
     sql["compatible_pairs"] = (_base() + ",\n" + O.compat_pairs_ctes()
                                + " select listing_id_1, listing_id_2, n_pairs, attribute_score, embedding_score, "
                                  "strong_reason from CP")
+    tuples = ", ".join(["block", *ATTRIBUTES])
+    sql["identity_classes"] = (
+        _base() + ",\n" + O.compat_pairs_ctes() + f",\nCL as (select node_id, min(node_id) over (partition by {tuples}) as class_id from NODES) "
+        "select least(x.class_id, y.class_id) as class_id_1, greatest(x.class_id, y.class_id) as class_id_2, strong_reason as reason, "
+        "count(*)::BIGINT as n_links, sum(n_pairs)::BIGINT as n_pairs from CP join CL x on x.node_id = listing_id_1 "
+        "join CL y on y.node_id = listing_id_2 where strong_reason is not null group by 1, 2, 3")
     sql["strong_components"] = (_base() + ",\n" + O.compat_pairs_ctes() + ",\n" + O.strong_component_ctes()
                                 + " select listing_id, component from LC")
     sql["strong_groups"] = (_base() + ",\n" + O.compat_pairs_ctes() + ",\n" + O.strong_component_ctes() + ",\n"

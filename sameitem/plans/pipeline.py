@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from sameitem.functions.titles import ATTRIBUTES, with_attributes
 from sameitem.operators import analysis, evaluation, groups, verdicts
-from sameitem.operators.blocking import (block_keys, candidate_pair_count, compatible_title_pairs, conflict_counts,
+from sameitem.operators.blocking import (block_keys, candidate_pair_count, class_members, class_pairs, compatible_title_pairs,
+                                         conflict_counts, identity_edges, identity_links, open_title_pairs, title_classes,
                                          title_nodes, variant_conflicts)
 from sameitem.operators.components import connected_components
 from sameitem.operators.matching import nodes_with_vectors, same_title_edges, score_pairs
@@ -29,10 +30,23 @@ class Run:
     ``verdict_source``: ``None`` (no verdict service: routed pairs are
     conservative rejects), ``"replay"`` (replies derived from the outbox,
     for tests) or a DataFrame with :data:`verdicts.VERDICT_SCHEMA`.
+
+    ``listing``: ``"classes"`` scores only the title pairs that strong identity doesn't
+    decide; the others are counted, and merged by one edge per title, so a block of
+    equal attributes costs rows in proportion to its titles.  Decisions, counts,
+    groups and evaluation are the same as with ``"all"``, which lists and scores
+    every compatible title pair; only a group's ``confidence``, the least score of its
+    merges, is then taken over the scored edges alone.
+
+    ``min_non_null_fields``: present attributes that an all-attributes match needs
+    (0, the reference's rule: null equals null).
     """
 
     def __init__(self, spark: SparkSession, raw: DataFrame, vectors: DataFrame | None = None,
-                 labels: DataFrame | None = None, verdict_source=None, mode: str = "drop"):
+                 labels: DataFrame | None = None, verdict_source=None, mode: str = "drop",
+                 listing: str = "classes", min_non_null_fields: int = 0):
+        if listing not in ("classes", "all"):
+            raise ValueError(f"listing is 'classes' or 'all', not {listing!r}")
         self.spark = configure(spark)
         ship_package(spark)
         self.raw = raw
@@ -40,6 +54,8 @@ class Run:
         self.labels = labels
         self.verdict_source = verdict_source
         self.mode = mode
+        self.listing = listing
+        self.min_non_null_fields = min_non_null_fields
 
     @classmethod
     def from_fixture(cls, spark: SparkSession, sf_dir: str, verdict_source="replay", **kw) -> "Run":
@@ -84,13 +100,42 @@ class Run:
     def nodes(self) -> DataFrame:
         return nodes_with_vectors(self.title_nodes, self.vectors)
 
+    @cached_property
+    def classes(self) -> DataFrame:
+        return stage(title_classes(self.title_nodes), "title-classes")
+
+    @cached_property
+    def members_of_classes(self) -> DataFrame:
+        return stage(class_members(self.title_nodes, self.classes), "class-members")
+
+    @cached_property
+    def class_pairs(self) -> DataFrame:
+        return stage(class_pairs(self.classes, self.min_non_null_fields), "class-pairs")
+
+    @cached_property
+    def links(self) -> DataFrame:
+        """Strong matches, counted per pair of classes."""
+        return identity_links(self.class_pairs, self.classes)
+
+    @cached_property
+    def identity_edges(self) -> DataFrame:
+        return stage(identity_edges(self.class_pairs, self.members_of_classes), "identity-edges")
+
     @cached_property
     def pairs(self) -> DataFrame:
-        return stage(compatible_title_pairs(self.title_nodes), "title-pairs")
+        """The title pairs that are scored."""
+        found = (compatible_title_pairs(self.title_nodes) if self.listing == "all"
+                 else open_title_pairs(self.class_pairs, self.members_of_classes))
+        return stage(found, "title-pairs")
 
     @cached_property
     def scored(self) -> DataFrame:
-        return stage(score_pairs(self.nodes, self.pairs), "scored-pairs")
+        return stage(score_pairs(self.nodes, self.pairs, self.min_non_null_fields), "scored-pairs")
+
+    @cached_property
+    def scored_edges(self) -> DataFrame:
+        """The edges that stand for the strong matches, scored: one per title and pair of classes."""
+        return stage(score_pairs(self.nodes, self.identity_edges, self.min_non_null_fields), "scored-edges")
 
     @cached_property
     def requests(self) -> DataFrame:
@@ -122,20 +167,24 @@ class Run:
 
     @cached_property
     def weighted(self) -> DataFrame:
-        return evaluation.weighted_decisions(self.final_pairs, self.same_title, self.conflicts)
+        return evaluation.weighted_decisions(self.final_pairs, self.same_title, self.conflicts,
+                                             self.links if self.listing == "classes" else None)
 
     # -- groups -------------------------------------------------------------
     @cached_property
     def merge_edges(self) -> DataFrame:
         cols = ["listing_id_1", "listing_id_2", "final_score", "decision", "reason"]
-        return (self.final_pairs.where(F.col("decision") == "merge").select(*cols)
-                .unionByName(self.same_title.select(*cols)))
+        edges = (self.final_pairs.where(F.col("decision") == "merge").select(*cols)
+                 .unionByName(self.same_title.select(*cols)))
+        return edges if self.listing == "all" else edges.unionByName(self.scored_edges.select(*cols))
 
     @cached_property
     def components(self) -> DataFrame:
-        e = self.merge_edges.where(F.col("listing_id_1") != F.col("listing_id_2"))
-        return stage(connected_components(
-            e.select(F.col("listing_id_1").alias("src"), F.col("listing_id_2").alias("dst"))), "components")
+        ends = [F.col("listing_id_1").alias("src"), F.col("listing_id_2").alias("dst")]
+        e = self.final_pairs.where(F.col("decision") == "merge").select(*ends)
+        if self.listing == "classes":
+            e = e.unionByName(self.identity_edges.toDF("src", "dst"))
+        return stage(connected_components(e), "components")
 
     @cached_property
     def members(self) -> DataFrame:
@@ -159,7 +208,13 @@ class Run:
     def predictions(self) -> DataFrame:
         if self.labels is None:
             raise ValueError("no labels")
-        return evaluation.labelled_predictions(self.labels, self.listings, self.final_pairs)
+        pairs = self.final_pairs.select("listing_id_1", "listing_id_2", "decision", "reason", "final_score")
+        if self.listing == "classes":
+            # Scores of the labelled pairs that strong identity decides: as many as labels, not as pairs.
+            strong = evaluation.labelled_strong_pairs(self.labels, self.listings, self.min_non_null_fields)
+            scored = score_pairs(self.nodes, stage(strong, "labelled-strong"), self.min_non_null_fields)
+            pairs = pairs.unionByName(scored.select(*pairs.columns))
+        return evaluation.labelled_predictions(self.labels, self.listings, pairs, self.min_non_null_fields)
 
     @cached_property
     def metrics(self) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from sameitem.functions.titles import ATTRIBUTES, with_attributes
 from sameitem.operators import analysis, evaluation, groups
 from sameitem.operators.components import connected_components
-from sameitem.operators.matching import rule_pairs, strong_edges
+from sameitem.operators.matching import rule_pairs
 from sameitem.operators.verdicts import parse_verdicts
 from sameitem.plans.pipeline import Run
 from sameitem.session import configure
@@ -69,8 +69,13 @@ def q_conflict_counts(spark, sf_dir):
     return _long(_run(spark, sf_dir).conflicts, "pairs")
 
 
+def q_identity_classes(spark, sf_dir):
+    """Strong matches per pair of identity classes, counted and not listed."""
+    return _long(_run(spark, sf_dir).links, "n_links", "n_pairs")
+
+
 def q_compatible_pairs(spark, sf_dir):
-    r = _run(spark, sf_dir)
+    r = _run(spark, sf_dir, listing="all")
     return rule_pairs(r.nodes, r.pairs).select(
         F.col("node_id_1").alias("listing_id_1"), F.col("node_id_2").alias("listing_id_2"),
         (F.col("n_listings_1") * F.col("n_listings_2")).alias("n_pairs"),
@@ -81,8 +86,7 @@ def q_compatible_pairs(spark, sf_dir):
 
 def _strong_run(spark, sf_dir):
     r = _run(spark, sf_dir)
-    se = strong_edges(r.title_nodes_only, r.pairs).select("listing_id_1", "listing_id_2")
-    comps = connected_components(se.select(F.col("listing_id_1").alias("src"), F.col("listing_id_2").alias("dst")))
+    comps = connected_components(r.identity_edges.toDF("src", "dst"))
     members = groups.listing_components(r.listings, r.title_nodes, comps)
     return r, members
 
@@ -106,8 +110,9 @@ def q_gold_pairs(spark, sf_dir):
 
 def q_strong_evaluation(spark, sf_dir):
     r = _run(spark, sf_dir)
-    se = strong_edges(r.title_nodes_only, r.pairs).withColumn("final_score", F.lit(None).cast("double"))
-    pred = evaluation.labelled_predictions(r.labels, r.listings, se)
+    # Strong identity is read off the labelled pair, so no pair is listed.
+    none = spark.createDataFrame([], "listing_id_1 long, listing_id_2 long, decision string, reason string, final_score double")
+    pred = evaluation.labelled_predictions(r.labels, r.listings, none)
     return evaluation.confusion_metrics(pred)
 
 
@@ -120,7 +125,7 @@ def q_document_attributes(spark, sf_dir):
 
 # -- full pipeline
 def q_fuzzy_scores(spark, sf_dir):
-    return _run(spark, sf_dir).scored.select("listing_id_1", "listing_id_2", "fuzzy_score", "final_score")
+    return _run(spark, sf_dir, listing="all").scored.select("listing_id_1", "listing_id_2", "fuzzy_score", "final_score")
 
 
 def q_match_decisions(spark, sf_dir):
@@ -128,7 +133,7 @@ def q_match_decisions(spark, sf_dir):
             "n_pairs", "fuzzy_score", "embedding_score", "attribute_score", "final_score", "decision", "reason",
             "llm_confidence", "llm_raw_decision", "llm_prompt_version", "llm_route", "pipeline_version",
             "score_version", "review_bucket"]
-    return _long(_run(spark, sf_dir).final_pairs.select(*cols), "n_pairs")
+    return _long(_run(spark, sf_dir, listing="all").final_pairs.select(*cols), "n_pairs")
 
 
 def q_decision_counts(spark, sf_dir):
@@ -152,7 +157,8 @@ def q_components(spark, sf_dir):
 
 
 def q_product_groups(spark, sf_dir):
-    g = _run(spark, sf_dir).groups
+    # The confidence is the least score of all merges, so all of them are scored.
+    g = _run(spark, sf_dir, listing="all").groups
     return g.select("group_id", "canonical_title", "n_listings", F.array_join("sources", "|").alias("sources"),
                     "min_price", "currency", "match_source", "confidence", "group_conflict",
                     "group_conflict_reason", "n_suspicious_low_price")
@@ -210,6 +216,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "block_keys": q_block_keys,
     "candidate_pair_count": q_candidate_pair_count,
     "conflict_counts": q_conflict_counts,
+    "identity_classes": q_identity_classes,
     "compatible_pairs": q_compatible_pairs,
     "strong_components": q_strong_components,
     "strong_groups": q_strong_groups,

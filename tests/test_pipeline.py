@@ -15,8 +15,9 @@ from sameitem.plans.queries import QUERIES
 from conftest import SF001
 
 
-def test_counts_match_brute_force(spark):
-    r = Run.from_fixture(spark, SF001)
+@pytest.mark.parametrize("listing", ["all", "classes"])
+def test_counts_match_brute_force(spark, listing):
+    r = Run.from_fixture(spark, SF001, listing=listing)
     L = r.listings
     ex = block_keys(L).select("listing_id", F.explode("block_keys").alias("k"))
     pairs = (ex.alias("a").join(ex.alias("b"), (F.col("a.k") == F.col("b.k")) & (F.col("a.listing_id") < F.col("b.listing_id")))
@@ -32,7 +33,8 @@ def test_counts_match_brute_force(spark):
     assert agg == {k: v for k, v in brute.items() if k is not None}
     scored = r.scored.agg(F.sum("n_pairs")).collect()[0][0]
     same = r.same_title.agg(F.sum("n_pairs")).collect()[0][0] or 0
-    assert scored + same == brute[None]
+    linked = r.links.agg(F.sum("n_pairs")).collect()[0][0] if listing == "classes" else 0
+    assert scored + linked + same == brute[None]
     dc = {x["decision"]: x["pairs"] for x in r.decision_counts().collect()}
     assert dc["total"] == total
     # The variant report's details add up to its summary.
