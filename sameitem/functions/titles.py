@@ -1,7 +1,8 @@
 """Title normalisation and attribute extraction as Spark column expressions.
 
-Everything here is a ``Column -> Column`` function built from
-``regexp_replace`` / ``rlike`` / ``regexp_extract``; no Python UDF.  Patterns carry ``(?U)`` so
+Everything here is a ``Column -> Column`` function of built-in expressions; no
+Python UDF.  Whole-word patterns are looked up among a text's words, cut once
+(:func:`known_words`); the other regexes run only where their literals occur.  Patterns carry ``(?U)`` so
 ``\\b``, ``\\w``, ``\\s`` and ``\\d`` are Unicode-aware like Python's ``re``.
 
 The dictionaries are parameters with the reference values as defaults, so a
@@ -10,6 +11,9 @@ caller can bring another catalogue.
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -152,6 +156,8 @@ SCORED_FIELDS = ["brand", "model_family", "model_number", "tier_variant", "displ
 # ---------------------------------------------------------------------------
 
 U = "(?U)"
+# What \\s is under (?U).
+WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200b))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def _rx(p: str) -> str:
@@ -179,7 +185,7 @@ def _alias_words(t: Column, aliases=HEBREW_ALIASES) -> Column:
 
 def _lower_strip(title: Column) -> Column:
     """N1"""
-    return F.regexp_replace(F.lower(title.cast("string")), r"(?U)^\s+|\s+\z", "")
+    return F.trim(F.lower(title.cast("string")), F.lit(WHITE_SPACE))
 
 
 def normalize_title(title: Column, aliases=HEBREW_ALIASES) -> Column:
@@ -221,6 +227,19 @@ def _normalize_units(t: Column) -> Column:
     return F.regexp_replace(t, _rx(STORAGE_UNITS[0]), STORAGE_UNITS[1])
 
 
+def _respell(t: Column, pattern: str, spelling: str) -> Column:
+    """``regexp_replace`` of a text that holds the pattern; others are only searched for its start.
+
+    Without the leading boundary, a pattern that begins with a letter fails at the
+    first letter of most positions, where a boundary test looks both ways.
+    """
+    first = pattern.removeprefix(r"\b")
+    literals = re.findall("[a-z\u05d0-\u05ea]{2,}", re.sub(r"\([^)]*\)|\[[^\]]*\]|\\[a-z]", " ", pattern))
+    return _bind(t, lambda x: F.when(
+        reduce(lambda p, q: p & q, [x.contains(w) for w in literals], F.lit(True)) & x.rlike(_rx(first)),
+        F.regexp_replace(x, _rx(pattern), spelling)).otherwise(x))
+
+
 def _normalize_rest(t: Column) -> Column:
     """N3-N9 on lowercased, aliased text."""
     t = _normalize_units(t)
@@ -238,56 +257,114 @@ def _normalize_rest(t: Column) -> Column:
 
     t = _bind(t, to_gb)
     for pattern, spelling in SPELLINGS:  # N5-N8
-        t = F.regexp_replace(t, _rx(pattern), spelling)
-    # N9
-    t = F.regexp_replace(t, r"[\-\+\(\),/|]", " ")
-    t = F.regexp_replace(t, r"(?U)\s+", " ")
-    return F.regexp_replace(t, r"(?U)^\s+|\s+\z", "")
+        t = _respell(t, pattern, spelling)
+    # Separators and white space become one space; single spaces are left as they are.
+    return F.trim(F.regexp_replace(t, _rx(r"[\s\-+(),/|]{2,}|[\s\-+(),/|&&[^ ]]"), " "))
+
+
+# -- dictionary words -----------------------------------------------------------
+
+def _plain(pattern: str) -> str | None:
+    """The word of a pattern that is one whole word."""
+    found = re.fullmatch(r"\\b([a-z0-9_]+)\\b", pattern)
+    return found and found[1]
+
+
+def _words(pattern: str) -> list[str]:
+    """The words of a pattern that is a list of figures and one unit, as whole words."""
+    found = re.fullmatch(r"\\b\(([0-9|]+)\)([a-z]*)\\b", pattern)
+    return [n + found[2] for n in found[1].split("|")]
+
+
+def _ahead(pattern: str) -> tuple[list[str], list[str]]:
+    """Words that a pattern with a look-ahead begins with, and those it looks for."""
+    head, tail = pattern.split("(?=", 1)
+    return _words(head), re.search(r"\(\?:([^)]*)\)", tail)[1].split("|")
+
 
+def dictionary() -> list[str]:
+    """All words that the extractors look up."""
+    plain = [_plain(p) for table in (BRAND_PATTERNS, FAMILY_PATTERNS, TIER_PATTERNS, CONNECTIVITY_PATTERNS, COLOR_PATTERNS)
+             for _, patterns in table for p in patterns]
+    figures = [*_words(STORAGE_GB), *_words(STORAGE_SSD), *_words(SCREEN_PATTERNS[2]),
+               *[w for p in (RAM_PATTERNS[1], SCREEN_PATTERNS[1]) for part in _ahead(p) for w in part]]
+    return list(dict.fromkeys([*filter(None, plain), *CONDITION_ORDER, "oled", "switch", "ram", "gps", "cellular", *figures]))
 
-def first_match(text: Column, patterns) -> Column:
+
+def known_words(t: Column) -> Column:
+    """The dictionary words of a text, each once, in order of their first place.
+
+    Word runs are cut once; a whole-word test is then a look-up in a short array.
+    """
+    return F.array_intersect(F.split(t, r"(?U)\W+"), F.array(*[F.lit(w) for w in dictionary()]))
+
+
+def _any(words: Column, of: list[str]) -> Column:
+    return F.arrays_overlap(words, F.array(*[F.lit(w) for w in of]))
+
+
+def _matches(t: Column, words: Column, pattern: str) -> Column:
+    """Whether a pattern is found: by look-up for a whole word, else by regex where its literals occur."""
+    word = _plain(pattern)
+    if word:
+        return F.array_contains(words, word)
+    bare = re.sub(r"\([^)]*\)\??|\[[^\]]*\]|\\[a-z]", " ", pattern)
+    tests = [t.contains(w) for w in re.findall(r"[a-z0-9]{2,}", re.sub(r"\{\d+\}", " ", bare))]
+    return reduce(lambda p, q: p & q, [*tests, t.rlike(_rx(pattern))])
+
+
+def first_match(t: Column, words: Column, patterns) -> Column:
     """A0: value of the first entry whose any pattern matches, else null."""
     out = None
     for value, pats in patterns:
-        cond = text.rlike(_rx("|".join(f"(?:{p})" for p in pats)))
+        # Look-ups come before regexes.
+        cond = reduce(lambda p, q: p | q, [_matches(t, words, p) for p in sorted(pats, key=lambda p: not _plain(p))])
         out = F.when(cond, F.lit(value)) if out is None else out.when(cond, F.lit(value))
     return out.otherwise(F.lit(None).cast("string"))
 
 
-def extract_display_variant(t: Column) -> Column:
-    return (F.when(t.rlike(_rx(r"\boled\b")), F.lit("oled"))
-            .when(t.rlike(_rx(r"\bswitch\b")), F.lit("standard")))
+def extract_display_variant(words: Column) -> Column:
+    return (F.when(F.array_contains(words, "oled"), F.lit("oled"))
+            .when(F.array_contains(words, "switch"), F.lit("standard")))
 
 
-def extract_connectivity(t: Column) -> Column:
-    both = t.rlike(_rx(r"\bgps\b")) & t.rlike(_rx(r"\bcellular\b"))
-    return F.when(both, F.lit("gps_cellular")).otherwise(first_match(t, CONNECTIVITY_PATTERNS))
+def extract_connectivity(t: Column, words: Column) -> Column:
+    both = F.array_contains(words, "gps") & F.array_contains(words, "cellular")
+    return F.when(both, F.lit("gps_cellular")).otherwise(first_match(t, words, CONNECTIVITY_PATTERNS))
 
 
-def extract_condition(t: Column) -> Column:
+def extract_condition(words: Column) -> Column:
     out = None
     for v in CONDITION_ORDER:
-        cond = t.rlike(_rx(rf"\b{v}\b"))
+        cond = F.array_contains(words, v)
         out = F.when(cond, F.lit(v)) if out is None else out.when(cond, F.lit(v))
     return out
 
 
-def extract_storage(t: Column) -> Column:
-    """The largest storage figure among all ``NNgb`` and ``NNssd`` hits."""
-    gb = F.regexp_extract_all(t, F.lit(_rx(STORAGE_GB)), 1)
-    ssd = F.regexp_extract_all(t, F.lit(_rx(STORAGE_SSD)), 1)
-    nums = F.transform(F.concat(gb, ssd), lambda x: x.cast("int"))
-    top = F.array_max(nums)
+def extract_storage(words: Column) -> Column:
+    """The largest storage figure among all ``NNgb`` and ``NNssd`` words."""
+    own = F.filter(words, lambda w: w.isin(*_words(STORAGE_GB), *_words(STORAGE_SSD)))
+    top = F.array_max(F.transform(own, lambda w: F.regexp_extract(w, "^[0-9]+", 0).cast("int")))
     return F.when(top.isNotNull(), F.concat(top.cast("string"), F.lit("gb")))
 
 
-def extract_ram(t: Column) -> Column:
-    v = F.coalesce(*[_extract(t, p) for p in RAM_PATTERNS])
+def _extract_ahead(t: Column, words: Column, pattern: str) -> Column:
+    """A pattern with a look-ahead, tried only where a word of each of its lists occurs."""
+    own, later = _ahead(pattern)
+    return F.when(_any(words, own) & _any(words, later), _extract(t, pattern))
+
+
+def extract_ram(t: Column, words: Column) -> Column:
+    v = F.coalesce(F.when(F.array_contains(words, "ram"), _extract(t, RAM_PATTERNS[0])),
+                   _extract_ahead(t, words, RAM_PATTERNS[1]))
     return F.when(v.isNotNull(), F.concat(v, F.lit("gb")))
 
 
-def extract_screen_size(t: Column) -> Column:
-    return F.coalesce(*[_extract(t, p) for p in SCREEN_PATTERNS])
+def extract_screen_size(t: Column, words: Column) -> Column:
+    sizes = F.filter(words, lambda w: w.isin(*_words(SCREEN_PATTERNS[2])))
+    return F.coalesce(F.when(t.contains("inch"), _extract(t, SCREEN_PATTERNS[0])),
+                      _extract_ahead(t, words, SCREEN_PATTERNS[1]),
+                      F.regexp_extract(F.get(sizes, F.lit(0)), "^[0-9]+", 0))
 
 
 def extract_model_number(t: Column, family: Column) -> Column:
@@ -305,36 +382,38 @@ def infer_category(family: Column, mapping=CATEGORY_BY_FAMILY) -> Column:
     return F.element_at(m, family)
 
 
-def attribute_columns(normalized: Column) -> dict[str, Column]:
-    """The 24 extracted columns from a normalised-title column."""
-    t = normalized
-    cols = {
-        "brand": first_match(t, BRAND_PATTERNS),
-        "model_family": first_match(t, FAMILY_PATTERNS),
-        "tier_variant": first_match(t, TIER_PATTERNS),
-        "display_variant": extract_display_variant(t),
-        "connectivity": extract_connectivity(t),
-        "condition": extract_condition(t),
-        "storage": extract_storage(t),
-        "ram": extract_ram(t),
-        "screen_size": extract_screen_size(t),
-        "color": first_match(t, COLOR_PATTERNS),
+def attribute_columns(t: Column, words: Column) -> dict[str, Column]:
+    """The attributes of a normalised title and its :func:`known_words`."""
+    return {
+        "brand": first_match(t, words, BRAND_PATTERNS),
+        "model_family": first_match(t, words, FAMILY_PATTERNS),
+        "tier_variant": first_match(t, words, TIER_PATTERNS),
+        "display_variant": extract_display_variant(words),
+        "connectivity": extract_connectivity(t, words),
+        "condition": extract_condition(words),
+        "storage": extract_storage(words),
+        "ram": extract_ram(t, words),
+        "screen_size": extract_screen_size(t, words),
+        "color": first_match(t, words, COLOR_PATTERNS),
     }
-    return cols
 
 
 def with_attributes(df, title_col: str = "title", aliases=HEBREW_ALIASES):
     """Append ``normalized_title``, 11 attributes, ``category`` and 11 confidences.
 
-    The title is normalised once, bound to a lambda variable and read by all
-    extractors in one ``inline``.  As expressions of a projection they would copy
-    the normalisation into each of the ~60 patterns and outgrow a generated method.
+    The title is normalised once and cut to words once; both are bound to lambda
+    variables that all extractors read in one ``inline``.  As expressions of a
+    projection they would copy the normalisation into each extractor and outgrow a
+    generated method.
     """
     nt = normalize_title(F.coalesce(F.col(title_col), F.lit("")), aliases)
-    found = F.transform(F.array(nt), lambda t: F.struct(
-        t.alias("normalized_title"), *[c.alias(k) for k, c in attribute_columns(t).items()]))
-    rest = [k for k in attribute_columns(nt) if k != "model_family"]
-    rows = F.transform(found, lambda s: F.struct(
+    rest = [k for k in ATTRIBUTES if k not in ("model_family", "model_number")]
+
+    def extracted(t: Column) -> Column:
+        return _bind(known_words(t), lambda words: F.struct(
+            t.alias("normalized_title"), *[c.alias(k) for k, c in attribute_columns(t, words).items()]))
+
+    rows = F.transform(F.transform(F.array(nt), extracted), lambda s: F.struct(
         s["normalized_title"].alias("normalized_title"), s["model_family"].alias("model_family"),
         *[s[k].alias(k) for k in rest],
         extract_model_number(s["normalized_title"], s["model_family"]).alias("model_number"),

@@ -19,7 +19,7 @@ from sameitem.operators.components import connected_components
 from sameitem.operators.matching import rule_pairs
 from sameitem.operators.verdicts import parse_verdicts
 from sameitem.plans.pipeline import Run
-from sameitem.session import configure
+from sameitem.session import configure, spread
 from sameitem.sources import fixture
 
 LISTING_COLS = ["listing_id", "title", "price", "source", "currency"]
@@ -118,7 +118,7 @@ def q_strong_evaluation(spark, sf_dir):
 
 def q_document_attributes(spark, sf_dir):
     """N*/A* over whole document texts (long multilingual prose)."""
-    docs = fixture.read_table(configure(spark), sf_dir, "documents").select("doc_id", "text")
+    docs = spread(fixture.read_table(configure(spark), sf_dir, "documents").select("doc_id", "text"))
     a = with_attributes(docs, title_col="text")
     return a.select("doc_id", F.length("normalized_title").alias("normalized_length"), *ATTRIBUTES, "category")
 

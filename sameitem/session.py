@@ -102,6 +102,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a table of fewer splits than cores over all cores, for CPU-bound work on its rows.
+
+    A file of one row group is one task however large it is; a table that has as
+    many splits as cores is returned as it is, without an exchange.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() <= cores else df
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package's source to the executors, once per Spark context.
 
