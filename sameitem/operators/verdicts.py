@@ -4,7 +4,9 @@ The reference calls a chat service once per routed pair.  Here the request
 side is an *outbox table* (one JSON request per routed title pair) and the
 answer side is a *verdict table* ``(listing_id_1, listing_id_2,
 raw_response, error)`` that is left-joined back.  Parsing the raw text and
-applying the decision rules are column expressions over that table.
+applying the decision rules are column expressions over that table.  The table
+may hold several replies of a pair, either order of its ids, and any listing of
+its titles (:func:`resolve_verdicts`).
 """
 
 from __future__ import annotations
@@ -161,12 +163,39 @@ def parse_verdicts(verdicts: DataFrame) -> DataFrame:
     )
 
 
-def finalize(pairs: DataFrame, verdicts: DataFrame | None) -> DataFrame:
+def resolve_verdicts(verdicts: DataFrame, node_of: DataFrame | None = None) -> DataFrame:
+    """One parsed reply per title pair, whatever the verdict table repeats.
+
+    ``node_of`` (``listing_id, node_id``) maps each id to its title's node; without it
+    ids are nodes already.  Rows with an id that no listing has, or with both ids in
+    one title, name no pair and are left out.  The pair is put in order and its
+    replies are combined before the shuffle by a rule that no row order changes: a
+    reply that was understood goes before a failed one, ``no`` before ``yes`` (a false
+    merge is worse than a missed one), the higher confidence before the lower, then
+    the least reason.  Adds ``n_replies``.
+    """
+    v = parse_verdicts(verdicts)
+    if node_of is not None:
+        for s in "12":
+            of = node_of.select(F.col("listing_id").alias(f"listing_id_{s}"), F.col("node_id").alias(f"_n{s}"))
+            v = v.join(of, f"listing_id_{s}")
+    else:
+        v = v.withColumns({f"_n{s}": F.col(f"listing_id_{s}") for s in "12"})
+    failed = (F.col("llm_reason") == "invalid_json_response") | F.col("llm_reason").startswith("provider_error_")
+    rank = F.struct(failed, F.col("llm_match") == "yes", -F.col("llm_confidence"), F.col("llm_reason"))
+    return (v.where(F.col("_n1") != F.col("_n2"))
+            .groupBy(F.least("_n1", "_n2").alias("listing_id_1"), F.greatest("_n1", "_n2").alias("listing_id_2"))
+            .agg(F.min_by(F.struct("llm_match", "llm_confidence", "llm_reason"), rank).alias("_v"), F.count(F.lit(1)).alias("n_replies"))
+            .select("listing_id_1", "listing_id_2", "_v.*", "n_replies"))
+
+
+def finalize(pairs: DataFrame, verdicts: DataFrame | None, node_of: DataFrame | None = None) -> DataFrame:
     """Apply verdicts to routed pairs; other pairs pass through.
 
     ``verdicts=None`` means no verdict service (C10): routed pairs become
     ``llm_unavailable_conservative_reject`` and keep a null ``llm_route``.
     A routed pair without a row in the verdict table is treated the same way.
+    ``node_of``: see :func:`resolve_verdicts`.
     """
     routed = F.col("decision").isin(*ROUTES)
     if verdicts is None:
@@ -174,7 +203,7 @@ def finalize(pairs: DataFrame, verdicts: DataFrame | None) -> DataFrame:
                                "llm_confidence": F.lit(None).cast("double"),
                                "llm_reason": F.lit(None).cast("string")})
     else:
-        v = pairs.join(parse_verdicts(verdicts), ["listing_id_1", "listing_id_2"], "left")
+        v = pairs.join(resolve_verdicts(verdicts, node_of).drop("n_replies"), ["listing_id_1", "listing_id_2"], "left")
     answered = routed & F.col("llm_match").isNotNull()
     yes_ok = (F.col("llm_match") == "yes") & (F.col("llm_confidence") >= R.VERDICT_MIN_CONFIDENCE)
     guard = R.dangerous_variant_mismatch()
@@ -199,48 +228,3 @@ def finalize(pairs: DataFrame, verdicts: DataFrame | None) -> DataFrame:
         "score_version": F.when(answered, F.lit(R.SCORE_VERSION)),
         "review_bucket": F.when(answered, F.when(F.col("decision") == "llm_verify", "verify").otherwise("review")),
     }).withColumns({"decision": decision, "reason": reason}).drop("llm_match", "llm_reason")
-
-
-# Reply shapes of the replay table (test fixture), chosen per request by id.
-_REPLY_SHAPES = [
-    '{{"match": "{m}", "confidence": "high", "reason": "{r}"}}',
-    '```json\n{{"match": "{m}", "confidence": "medium", "reason": "{r}"}}\n```',
-    'Sure: {{"match": "{M}", "confidence": "High", "reason": " {r} "}} hope this helps',
-    '{{"match": "{m}", "confidence": "low", "reason": "{r}"}}',
-    '{{"match": "{m}", "confidence": 0.9}}',
-    'not json at all',
-    '',
-    '[{{"match": "{m}"}}]',
-]
-
-
-def replay_verdicts(requests: DataFrame) -> DataFrame:
-    """Verdict table derived from the outbox (test fixture for S5).
-
-    Answers ``yes`` when both products agree on tier and colour (null-safe)
-    and cycles through well-formed, fenced, chatty, malformed, empty and list
-    replies; one in 13 requests gets a provider error instead.
-    """
-    pa = F.get_json_object("request_json", "$.product_a.tier_variant")
-    pb = F.get_json_object("request_json", "$.product_b.tier_variant")
-    ca = F.get_json_object("request_json", "$.product_a.color")
-    cb = F.get_json_object("request_json", "$.product_b.color")
-    requests = requests.select("listing_id_1", "listing_id_2",
-                               (pa.eqNullSafe(pb) & ca.eqNullSafe(cb)).alias("_yes"))
-    yes = F.col("_yes")
-    m = F.when(yes, "yes").otherwise("no")
-    r = F.when(yes, "same model and colour").otherwise("tier variant or colour differs")
-    shape = (F.col("listing_id_1") * 7 + F.col("listing_id_2") * 13) % len(_REPLY_SHAPES)
-    text = None
-    for i, tpl in enumerate(_REPLY_SHAPES):
-        parts = tpl.replace("{{", "\u0002").replace("}}", "\u0003").split("{")
-        pieces = [F.lit(parts[0].replace("\u0002", "{").replace("\u0003", "}"))]
-        for p in parts[1:]:
-            key, rest = p.split("}", 1)
-            val = {"m": m, "M": F.upper(m), "r": r}[key]
-            pieces += [val, F.lit(rest.replace("\u0002", "{").replace("\u0003", "}"))]
-        expr = F.concat(*pieces)
-        text = F.when(shape == i, expr) if text is None else text.when(shape == i, expr)
-    err = F.when((F.col("listing_id_1") * 3 + F.col("listing_id_2") * 5) % 13 == 0, F.lit("RateLimitError"))
-    return requests.select("listing_id_1", "listing_id_2",
-                           F.when(err.isNull(), text).alias("raw_response"), err.alias("error"))

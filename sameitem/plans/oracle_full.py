@@ -159,6 +159,24 @@ VD as materialized (select id1, id2, case when bad is null and m in ('yes', 'no'
   case when bad is null then case when r = '' then 'missing_reason' else r end else bad end as r from V5)"""
 
 
+def resolution_ctes() -> str:
+    """VD: one reply per title pair out of the messy table of the replies VD0, with the number of replies."""
+    return """
+LAST as (select n.node_id, max(M.listing_id) as last_id from NODES n join M using (normalized_title) group by n.node_id),
+NODE as (select M.listing_id, n.node_id from M join NODES n using (normalized_title)),
+MS as (select id1 as a, id2 as b, m, conf, r from VD0 where (id1 + id2) % 4 <> 1
+  union all select id1, id2, m, conf, r from VD0 where (id1 + id2) % 7 = 3
+  union all select id2, id1, m, conf, r from VD0 where (id1 + id2) % 3 = 0
+  union all select y.last_id, x.last_id, m, conf, r from VD0 join LAST x on x.node_id = id1 join LAST y on y.node_id = id2 where (id1 + id2) % 4 = 1
+  union all select id2, id1, 'no', 0.6, 'second opinion' from VD0 where (id1 + id2) % 5 = 2
+  union all select id1, -id2, m, conf, r from VD0 where (id1 + id2) % 11 = 5),
+MN as (select least(x.node_id, y.node_id) as id1, greatest(x.node_id, y.node_id) as id2, m, conf, r,
+  r = 'invalid_json_response' or starts_with(r, 'provider_error_') as failed
+  from MS join NODE x on x.listing_id = a join NODE y on y.listing_id = b where x.node_id <> y.node_id),
+VD as materialized (select id1, id2, m, conf, r, n_replies from (select *, count(*) over (partition by id1, id2) as n_replies,
+  row_number() over (partition by id1, id2 order by failed, m = 'yes', conf desc, r) as k from MN) where k = 1)"""
+
+
 def final_ctes() -> str:
     """FP: final decision and reason of every scored title pair, with the verdict columns."""
     a, b = "nullif(lower(trim(tier_variant_1)), '')", "nullif(lower(trim(tier_variant_2)), '')"

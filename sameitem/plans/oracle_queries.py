@@ -5,6 +5,7 @@ from __future__ import annotations
 from sameitem.functions.titles import ATTRIBUTES
 from sameitem.plans import oracle as O
 from sameitem.plans import oracle_full as X
+from sameitem.operators.analysis import SUMMARY_REASON
 from sameitem.operators.verdicts import INSTRUCTION, OUTPUT_FORMAT, RULES
 
 DQ = "dq_missing_title, dq_missing_price, dq_nonpositive_price, dq_suspicious_low_price"
@@ -76,6 +77,9 @@ def _scored() -> dict[str, str]:
     scored = _base() + ",\n" + X.pair_ctes() + ",\n" + X.fuzzy_ctes().strip() + ",\n" + X.decision_ctes().strip()
     answered = scored + ",\n" + X.verdict_ctes().strip()
     final = answered + ",\n" + X.final_ctes().strip()
+    resolved = answered.replace("VD as materialized", "VD0 as materialized") + ",\n" + X.resolution_ctes().strip()
+    unanswered = scored + ",\nFP as (select case when decision like 'llm%' then 'reject' else decision end as decision, " \
+        "case when decision like 'llm%' then 'llm_unavailable_conservative_reject' else reason end as reason, n_pairs from SC)"
     weighted = final + ",\n" + X.weighted_ctes()
     grouped = final + ",\n" + X.component_ctes()
     groups = grouped + ",\n" + X.metadata_ctes() + ",\n" + O.groups_select()
@@ -96,7 +100,6 @@ def _scored() -> dict[str, str]:
     ratios = (f"{ratio('tp', 'tp + fp')} as precision, {ratio('tp', 'tp + fn')} as recall, "
               f"{ratio('tp + tn', 'evaluated_pairs')} as accuracy, {ratio('fp', 'tp + fp')} as false_merge_rate")
     variant = "(decision = 'reject' and contains(lower(reason), 'variant'))"
-    summary = ("LLM correctly rejected base vs special variant pairs")
     return {
         "fuzzy_scores": scored + " select id1 as listing_id_1, id2 as listing_id_2, fuzzy_score, final_score from SC",
         "match_decisions": final + " select id1 as listing_id_1, id2 as listing_id_2, title_1, title_2, normalized_title_1, "
@@ -109,6 +112,11 @@ def _scored() -> dict[str, str]:
         + " select id1 as listing_id_1, id2 as listing_id_2, review_bucket, request_json from RQ",
         "verdict_parse": answered + " select id1 as listing_id_1, id2 as listing_id_2, m as llm_match, conf as llm_confidence, "
         "r as llm_reason from VD",
+        "verdict_resolution": resolved + " select id1 as listing_id_1, id2 as listing_id_2, m as llm_match, conf::DOUBLE as llm_confidence, "
+        "r as llm_reason, n_replies from VD",
+        "resolved_decisions": resolved + ",\n" + X.final_ctes().strip() + " select id1 as listing_id_1, id2 as listing_id_2, "
+        "n_pairs::BIGINT as n_pairs, m as llm_raw_decision, conf::DOUBLE as llm_confidence, decision, reason from FP where answered",
+        "unanswered_decisions": unanswered + ",\n" + X.weighted_ctes() + " select decision, reason, pairs from WD",
         "components": grouped + " select listing_id, component from LC",
         "product_groups": groups + ",\n" + numbered + " select group_id, canonical_title, n_listings, sources, min_price, currency, "
         "coalesce(match_source, 'singleton') as match_source, coalesce(confidence, 1.0) as confidence, "
@@ -132,7 +140,7 @@ def _scored() -> dict[str, str]:
         "variant_confusion": weighted + ",\n" + X.variant_ctes() + " select *, 'variant_confusion' as error_type from VC",
         "error_analysis": weighted + ",\n" + X.variant_ctes() + " select 'SUMMARY' as listing_id_1, 'total: ' || (select coalesce(sum(pairs), 0) "
         f"from WD where {variant})::VARCHAR as listing_id_2, '' as title_1, '' as title_2, '' as final_score, '' as llm_raw_decision, "
-        f"'' as llm_confidence, 'variant_confusion cases — {summary}' as reason, (select coalesce(sum(pairs), 0) from WD where {variant})::VARCHAR "
+        f"'' as llm_confidence, '{SUMMARY_REASON}' as reason, (select coalesce(sum(pairs), 0) from WD where {variant})::VARCHAR "
         "as n_pairs, 'variant_confusion' as error_type union all select listing_id_1::VARCHAR, listing_id_2::VARCHAR, title_1, title_2, "
         "final_score::VARCHAR, llm_raw_decision, llm_confidence::VARCHAR, reason, n_pairs::VARCHAR, 'variant_confusion' from VC",
         "top_reject_reasons": weighted + f" select 'variant_confusion' as error_type, reason, pairs from WD where {variant} "

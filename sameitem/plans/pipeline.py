@@ -91,6 +91,13 @@ class Run:
     def title_nodes(self) -> DataFrame:
         return stage(title_nodes(self.listings), "title-nodes")
 
+    @cached_property
+    def node_of(self) -> DataFrame:
+        """``listing_id, node_id`` of every listing in a block."""
+        return (self.listings.select("listing_id", "normalized_title")
+                .join(self.title_nodes.select("normalized_title", "node_id"), "normalized_title")
+                .select("listing_id", "node_id"))
+
     @cached_property
     def title_nodes_only(self) -> DataFrame:
         """Title nodes without vectors, for rules that don't use them."""
@@ -146,12 +153,14 @@ class Run:
         if self.verdict_source is None:
             return None
         if isinstance(self.verdict_source, str) and self.verdict_source == "replay":
-            return verdicts.replay_verdicts(self.requests)
+            return fixture.replay_verdicts(self.requests)
         return self.verdict_source
 
     @cached_property
     def final_pairs(self) -> DataFrame:
-        return verdicts.finalize(self.scored, self.verdict_table)
+        # The replay is keyed by nodes and has one reply a pair; a given table may name any listing.
+        node_of = self.node_of if isinstance(self.verdict_source, DataFrame) else None
+        return verdicts.finalize(self.scored, self.verdict_table, node_of)
 
     @cached_property
     def same_title(self) -> DataFrame:

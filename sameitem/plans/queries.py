@@ -17,7 +17,7 @@ from sameitem.functions.titles import ATTRIBUTES, with_attributes
 from sameitem.operators import analysis, evaluation, groups
 from sameitem.operators.components import connected_components
 from sameitem.operators.matching import rule_pairs
-from sameitem.operators.verdicts import parse_verdicts
+from sameitem.operators.verdicts import finalize, parse_verdicts, resolve_verdicts
 from sameitem.plans.pipeline import Run
 from sameitem.session import configure, spread
 from sameitem.sources import fixture
@@ -152,6 +152,29 @@ def q_verdict_parse(spark, sf_dir):
     return parse_verdicts(_run(spark, sf_dir).verdict_table)
 
 
+def _messy(r: Run) -> DataFrame:
+    last_of = r.node_of.groupBy("node_id").agg(F.max("listing_id").alias("last_id"))
+    return fixture.messy_verdicts(r.verdict_table, last_of)
+
+
+def q_verdict_resolution(spark, sf_dir):
+    """One reply per title pair from a table of repeated, swapped, contradictory and differently keyed rows."""
+    r = _run(spark, sf_dir)
+    return resolve_verdicts(_messy(r), r.node_of)
+
+
+def q_resolved_decisions(spark, sf_dir):
+    """Decisions of the routed pairs under that table."""
+    r = _run(spark, sf_dir)
+    return _long(finalize(r.scored, _messy(r), r.node_of).where(F.col("llm_route").isNotNull())
+                 .select("listing_id_1", "listing_id_2", "n_pairs", "llm_raw_decision", "llm_confidence", "decision", "reason"), "n_pairs")
+
+
+def q_unanswered_decisions(spark, sf_dir):
+    """Decision counts of a run without a verdict service."""
+    return _long(_run(spark, sf_dir, verdict_source=None).weighted, "pairs")
+
+
 def q_components(spark, sf_dir):
     return _run(spark, sf_dir).members.select("listing_id", "component")
 
@@ -229,6 +252,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reason_counts": q_reason_counts,
     "verdict_requests": q_verdict_requests,
     "verdict_parse": q_verdict_parse,
+    "verdict_resolution": q_verdict_resolution,
+    "resolved_decisions": q_resolved_decisions,
+    "unanswered_decisions": q_unanswered_decisions,
     "components": q_components,
     "product_groups": q_product_groups,
     "group_members": q_group_members,

@@ -2,7 +2,9 @@
 
 None of the driver tables holds shop listings, so listings are computed by
 one SQL text that both Spark and DuckDB run (the oracle uses the same text as
-a leading CTE).  Every derived table here grows with ``part``.
+a leading CTE).  Every derived table here grows with ``part``.  No table holds
+replies of a verdict service either; :func:`replay_verdicts` and
+:func:`messy_verdicts` derive them from the requests.
 """
 
 from __future__ import annotations
@@ -107,3 +109,75 @@ def gold_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("a.listing_id").alias("listing_id_1"),
                     F.col("b.listing_id").alias("listing_id_2"),
                     (F.col("a.true_key") == F.col("b.true_key")).cast("int").alias("label")))
+
+
+# Reply shapes of the replay table (test fixture), chosen per request by id.
+_REPLY_SHAPES = [
+    '{{"match": "{m}", "confidence": "high", "reason": "{r}"}}',
+    '```json\n{{"match": "{m}", "confidence": "medium", "reason": "{r}"}}\n```',
+    'Sure: {{"match": "{M}", "confidence": "High", "reason": " {r} "}} hope this helps',
+    '{{"match": "{m}", "confidence": "low", "reason": "{r}"}}',
+    '{{"match": "{m}", "confidence": 0.9}}',
+    'not json at all',
+    '',
+    '[{{"match": "{m}"}}]',
+]
+
+
+def replay_verdicts(requests: DataFrame) -> DataFrame:
+    """Verdict table derived from the outbox (test fixture for S5).
+
+    Answers ``yes`` when both products agree on tier and colour (null-safe)
+    and cycles through well-formed, fenced, chatty, malformed, empty and list
+    replies; one in 13 requests gets a provider error instead.
+    """
+    pa = F.get_json_object("request_json", "$.product_a.tier_variant")
+    pb = F.get_json_object("request_json", "$.product_b.tier_variant")
+    ca = F.get_json_object("request_json", "$.product_a.color")
+    cb = F.get_json_object("request_json", "$.product_b.color")
+    requests = requests.select("listing_id_1", "listing_id_2",
+                               (pa.eqNullSafe(pb) & ca.eqNullSafe(cb)).alias("_yes"))
+    yes = F.col("_yes")
+    m = F.when(yes, "yes").otherwise("no")
+    r = F.when(yes, "same model and colour").otherwise("tier variant or colour differs")
+    shape = (F.col("listing_id_1") * 7 + F.col("listing_id_2") * 13) % len(_REPLY_SHAPES)
+    text = None
+    for i, tpl in enumerate(_REPLY_SHAPES):
+        parts = tpl.replace("{{", "\u0002").replace("}}", "\u0003").split("{")
+        pieces = [F.lit(parts[0].replace("\u0002", "{").replace("\u0003", "}"))]
+        for p in parts[1:]:
+            key, rest = p.split("}", 1)
+            val = {"m": m, "M": F.upper(m), "r": r}[key]
+            pieces += [val, F.lit(rest.replace("\u0002", "{").replace("\u0003", "}"))]
+        expr = F.concat(*pieces)
+        text = F.when(shape == i, expr) if text is None else text.when(shape == i, expr)
+    err = F.when((F.col("listing_id_1") * 3 + F.col("listing_id_2") * 5) % 13 == 0, F.lit("RateLimitError"))
+    return requests.select("listing_id_1", "listing_id_2",
+                           F.when(err.isNull(), text).alias("raw_response"), err.alias("error"))
+
+
+def messy_verdicts(replies: DataFrame, last_of: DataFrame) -> DataFrame:
+    """A verdict table as several runs and services leave it, from the replay table.
+
+    Besides each reply, by the sum of its ids: replies again, replies of the pair
+    the other way round, replies under the last listing of a title (``last_of``:
+    ``node_id, last_id``), second replies that say no, and replies to a listing that
+    isn't there.
+    """
+    a, b = F.col("listing_id_1"), F.col("listing_id_2")
+    rest = ["raw_response", "error"]
+    last = (replies.join(last_of.select(F.col("node_id").alias("listing_id_1"), F.col("last_id").alias("_l1")), "listing_id_1")
+            .join(last_of.select(F.col("node_id").alias("listing_id_2"), F.col("last_id").alias("_l2")), "listing_id_2"))
+    second = F.lit('{"match": "no", "confidence": "medium", "reason": "second opinion"}')
+    parts = [
+        replies.where((a + b) % 7 == 3).select(a, b, *rest),
+        replies.where((a + b) % 3 == 0).select(b.alias("listing_id_1"), a.alias("listing_id_2"), *rest),
+        last.where((a + b) % 4 == 1).select(F.col("_l2").alias("listing_id_1"), F.col("_l1").alias("listing_id_2"), *rest),
+        replies.where((a + b) % 5 == 2).select(b.alias("listing_id_1"), a.alias("listing_id_2"), second.alias("raw_response"),
+                                               F.lit(None).cast("string").alias("error")),
+        replies.where((a + b) % 11 == 5).select(a, (-b).alias("listing_id_2"), *rest),
+    ]
+    out = replies.where((a + b) % 4 != 1).select(a, b, *rest)
+    for part in parts:
+        out = out.unionByName(part)
+    return out
