@@ -5,6 +5,9 @@ from __future__ import annotations
 from sameitem.functions.titles import ATTRIBUTES
 from sameitem.plans import oracle as O
 from sameitem.plans import oracle_full as X
+from sameitem.sources.feeds import CHARSETS
+from sameitem.sources.files import NA_VALUES
+from sameitem.sources.fixture import feed_sql
 from sameitem.operators.analysis import SUMMARY_REASON
 from sameitem.operators.verdicts import INSTRUCTION, OUTPUT_FORMAT, RULES
 
@@ -20,6 +23,11 @@ def _base(mode: str = "drop") -> str:
 def build() -> dict[str, str]:
     sql: dict[str, str] = {}
     sql["listings"] = ("with " + O.listings_cte() + " select listing_id, title, price, source, currency from L")
+    na = ", ".join(O.q(v) for v in NA_VALUES)
+    charset = " ".join(f"when {i} then {O.q(java)}" for i, (_, java) in enumerate(CHARSETS))
+    sql["feed_listings"] = ("with " + O.listings_cte() + f",\nFE as ({feed_sql('L')}) "
+                            "select listing_id, " + ", ".join(f"case when {c} in ({na}) then null else {c} end as {c}" for c in ("title", "price", "source", "currency"))
+                            + f", case listing_id % 6 {charset} end as charset from FE")
     sql["clean_listings"] = _base() + f" select listing_id, title, price, source, currency, {DQ} from A"
     sql["dq_flags"] = _base("flag") + f" select listing_id, title, price, source, currency, {DQ} from A"
     sql["title_normalize"] = _base() + " select listing_id, normalized_title from A"
@@ -121,6 +129,18 @@ def _scored() -> dict[str, str]:
         "product_groups": groups + ",\n" + numbered + " select group_id, canonical_title, n_listings, sources, min_price, currency, "
         "coalesce(match_source, 'singleton') as match_source, coalesce(confidence, 1.0) as confidence, "
         "group_conflict_reason <> 'no_conflict' as group_conflict, group_conflict_reason, n_suspicious_low_price from GN",
+        "output_tables": groups + ",\n" + numbered + ",\n" + X.weighted_ctes() + ",\n"
+        "OUT as (select 'decisions' as table_name, row_number() over (order by id1, id2) as row_no, id1::VARCHAR || '|' || id2::VARCHAR || '|' || "
+        "n_pairs::BIGINT::VARCHAR || '|' || decision || '|' || reason as row_text from FP "
+        "union all select 'groups', group_id, group_id::VARCHAR || '|' || canonical_title || '|' || n_listings::VARCHAR || '|' || "
+        "'[\"' || replace(sources, '|', '\",\"') || '\"]' || '|' || min_price::VARCHAR from GN "
+        "union all select 'attributes', row_number() over (order by row_seq), listing_id::VARCHAR || '|' || row_seq::VARCHAR || '|' || "
+        "normalized_title || '|' || coalesce(brand, '') || '|' || coalesce(model_family, '') || '|' || coalesce(storage, '') from A "
+        "union all select 'usage', 1, (select sum(pairs) from WD)::BIGINT::VARCHAR || '|' || coalesce((select sum(n_pairs) from FP where answered), 0)::BIGINT::VARCHAR "
+        "|| '|' || coalesce(round(100.0 * coalesce((select sum(n_pairs) from FP where answered), 0)::DOUBLE / "
+        "nullif((select sum(pairs) from WD)::DOUBLE, 0), 2), 0.0)::DOUBLE::VARCHAR "
+        "union all select 'outbox', null, (case when decision = 'llm_verify' then 'verify' else 'review' end) || '|' || count(*)::VARCHAR "
+        "from SC where decision in ('llm_review', 'llm_verify') group by decision) select table_name, row_no::BIGINT as row_no, row_text from OUT",
         "group_members": groups + ",\n" + numbered + " select group_id, listing_id, row_seq, title, price, source, susp as suspicious_price, "
         "dq_suspicious_low_price as suspicious_low_price from LF join GN using (component)",
         "evaluation_metrics": predicted + f", MT as ({counts} from PD) select *, {ratios} from MT",

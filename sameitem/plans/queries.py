@@ -8,6 +8,7 @@ as decimal(38,0); the queries show them as longs, which the oracle has too.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +20,9 @@ from sameitem.operators.components import connected_components
 from sameitem.operators.matching import rule_pairs
 from sameitem.operators.verdicts import finalize, parse_verdicts, resolve_verdicts
 from sameitem.plans.pipeline import Run
-from sameitem.session import configure, spread
+from sameitem.session import checkpoint_dir, configure, spread
 from sameitem.sources import fixture
+from sameitem.sources.files import read_listing_feeds, read_table_csv, write_table
 
 LISTING_COLS = ["listing_id", "title", "price", "source", "currency"]
 DQ = ["dq_missing_title", "dq_missing_price", "dq_nonpositive_price", "dq_suspicious_low_price"]
@@ -39,6 +41,37 @@ def q_listings(spark, sf_dir):
     return fixture.fixture_listings(configure(spark), sf_dir).select(*LISTING_COLS)
 
 
+def q_feed_listings(spark, sf_dir):
+    """Listings written as feeds of six charsets, with line breaks in quotes, and read back."""
+    folder = fixture.write_feeds(configure(spark), fixture.fixture_listings(spark, sf_dir))
+    return read_listing_feeds(spark, folder, with_charset=True)
+
+
+def q_output_tables(spark, sf_dir):
+    """The sorted CSV result tables, read back in file order."""
+    r = _run(spark, sf_dir, listing="all")
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/outputs/{uuid.uuid4().hex}"
+    usage = _long(r.usage(), "total_pairs", "llm_used")
+    tables = {
+        "decisions": (_long(r.final_pairs.select("listing_id_1", "listing_id_2", "n_pairs", "decision", "reason"), "n_pairs"),
+                      ["listing_id_1", "listing_id_2"]),
+        "groups": (r.groups.select("group_id", "canonical_title", "n_listings", "sources", "min_price"), ["group_id"]),
+        "attributes": (r.attributed.select("listing_id", "row_seq", "normalized_title", "brand", "model_family", "storage"), ["row_seq"]),
+        "usage": (usage, None),
+    }
+    out = None
+    for name, (df, order) in tables.items():
+        write_table(df, f"{folder}/{name}", "csv", order, bom=name == "groups")
+        back = read_table_csv(spark, f"{folder}/{name}")
+        rows = back.select(F.lit(name).alias("table_name"), F.col("row_no"), F.concat_ws(
+            "|", *[F.coalesce(F.col(c), F.lit("")) for c in df.columns]).alias("row_text"))
+        out = rows if out is None else out.unionByName(rows)
+    write_table(r.requests, f"{folder}/outbox", partition_by="review_bucket")
+    box = spark.read.parquet(f"{folder}/outbox").groupBy("review_bucket").count()
+    return out.unionByName(box.select(F.lit("outbox").alias("table_name"), F.lit(None).cast("long").alias("row_no"),
+                                      F.concat_ws("|", "review_bucket", F.col("count").cast("string")).alias("row_text")))
+
+
 def q_clean_listings(spark, sf_dir):
     return _run(spark, sf_dir).attributed.select(*LISTING_COLS, *DQ)
 
@@ -232,6 +265,8 @@ def q_top_reject_reasons(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "listings": q_listings,
+    "feed_listings": q_feed_listings,
+    "output_tables": q_output_tables,
     "clean_listings": q_clean_listings,
     "dq_flags": q_dq_flags,
     "title_normalize": q_title_normalize,

@@ -8,23 +8,18 @@ JSON text because the CSV writer rejects arrays.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sameitem.session import stage
+from sameitem.sources.feeds import CHARSETS, feed_charsets, feed_chunks, read_feeds
+
 LISTING_SCHEMA = "listing_id long, title string, price string, source string, currency string"
 # Text read as missing by the reference's CSV reader.
 NA_VALUES = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
              "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 
-# Charsets tried in order for a feed file, as Python and Java name them.
-CHARSETS = (("utf-8", "UTF-8"), ("utf-8-sig", "UTF-8"), ("cp1255", "windows-1255"), ("iso-8859-8", "ISO-8859-8"),
-            ("cp1252", "windows-1252"), ("latin1", "ISO-8859-1"))
-
-
 def detect_charset(content: bytes) -> str:
     """The first charset (Java name) that decodes every byte."""
     for name, java in CHARSETS:
@@ -38,14 +33,13 @@ def detect_charset(content: bytes) -> str:
 
 def file_charsets(spark: SparkSession, paths) -> DataFrame:
     """``path, charset`` of every feed file under ``paths``, one row a file."""
-    files = spark.read.format("binaryFile").load(paths).select("path", "content")
+    return feed_charsets(feed_chunks(spark, paths))
 
-    def run(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in records:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([detect_charset(c.as_py()) for c in batch.column(1)])], ["path", "charset"])
 
-    return files.mapInArrow(run, "path string, charset string")
+def _without_na(df: DataFrame) -> DataFrame:
+    na = F.array(*[F.lit(x) for x in NA_VALUES])
+    return df.withColumns({c: F.when(F.array_contains(na, F.col(c)), F.lit(None)).otherwise(F.col(c))
+                           for c in ("title", "price", "source", "currency")})
 
 
 def read_listings_csv(spark: SparkSession, paths, encoding: str = "UTF-8", multi_line: bool = True) -> DataFrame:
@@ -58,27 +52,17 @@ def read_listings_csv(spark: SparkSession, paths, encoding: str = "UTF-8", multi
     df = (spark.read.schema(LISTING_SCHEMA).option("header", True).option("encoding", encoding)
           .option("quote", '"').option("escape", '"').option("mode", "FAILFAST")
           .option("multiLine", multi_line).csv(paths))
-    na = F.array(*[F.lit(x) for x in NA_VALUES])
-    return df.select("listing_id", *[
-        F.when(F.array_contains(na, F.col(c)), F.lit(None)).otherwise(F.col(c)).alias(c)
-        for c in ("title", "price", "source", "currency")])
+    return _without_na(df)
 
 
-def read_listing_feeds(spark: SparkSession, paths, multi_line: bool = True) -> DataFrame:
-    """Listings from feed files of mixed charsets: one read per charset, put together.
+def read_listing_feeds(spark: SparkSession, paths, with_charset: bool = False) -> DataFrame:
+    """Listings from feed files of mixed charsets, split within files (:mod:`sameitem.sources.feeds`).
 
-    The driver holds the files' names and charsets, no content.
+    Line breaks inside quoted fields are kept; the driver sees no content and no file names.
     """
-    found: dict[str, list[str]] = {}
-    for row in file_charsets(spark, paths).collect():
-        found.setdefault(row["charset"], []).append(row["path"])
-    if any(c.startswith("windows") or c == "ISO-8859-8" for c in found):
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # else Spark reads no such charset
-    out = None
-    for charset in sorted(found):
-        part = read_listings_csv(spark, sorted(found[charset]), charset, multi_line)
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], LISTING_SCHEMA)
+    df = _without_na(read_feeds(spark, paths))
+    return df.select(F.col("listing_id").cast("long").alias("listing_id"), "title", "price", "source", "currency",
+                     *(["charset"] if with_charset else []))
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", order: list[str] | None = None, bom: bool = False,
@@ -101,6 +85,24 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", order: list[str]
     writer.mode("overwrite").format(fmt).save(path)
 
 
+def read_table_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A CSV table of :func:`write_table` without line breaks in its fields, as text, with ``row_no`` (from 1) in written order.
+
+    Part files are numbered in the order of a sorted table; a row's place in its file
+    is that of the line in its split.  One row per file and split gives the offsets.
+    """
+    rows = (spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+            .withColumns({"_file": F.col("_metadata.file_name"), "_start": F.col("_metadata.file_block_start"), "_at": F.monotonically_increasing_id()}))
+    first = rows.columns[0]
+    rows = stage(rows.withColumnRenamed(first, first.removeprefix("\ufeff")), "table-rows")
+    counts = rows.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_from"))
+    before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    return (rows.join(offsets, ["_file", "_start"])
+            .withColumn("row_no", F.col("_before") + F.row_number().over(Window.partitionBy("_file", "_start").orderBy("_at")))
+            .drop("_file", "_start", "_at", "_before", "_from"))
+
+
 def write_outputs(run, out_dir: str, fmt: str = "parquet") -> None:
     """The reference's output set from one :class:`sameitem.plans.pipeline.Run`."""
     from sameitem.operators import analysis

@@ -10,10 +10,14 @@ replies of a verdict service either; :func:`replay_verdicts` and
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sameitem.session import checkpoint_dir
+from sameitem.sources.feeds import CHARSETS
+
 # The listing formula agreed for the test data (FIXTURES.md §4).
 LISTINGS_SQL = """
 with k as (
@@ -54,6 +58,18 @@ from w
 GOLD_OFFSETS = (1, 24, 288, 864, 2592)
 
 
+# What each feed file's titles end in, by listing_id modulo 6.  Each mark has bytes that the
+# charsets before its own refuse (feeds.CHARSETS), so the reader has to find that very charset.
+FEED_MARKS = ("סוני", "לנובו", "ש", "ש‗", "ü", "ü\x81")
+FEED_SQL = """
+select listing_id, case when listing_id % 6 < 4 or title is null then title
+    else concat('listing ', cast(listing_id as varchar(20)), ', "used"') end
+  || case when listing_id % 7 = 0 then concat(chr(10), 'second line, "quoted"', chr(10)) else ' ' end
+  || case listing_id % 6 when 0 then '{0}' when 1 then '{1}' when 2 then '{2}' when 3 then '{3}' when 4 then '{4}' else '{5}' end as title,
+  price, source, currency from {listings}
+"""
+
+
 def _view(spark: SparkSession, sf_dir: str, table: str) -> str:
     name = f"{table}_{hashlib.md5(sf_dir.encode()).hexdigest()[:10]}"
     spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(name)
@@ -181,3 +197,33 @@ def messy_verdicts(replies: DataFrame, last_of: DataFrame) -> DataFrame:
     for part in parts:
         out = out.unionByName(part)
     return out
+
+
+def feed_sql(listings: str) -> str:
+    """The listings of the feeds, as Spark and DuckDB run it."""
+    return FEED_SQL.format(*FEED_MARKS, listings=listings)
+
+
+def write_feeds(spark: SparkSession, listings: DataFrame) -> str:
+    """Write listings as CSV feeds of all charsets to the shared folder, and return the folder.
+
+    Titles hold commas, doubled quotes and line breaks.  Spark writes some of the
+    charsets only with ``spark.sql.legacy.javaCharsets``, set for the writing.
+    """
+    name = f"feed_listings_{uuid.uuid4().hex[:10]}"
+    listings.createOrReplaceTempView(name)
+    rows = spark.sql(feed_sql(name))
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/feeds/{uuid.uuid4().hex}"
+    key = "spark.sql.legacy.javaCharsets"
+    old = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        for i, (python, java) in enumerate(CHARSETS):
+            own = rows.where(F.col("listing_id") % len(CHARSETS) == i)
+            if python == "utf-8-sig":
+                own = own.withColumnRenamed("listing_id", "\ufefflisting_id")
+            (own.write.option("header", True).option("quote", '"').option("escape", '"').option("encoding", java)
+             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/c{i}"))
+    finally:
+        spark.conf.set(key, old)
+    return f"{folder}/*"
