@@ -92,12 +92,29 @@ def read_words(offsets: np.ndarray, data: np.ndarray) -> Inputs:
     grams = np.maximum(end - start + 3 - GRAM, 1)
     first = np.cumsum(grams) - grams
     place = np.repeat(start - 1 - first, grams) + np.arange(int(grams.sum()))
-    stop = np.minimum(place + GRAM, len(flat))
+    # A gram ends with the space after its word, so that a text's last word doesn't see the next text.
+    stop = np.minimum(place + GRAM, np.repeat(end + 1, grams))
     gram = mix64((total[stop] - total[place]) * inverse[place])
     owner = np.searchsorted(offsets + np.arange(n + 1) + 1, start, side="right") - 1
     return Inputs(owner, word, gram, first, n)
 
 
+def read_sample(texts: list[str]) -> Inputs:
+    """:func:`read_words` of many texts, a block at a time: only the hashes of all of them are held at once."""
+    blocks, words, grams, done = [], 0, 0, 0
+    while done < len(texts):
+        size, end = 0, done
+        while end < len(texts) and (end == done or size < STEP):
+            size += len(texts[end])
+            end += 1
+        x = read_words(*utf8(pa.array(texts[done:end], pa.string())))
+        blocks.append((x.text + done, x.word, x.gram, x.gram_start + grams))
+        words, grams, done = words + len(x.word), grams + len(x.gram), end
+    if not blocks:
+        return read_words(np.zeros(1, np.int64), np.zeros(0, np.uint8))
+    return Inputs(*(np.concatenate(part) for part in zip(*blocks)), len(texts))
+
+
 def window_starts(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First word and text of every window; ``bounds`` are the texts' first words and the end."""
     size = np.diff(bounds)
@@ -304,16 +321,18 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: tuple[int, in
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
             .where(F.length("text").between(1, SAMPLE_CHARS))
             .join(F.broadcast(picked), "doc_id")
-            .orderBy("toxic", "cell", "doc_id", "text").collect())
+            .orderBy("toxic", "cell", "doc_id", "text").toArrow())
+    toxic, body = rows["toxic"].to_numpy(), rows["text"]
     texts, label = [], []
     for c in (0, 1):
-        mine = [r["text"] for r in rows if r["toxic"] == c][:sample[c]]
+        mine = body.take(pa.array(np.flatnonzero(toxic == c)[:sample[c]])).to_pylist()
         texts += mine
         label += [c] * len(mine)
     label = np.array(label, np.int64)
     if len(set(label.tolist())) < 2:
         return None
-    x = read_words(*utf8(pa.array(texts, pa.string())))
+    del rows, body
+    x = read_sample(texts)
     if not len(x.word):
         return None
     bounds = np.searchsorted(x.text, np.arange(x.texts + 1))

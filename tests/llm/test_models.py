@@ -254,3 +254,14 @@ def test_lm_empty_tables(spark):
     assert lm_scoring.lm_scores(spark, frame(spark, []), ~lm_scoring.held_out()).collect() == []
     out = lm_scoring.lm_scores(spark, frame(spark, [(1, "a b", "en", "s", 1)]), F.lit(False)).collect()
     assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in out] == [(3, 0, 0, 0.0, 0.0)]
+
+
+def test_sample_read_in_blocks_equals_one_reading(monkeypatch):
+    texts = ["", "One two, three", "x" * 50, "", "é à la carte 12 three", " ".join(f"w{i}x" for i in range(40)), "..."]
+    whole = toxicity.read_words(*utf8(pa.array(texts, pa.string())))
+    monkeypatch.setattr(toxicity, "STEP", 30)
+    parts = toxicity.read_sample(texts)
+    assert parts.texts == whole.texts
+    for name in ("text", "word", "gram", "gram_start"):
+        assert getattr(parts, name).tolist() == getattr(whole, name).tolist()
+    assert toxicity.read_sample([]).texts == 0
