@@ -52,7 +52,18 @@ def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_path = path
+    return out
+
+
+def unstage(spark: SparkSession, *tables: DataFrame | None) -> None:
+    """Delete tables of :func:`stage` whose readers have all been written."""
+    for df in tables:
+        path = getattr(df, "_staged_path", None)
+        if path:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -51,7 +51,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sameitem.llm.common import batch_words, batches, mix64, prepared, shingle_hashes, stage, table
+from sameitem.llm.common import batch_words, batches, mix64, prepared, shingle_hashes, stage, table, unstage
 from sameitem.operators.components import connected_components
 
 WORDS = 5
@@ -309,7 +309,8 @@ def compare(pairs: DataFrame, texts: DataFrame, threshold: int = THRESHOLD) -> D
     return both.mapInArrow(run, "src long, dst long")
 
 
-def group_pairs(spark: SparkSession, rows: DataFrame, members: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def group_pairs(spark: SparkSession, rows: DataFrame, members: DataFrame, threshold: int = THRESHOLD,
+                used: list[DataFrame] | None = None) -> DataFrame:
     """Pairs ``x, y`` of sets of different components within reach, through the token-group matrix.
 
     ``rows``: ``token, k1, n, comp`` by contested token.  A set's group is the
@@ -318,6 +319,7 @@ def group_pairs(spark: SparkSession, rows: DataFrame, members: DataFrame, thresh
     the pairs of members before the chunks are opened.  A chunk holds one band of
     sizes, and a set meets chunks of its own band and its neighbours only: sets
     that link differ in size by a quarter at most, less than a band's width.
+    ``used`` gets the staged tables that the result reads.
     """
     mixed = (rows.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("token"))
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(np.log(100 / threshold + 0.01))).cast("int")
@@ -325,7 +327,8 @@ def group_pairs(spark: SparkSession, rows: DataFrame, members: DataFrame, thresh
     hub = rows.groupBy("token").agg(F.min("comp").alias("group"))
     shared = rows.join(hub, "token").groupBy("k1", "group").count()
     near = shared.groupBy("k1").agg(F.min(F.struct(-F.col("count"), "group")).alias("g")).select("k1", "g.group")
-    rows = stage(spark, rows.join(near, "k1"), "mixed-tokens")
+    mixed_rows, rows = rows, stage(spark, rows.join(near, "k1"), "mixed-tokens")
+    unstage(spark, mixed_rows)
     matrix = (rows.select("token", "group", "band").distinct()
               .select("token", F.col("group").alias("g_group"), F.col("band").alias("g_band"),
                       F.explode(F.array(*[F.col("band") + d for d in (-1, 0, 1)])).alias("band")))
@@ -333,6 +336,9 @@ def group_pairs(spark: SparkSession, rows: DataFrame, members: DataFrame, thresh
     own = rows.select("k1", "n", "comp", F.col("group").alias("g_group"), F.col("band").alias("g_band")).distinct()
     held = _chunks(spark, own, members, "held", "group-chunks")
     asked = _chunks(spark, meet, members, "asked", "query-chunks")
+    unstage(spark, rows)
+    if used is not None:
+        used += [held, asked]
     opened = held.join(asked, ["g_group", "g_band"]).select("g_group", "g_band", "held_part", "held", "asked")
 
     def run(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,8 +372,10 @@ def _chunks(spark: SparkSession, sets: DataFrame, members: DataFrame, name: str,
     by = ["g_group", "g_band"]
     sizes = stage(spark, sets.groupBy(*by).count(), file + "-sizes")
     part = F.pmod(F.xxhash64("k1"), F.ceil(F.col("count") / CHUNK)).alias(name + "_part")
-    return stage(spark, sets.join(sizes, by).select("k1", "n", "comp", *by, part).join(members.select("k1", "bits"), "k1")
-                 .groupBy(*by, name + "_part").agg(F.collect_list(F.struct("k1", "n", "comp", "bits")).alias(name)), file)
+    out = stage(spark, sets.join(sizes, by).select("k1", "n", "comp", *by, part).join(members.select("k1", "bits"), "k1")
+                .groupBy(*by, name + "_part").agg(F.collect_list(F.struct("k1", "n", "comp", "bits")).alias(name)), file)
+    unstage(spark, sizes)
+    return out
 
 
 def set_components(spark: SparkSession, docs: DataFrame, sets: DataFrame, members: DataFrame, clash: list[int],
@@ -382,20 +390,23 @@ def set_components(spark: SparkSession, docs: DataFrame, sets: DataFrame, member
     def joined() -> DataFrame:
         return rows.join(labels, "k1", "left").withColumn("comp", F.coalesce("comp", "k1"))
 
-    def grow(pairs: DataFrame) -> bool:
-        """Compare pairs exactly; whether new links came of it."""
+    def grow(pairs: DataFrame, used: list[DataFrame]) -> bool:
+        """Compare pairs exactly; whether new links came of it.  What only this step reads is deleted after it."""
         nonlocal links, labels
         pairs = stage(spark, pairs.distinct(), "near-pairs")
+        unstage(spark, *used)
         if not pairs.head(1):
             return False
-        wanted = pairs.select(F.col("x").alias("k1")).unionByName(pairs.select(F.col("y").alias("k1"))).distinct()
-        texts = stage(spark, set_texts(spark, docs, members, stage(spark, wanted, "wanted-sets"), clash), "set-texts")
+        wanted = stage(spark, pairs.select(F.col("x").alias("k1")).unionByName(pairs.select(F.col("y").alias("k1"))).distinct(), "wanted-sets")
+        texts = stage(spark, set_texts(spark, docs, members, wanted, clash), "set-texts")
         new = stage(spark, compare(pairs, texts, threshold), "links")
+        unstage(spark, pairs, wanted, texts)
         if not new.head(1):
             return False
         links = new if links is None else links.unionByName(new)
-        labels = stage(spark, connected_components(links).select(
+        before, labels = labels, stage(spark, connected_components(links).select(
             F.col("node").alias("k1"), F.col("component").alias("comp")), "labels")
+        unstage(spark, before)
         return True
 
     tested = spark.createDataFrame([], "x long, y long")
@@ -407,10 +418,13 @@ def set_components(spark: SparkSession, docs: DataFrame, sets: DataFrame, member
         pairs = stage(spark, here.join(hub, "token").where("comp <> h_comp").groupBy(F.col("k1").alias("x"), "y").count()
                       .join(tested, ["x", "y"], "left_anti")
                       .withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= HUBS).select("x", "y"), "hub-pairs")
-        if not grow(within_reach(pairs, members, threshold)):
+        if not grow(within_reach(pairs, members, threshold), []):
             break
         tested = tested.unionByName(pairs)
-    grow(group_pairs(spark, joined(), members, threshold))
+    used: list[DataFrame] = []
+    found = group_pairs(spark, joined(), members, threshold, used)
+    unstage(spark, rows, tokens)
+    grow(found, used)
     return labels
 
 
