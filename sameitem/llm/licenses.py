@@ -75,9 +75,6 @@ TEMPLATES = (
     ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0"),
     ("Unlicense", "This is free and unencumbered software released into the public domain"),
 )
-# The words that :func:`oracle` asks for.  The scan doesn't use them.
-KEY_WORDS = r"licen[cs]e[ds]?|permission|redistribution|apache|gnu|mozilla|cc0|creative|unencumbered"
-KEY_PATTERN = f"(?i)(?<![a-z0-9])(?:{KEY_WORDS})(?![a-z0-9])"
 
 
 def words(text: str) -> list[str]:
@@ -315,11 +312,10 @@ files as (select doc_id, concat_ws('/', coalesce(source, 'unknown'), coalesce(la
     coalesce(cast(cast(floor(doc_id / {DIRECTORY_DOCS}.0) as bigint) as varchar), 'unknown'),
     coalesce(cast(doc_id as varchar), 'unknown') || '.txt') as path, text from documents),
 lines as (select distinct path, unnest(string_split(text, chr(10))) as body from files),
-lunit as (select distinct body as u, body from lines where regexp_matches(lower(body), '(^|[^a-z0-9])({KEY_WORDS})([^a-z0-9]|$)')),
+lunit as (select distinct body as u, body from lines where body is not null),
 lbest as {best("lunit")},
 header as (select path, license, c, false as covers from lines join lbest on body = u where c >= {HEADER_COSINE}),
-funit as (select distinct path as u, text as body from files where path in (
-  select path from lines join lunit using (body))),
+funit as (select distinct path as u, text as body from files where text is not null),
 fbest as {best("funit")},
 cover as (select u as path, license, c, true as covers from fbest where c >= {FILE_COSINE}),
 stated as (select path, license, c, any_cover as covers from (
