@@ -8,6 +8,14 @@ licence it states, from :data:`HEADER_COSINE` (lines) or :data:`FILE_COSINE`
 directory; a file that states no licence itself inherits that of its nearest
 ancestor directory, by joins on paths.
 
+Weights: a term's inverse document frequency is counted over all scanned files
+(:func:`corpus_weights`) in whole bits, ``bit_length((1 + n) // (1 + files with the
+term))``, so the words of every text weigh next to nothing beside a licence's own.
+So that a handful of files, most of them licences, doesn't make a licence's words
+common, :data:`PRIOR_FILES` more files count as if each held just :data:`COMMON`.
+A term of no template counts as held by no file, its greatest weight: such terms
+only lengthen a unit's vector, so prose comes no nearer to a licence.
+
 No line or text is left out by its words.  :func:`may_reach` bounds a unit's cosine
 from above within its row, and only units whose bound stays below the threshold
 are not scored against the templates.
@@ -23,7 +31,7 @@ shuffled, but for rows of one path with different texts, whose terms meet in a
 groupBy.  Equal lines are scored once.  Directories, not files, look up their ancestors, so a directory
 with a third of all files is one row there; the join back has plain exchanges on
 both sides, which adaptive execution can split.  Only the templates' terms (fixed
-here, a few kB) are broadcast.
+here, a few kB) are broadcast, and only their counts (one a term) reach the driver.
 """
 
 from __future__ import annotations
@@ -31,6 +39,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -38,10 +47,16 @@ from pyspark.sql import functions as F
 from sameitem.llm.common import stage, table
 
 HEADER_COSINE = 0.6
-FILE_COSINE = 0.35
+FILE_COSINE = 0.5
 WORD = r"[a-z0-9]+(?:\.[0-9]+)*"
 FILE_NAMES = r"(?i)(^|/)(licen[cs]es?|copying|notice|unlicense)([._-][^/]*)?$"
 
+#: Files assumed beside those scanned; their share vanishes as the corpus grows.
+PRIOR_FILES = 1024
+# English words that any text holds.
+COMMON = tuple(("a all an and any are as at be but by can for from have if in into is it its may must no not of on or other out "
+                "shall such that the their this to use was which will with work you").split())
+
 # How licences are stated, by SPDX identifier.
 TEMPLATES = (
     ("MIT", "Released under the MIT License"),
@@ -74,6 +89,47 @@ TEMPLATES = (
     ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0"),
     ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0"),
     ("Unlicense", "This is free and unencumbered software released into the public domain"),
+    ("MIT", "MIT License. Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+            "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the "
+            "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+            "persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and "
+            "this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "
+            "\"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+            "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS "
+            "BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, "
+            "OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+                     "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+                     "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+                     "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+                     "with the distribution."),
+    ("BSD-3-Clause", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+                     "disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+                     "the following disclaimer in the documentation and/or other materials provided with the distribution. Neither the "
+                     "name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+                     "from this software without specific prior written permission."),
+    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+            "provided that the above copyright notice and this permission notice appear in all copies."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
+                   "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required "
+                   "by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" "
+                   "BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific "
+                   "language governing permissions and limitations under the License."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+                "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later "
+                "version."),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+                "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
+                "version."),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("MPL-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1"),
+    ("CC0-1.0", "CC0 1.0 Universal. The person who associated a work with this deed has dedicated the work to the public domain by waiving "
+                "all of his or her rights to the work worldwide under copyright law"),
+    ("GFDL-1.3", "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation "
+                 "License, Version 1.3"),
 )
 
 
@@ -81,6 +137,14 @@ def words(text: str) -> list[str]:
     return re.findall(WORD, text.lower())
 
 
+@dataclass(frozen=True)
+class Weights:
+    """Inverse document frequency of each term of a template, and of a term in none."""
+
+    idf: dict[str, float]
+    other: float
+
+
 def inverse_frequencies(templates: tuple = TEMPLATES) -> tuple[dict[str, float], float]:
     """Inverse document frequency of each term among the templates, and of a term in none."""
     seen = Counter(t for _, text in templates for t in set(words(text)))
@@ -88,28 +152,43 @@ def inverse_frequencies(templates: tuple = TEMPLATES) -> tuple[dict[str, float],
     return {t: math.log((1 + n) / (1 + c)) + 1 for t, c in seen.items()}, math.log(1 + n) + 1
 
 
-def template_vectors(templates: tuple = TEMPLATES) -> list[dict[str, float]]:
+#: Weights among the templates alone, for units without a corpus.
+TEMPLATE_WEIGHTS = Weights(*inverse_frequencies())
+
+
+def corpus_weights(files: DataFrame, text: str = "text") -> Weights:
+    """Weights by the number of rows that hold each term, over all rows with a text and the assumed files."""
+    names = sorted(TEMPLATE_WEIGHTS.idf)
+    files = files.where(F.col(text).isNotNull())
+    held = F.array_intersect(terms(F.col(text)), F.array(*[F.lit(t) for t in names]))
+    # The empty term stands for the row itself; one row a term reaches the driver.
+    seen = {r["term"]: r["count"] for r in files.select(F.explode(F.concat(F.array(F.lit("")), held)).alias("term"))
+            .groupBy("term").count().collect()}
+    n = 1 + PRIOR_FILES + seen.get("", 0)
+    most = {t: 1 + seen.get(t, 0) + PRIOR_FILES * (t in COMMON) for t in names}
+    return Weights({t: float((n // most[t]).bit_length()) for t in names}, float(n.bit_length()))
+
+
+def template_vectors(templates: tuple = TEMPLATES, weights: Weights = TEMPLATE_WEIGHTS) -> list[dict[str, float]]:
     """TF-IDF vectors of length 1."""
-    idf, _ = inverse_frequencies(templates)
     out = []
     for _, text in templates:
-        v = {t: c * idf[t] for t, c in Counter(words(text)).items()}
+        v = {t: c * weights.idf[t] for t, c in Counter(words(text)).items()}
         norm = math.sqrt(sum(x * x for x in v.values()))
         out.append({t: x / norm for t, x in v.items()})
     return out
 
 
-def cosines(spark: SparkSession, units: DataFrame, key: str, text: str) -> DataFrame:
+def cosines(spark: SparkSession, units: DataFrame, key: str, text: str, by: Weights = TEMPLATE_WEIGHTS) -> DataFrame:
     """Best licence of each unit: ``key, license, cosine`` (units that share no term with a template are left out)."""
-    idf, other = inverse_frequencies()
-    weights = spark.createDataFrame([(t, w) for t, w in sorted(idf.items())], "term string, idf double")
+    weights = spark.createDataFrame([(t, w) for t, w in sorted(by.idf.items())], "term string, idf double")
     vectors = spark.createDataFrame(
-        [(k, TEMPLATES[k][0], t, w) for k, v in enumerate(template_vectors()) for t, w in sorted(v.items())],
+        [(k, TEMPLATES[k][0], t, w) for k, v in enumerate(template_vectors(weights=by)) for t, w in sorted(v.items())],
         "template int, license string, term string, share double")
     tf = (units.select(key, F.explode(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))).alias("term"))
           .groupBy(key, "term").count()
           .join(F.broadcast(weights), "term", "left")
-          .withColumn("weight", F.col("count") * F.coalesce("idf", F.lit(other))))
+          .withColumn("weight", F.col("count") * F.coalesce("idf", F.lit(by.other))))
     norm = tf.groupBy(key).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
     dot = (tf.join(F.broadcast(vectors), "term").groupBy(key, "template", "license")
            .agg(F.sum(F.col("weight") * F.col("share")).alias("dot")))
@@ -127,66 +206,66 @@ def _by_term(term: Column, values: dict[str, float], other: float) -> Column:
     groups: dict[float, list[str]] = {}
     for t, x in sorted(values.items()):
         groups.setdefault(round(x, 12), []).append(t)
-    out = None
-    for x, names in sorted(groups.items(), key=lambda g: -len(g[1])):
-        out = (F if out is None else out).when(term.isin(names), F.lit(x))
-    return out.otherwise(F.lit(other))
+    out = F.when(~term.isin(sorted(values)), F.lit(other))
+    *first, (last, _) = sorted(groups.items(), key=lambda g: -len(g[1]))
+    for x, names in first:
+        out = out.when(term.isin(names), F.lit(x))
+    return out.otherwise(F.lit(last))
 
 
-def square_norm(terms: Column) -> Column:
+def square_norm(terms: Column, by: Weights = TEMPLATE_WEIGHTS) -> Column:
     """Square of the TF-IDF vector's length: the k-th occurrence of a term adds ``(2k - 1) idf^2``."""
-    idf, other = inverse_frequencies()
-    squares = {w: x * x for w, x in idf.items()}
+    squares = {w: x * x for w, x in by.idf.items()}
     zero = F.struct(F.lit("").alias("t"), F.lit(0).alias("k"), F.lit(0.0).alias("s"))
 
     def add(acc: Column, t: Column) -> Column:
         k = F.when(acc["t"] == t, acc["k"] + 1).otherwise(F.lit(1))
-        return F.struct(t.alias("t"), k.alias("k"), (acc["s"] + (2 * k - 1) * _by_term(t, squares, other * other)).alias("s"))
+        return F.struct(t.alias("t"), k.alias("k"), (acc["s"] + (2 * k - 1) * _by_term(t, squares, by.other * by.other)).alias("s"))
 
     return F.aggregate(F.array_sort(terms), zero, add, lambda acc: acc["s"])
 
 
-def reach(known: Column) -> Column:
+def reach(known: Column, by: Weights = TEMPLATE_WEIGHTS) -> Column:
     """At least the dot product with any template, from the terms that templates have."""
-    idf, _ = inverse_frequencies()
     most: dict[str, float] = {}
-    for v in template_vectors():
+    for v in template_vectors(weights=by):
         for t, x in v.items():
-            most[t] = max(most.get(t, 0.0), idf[t] * x)
+            most[t] = max(most.get(t, 0.0), by.idf[t] * x)
+    # In steps of a 64th, upwards, so that few look-ups tell them apart.
+    most = {t: math.ceil(x * 64) / 64 for t, x in most.items()}
     return F.aggregate(known, F.lit(0.0), lambda acc, t: acc + _by_term(t, most, 0.0))
 
 
-def may_reach(units: DataFrame, text: str, cosine: float, always: Column | None = None) -> DataFrame:
+def may_reach(units: DataFrame, text: str, cosine: float, always: Column | None = None,
+              by: Weights = TEMPLATE_WEIGHTS) -> DataFrame:
     """``units`` with ``known, square``, without those whose cosine to every template is below ``cosine``.
 
     A unit's dot product with a template is at most :func:`reach`.  Its length is
     at least that of as many different terms without a template (and is then
     taken exactly), so what goes is below the threshold whatever the template.
     """
-    idf, other = inverse_frequencies()
     least = (cosine - 1e-6) ** 2
     always = F.lit(False) if always is None else always
 
     def lone(x: Column) -> Column:
-        return (F.size(x["terms"]) - F.size(x["known"])) * other ** 2 + F.size(x["known"]) * min(idf.values()) ** 2
+        return (F.size(x["terms"]) - F.size(x["known"])) * by.other ** 2 + F.size(x["known"]) * min(by.idf.values()) ** 2
 
     # Lambda variables, so that each step is taken once a unit.
     found = F.transform(F.array(terms(F.col(text))), lambda t: F.struct(
-        t.alias("terms"), F.filter(t, lambda w: w.isin(sorted(idf))).alias("known")))
+        t.alias("terms"), F.filter(t, lambda w: w.isin(sorted(by.idf))).alias("known")))
     found = F.transform(F.filter(found, lambda x: F.size(x["known"]) > 0), lambda x: F.struct(
-        x["terms"].alias("terms"), x["known"].alias("known"), reach(x["known"]).alias("reach")))
+        x["terms"].alias("terms"), x["known"].alias("known"), reach(x["known"], by).alias("reach")))
     found = F.filter(found, lambda x: always | (x["reach"] * x["reach"] >= lone(x) * least))
     found = F.transform(found, lambda x: F.struct(
-        x["known"].alias("known"), x["reach"].alias("reach"), square_norm(x["terms"]).alias("square")))
+        x["known"].alias("known"), x["reach"].alias("reach"), square_norm(x["terms"], by).alias("square")))
     found = F.filter(found, lambda x: always | (x["reach"] * x["reach"] >= x["square"] * least))
     return units.select("*", F.inline(found)).drop("reach")
 
 
-def row_cosines(spark: SparkSession, units: DataFrame, key: str) -> DataFrame:
+def row_cosines(spark: SparkSession, units: DataFrame, key: str, by: Weights = TEMPLATE_WEIGHTS) -> DataFrame:
     """As :func:`cosines`, from the ``known`` and ``square`` of :func:`may_reach`; each key is one row."""
-    idf, _ = inverse_frequencies()
     vectors = spark.createDataFrame(
-        [(k, TEMPLATES[k][0], t, x * idf[t]) for k, v in enumerate(template_vectors()) for t, x in sorted(v.items())],
+        [(k, TEMPLATES[k][0], t, x * by.idf[t]) for k, v in enumerate(template_vectors(weights=by)) for t, x in sorted(v.items())],
         "template int, license string, term string, part double")
     dot = (units.select(key, "square", F.explode("known").alias("term")).join(F.broadcast(vectors), "term")
            .groupBy(key, "template", "license").agg(F.sum("part").alias("dot"), F.first("square").alias("square")))
@@ -198,19 +277,20 @@ def row_cosines(spark: SparkSession, units: DataFrame, key: str) -> DataFrame:
 def scan(spark: SparkSession, files: DataFrame, header_cosine: float = HEADER_COSINE,
          file_cosine: float = FILE_COSINE) -> DataFrame:
     """What each file states itself: ``path, license, cosine, covers`` (``covers``: a licence file)."""
+    by = corpus_weights(files)
     named = F.col("path").rlike(FILE_NAMES)
     lines = files.select("path", F.explode(F.split("text", "\n")).alias("line"))
-    lines = stage(spark, may_reach(lines, "line", header_cosine).distinct(), "licence-lines")
-    scored = stage(spark, row_cosines(spark, lines.select("line", "known", "square").dropDuplicates(["line"]), "line")
+    lines = stage(spark, may_reach(lines, "line", header_cosine, by=by).distinct(), "licence-lines")
+    scored = stage(spark, row_cosines(spark, lines.select("line", "known", "square").dropDuplicates(["line"]), "line", by)
                    .where(F.col("cosine") >= header_cosine), "licence-scores")
     header = lines.join(scored, "line").select("path", "license", "cosine", F.lit(False).alias("covers"))
     # Different texts of one path are one file: their terms are counted together.
     mixed = (files.groupBy("path").agg(F.min(F.xxhash64("text")).alias("a"), F.max(F.xxhash64("text")).alias("b"))
              .where("a <> b").select("path"))
     mixed = stage(spark, mixed, "licence-paths")
-    alone = may_reach(files.select("path", "text"), "text", file_cosine, named).select("path", "known", "square")
-    alone = row_cosines(spark, alone.join(mixed, "path", "left_anti").dropDuplicates(["path"]), "path")
-    together = cosines(spark, files.join(mixed, "path", "left_semi").select("path", "text").distinct(), "path", "text")
+    alone = may_reach(files.select("path", "text"), "text", file_cosine, named, by).select("path", "known", "square")
+    alone = row_cosines(spark, alone.join(mixed, "path", "left_anti").dropDuplicates(["path"]), "path", by)
+    together = cosines(spark, files.join(mixed, "path", "left_semi").select("path", "text").distinct(), "path", "text", by)
     whole = alone.unionByName(together)
     cover = whole.where((F.col("cosine") >= file_cosine) | named).select("path", "license", "cosine", F.lit(True).alias("covers"))
     # A licence file's own statement is that of its whole text, unless a line says it more clearly.
@@ -288,12 +368,13 @@ def _values(rows) -> str:
 
 
 def oracle() -> str:
-    """The same result in DuckDB, without narrowing and with every path's ancestors joined plainly."""
+    """The same result in DuckDB: every line and text scored, and every path's ancestors joined plainly."""
     templates = _values((k, s, t) for k, (s, t) in enumerate(TEMPLATES))
     pattern = WORD.replace("'", "''")
+    common = ", ".join(f"'{t}'" for t in COMMON)
 
     def best(units: str) -> str:
-        return f"""(with tf as (select u, term, count(*) * coalesce(any_value(idf), (select ln(1 + count(*)) + 1 from templates)) as w
+        return f"""(with tf as (select u, term, count(*) * coalesce(any_value(idf), (select length(bin(n)) from texts)) as w
             from (select u, unnest(regexp_extract_all(lower(body), '{pattern}')) as term from {units}) left join idf using (term)
             group by u, term),
           norm as (select u, sqrt(sum(w * w)) as n from tf group by u),
@@ -305,7 +386,12 @@ def oracle() -> str:
 with templates as (select * from (values {templates}) t(template, license, body)),
 tterm as (select template, license, term, count(*) as n from (
   select template, license, unnest(regexp_extract_all(lower(body), '{pattern}')) as term from templates) group by all),
-idf as (select term, ln((1 + (select count(*) from templates)) / (1 + count(distinct template))) + 1 as idf from tterm group by term),
+texts as (select 1 + {PRIOR_FILES} + count(*) as n from documents where text is not null),
+held as (select term, count(distinct r) as df from (
+  select r, unnest(regexp_extract_all(lower(text), '{pattern}')) as term
+  from (select row_number() over () as r, text from documents where text is not null)) where term in (select term from tterm) group by term),
+idf as (select term, cast(length(bin((select n from texts) // (1 + coalesce(df, 0) + if(term in ({common}), {PRIOR_FILES}, 0)))) as double) as idf
+  from (select distinct term from tterm) left join held using (term)),
 vectors as (select template, license, term, n * idf / sqrt(sum(n * idf * n * idf) over (partition by template)) as share
   from tterm join idf using (term)),
 files as (select doc_id, concat_ws('/', coalesce(source, 'unknown'), coalesce(lang, 'unknown'),

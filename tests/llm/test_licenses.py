@@ -91,3 +91,34 @@ def test_query_against_its_sql(spark, rows, tmp_path):
     strip = lambda x: [(a, b, c, d, e if e == "None" else f"{float(e):.6f}", f) for a, b, c, d, e, f in x]
     assert strip(got) == strip(want)
     assert rows == "empty" or {"header", "file", "inherited", "none"} == {r[3] for r in got}
+
+
+def test_corpus_weights_against_counting(spark):
+    texts = ["The MIT License of the public", "the cat", None, "", "license license public", "of the"]
+    by = L.corpus_weights(spark.createDataFrame([(t,) for t in texts], "text string"))
+    n = 1 + L.PRIOR_FILES + sum(t is not None for t in texts)
+    for term in by.idf:
+        held = sum(term in L.words(t or "") for t in texts) + L.PRIOR_FILES * (term in L.COMMON)
+        assert by.idf[term] == float((n // (1 + held)).bit_length())
+    assert by.other == float(n.bit_length()) and by.idf["the"] < by.idf["mit"] < by.idf["gnu"]
+    assert L.corpus_weights(spark.createDataFrame([], "text string")).other == float((1 + L.PRIOR_FILES).bit_length())
+
+
+def test_prose_states_nothing_and_full_texts_state_their_own(spark):
+    rng = random.Random(3)
+    common = "the of and to a in is it that was for on with as be this any by or not are which person copy use may".split()
+    rare = ["".join(rng.choice("bcdfglmnrst") + rng.choice("aeiou") for _ in range(3)) for _ in range(900)]
+
+    def prose(n):
+        return " ".join(rng.choice(common if rng.random() < 0.5 else rare) for _ in range(n)) + "."
+
+    files = [(f"p/{i}/x.txt", "\n".join(prose(rng.choice([6, 15, 60])) for _ in range(rng.choice([1, 5, 30])))) for i in range(150)]
+    full = {s: max((t for k, t in L.TEMPLATES if k == s), key=len) for s in
+            ("MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Apache-2.0", "GPL-2.0", "GPL-3.0", "MPL-1.1", "GFDL-1.3", "CC0-1.0")}
+    for s, text in full.items():
+        lines = text.replace(". ", ".\n").replace(", ", ",\n")
+        files += [(f"repo/{s}/own.txt", f"Copyright (c) 2021 Some Person\n\n{lines}"), (f"repo/{s}/src/code.py", "x = 1")]
+    got = {r.path: (r.license, r.basis) for r in L.licenses(spark, spark.createDataFrame(files, "path string, text string")).collect()}
+    assert {v for p, v in got.items() if p.startswith("p/")} == {(None, "none")}
+    for s in full:
+        assert got[f"repo/{s}/own.txt"] == (s, "file") and got[f"repo/{s}/src/code.py"] == (s, "inherited"), s
