@@ -16,6 +16,10 @@ Text: character references are decoded, white space inside a block becomes one
 space, blocks are trimmed and joined by one line feed in page order.  Inline
 elements add nothing; ``br`` is white space.
 
+Tags are read by one pass over the page: a quote opens a value only after ``=``, a
+value whose quote never closes is a plain one, and ``<!-->`` is an empty comment.
+After a tag that the page's end cuts off, the rest is text without its tags.
+
 Defined cases: null and empty html, and pages without main text, give the empty
 string; text outside any element is a block of its own; repeated pages are
 extracted alike; an empty table gives no rows; columns other than ``page_id``,
@@ -59,11 +63,14 @@ IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "
            "option": ({"option"}, {"select"})}
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
-    r"|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
+    r"|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))*+)>"
     r"|(?P<text>[^<]+|<)", re.S)
 _CLOSERS = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in HIDDEN}
 _NAMED = re.compile(r"""\b(class|id|role|data-y)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+_BODY = re.compile(r"<body", re.I)
+_CUT_OFF = re.compile(r"/?[a-zA-Z]")
+_ANY_TAG = re.compile(r"<[^<>]*>")
 _PART = re.compile(r"[a-z]+", re.I)
 
 
@@ -94,7 +101,7 @@ def _attributes(raw: str) -> tuple[tuple, int]:
     for key, value in _NAMED.findall(raw):
         value = value.strip("\"'")
         if key.lower() == "data-y":
-            label = int(value)
+            label = int(value) if value in ("0", "1") else -1
         else:
             names += [x.lower() for x in _PART.findall(value)]
     return tuple(dict.fromkeys(names)), label
@@ -115,16 +122,15 @@ def parse(html: str) -> Tree:
             run, linked = [], 0
 
     at, end = 0, len(html)
+    unclosed: set[str] = set()  # hidden elements that no closing tag follows any more
     match = _TOKEN.match
     while at < end:
         m = match(html, at)
-        if m is None:  # an unfinished tag: its sign is text
-            run.append("<")
-            at += 1
-            continue
         at = m.end()
         text = m.group("text")
         if text is not None:
+            if text == "<" and _CUT_OFF.match(html, at):
+                text, at = text + _ANY_TAG.sub(" ", html[at:]), end
             shown = unescape(text) if "&" in text else text
             run.append(shown)
             if links:
@@ -156,12 +162,15 @@ def parse(html: str) -> Tree:
             continue
         if tag in HIDDEN:
             if not m.group("attrs").rstrip().endswith("/"):
-                closer = _CLOSERS[tag].search(html, at)
+                seen = tag in unclosed
+                closer = None if seen else _CLOSERS[tag].search(html, at)
+                if closer is None:
+                    unclosed.add(tag)
                 if closer:
                     at = closer.end()
                 elif tag == "head":  # an unclosed head ends where the body starts
-                    body = html.lower().find("<body", at)
-                    at = body if body >= 0 else at
+                    body = None if seen else _BODY.search(html, at)
+                    at = body.start() if body else at
                 elif tag in ("script", "style"):
                     at = end
             run.append(" ")

@@ -43,8 +43,8 @@ def test_formulas_are_text():
 
 
 def test_odd_pages():
-    assert H.extract_texts(H.trained(), [None, "", "   ", "<", "<p", "<!--", "</div></p>", "<script>x"]) == ["", "", "", "<", "<p", "", "", ""] \
-        or all(isinstance(x, str) for x in H.extract_texts(H.trained(), [None, "", "   ", "<", "<p", "<!--", "</div></p>", "<script>x"]))
+    runs = [[t for t in H.parse(h).text if t] for h in ("", "   ", "<", "<p", "<!--", "</div></p>", "<script>x", "a < b", "x <p y")]
+    assert runs == [[], [], ["<"], ["<p"], [], [], [], ["a < b"], ["x <p y"]]
     assert H.extract_texts(H.trained(), [None, "", " "]) == ["", "", ""]
     long_ = "<article>" + "<p>Some words of a paragraph here.</p>" * 5000 + "</article>"
     assert text(long_).count("\n") == 4999
@@ -84,3 +84,24 @@ def test_pages_in_one_batch_do_not_touch(spark):
     want = sorted((str(i), H.extract_texts(H.trained(), [h])[0]) for i, _, h in rows)
     assert sorted((str(r.page_id), r.text) for r in out) == want and all(r.n_chars == len(r.text) for r in out)
     assert H.main_text(spark, df.limit(0), ["page_id"]).collect() == []
+
+
+def test_quotes_and_comments_hide_no_text():
+    def runs(html):
+        return [t for t in H.parse(html).text if t]
+
+    assert runs("<p title=Bob's>Hello it's me and more.</p>") == ["Hello it's me and more."]
+    assert runs("<p it's>One</p><p title = \"a > b\">Two</p><p title='>'>Three</p>") == ["One", "Two", "Three"]
+    assert runs("<!--><p>shown</p><!-- x --><!---><p>too</p><!-- y --!><p>end</p>") == ["shown", "too", "end"]
+    assert runs('<p>a</p><p title="never closed>b</p>') == ["a", "b"]
+    assert runs('<p>a</p><div x=">" <p>b</p>') == ["a", "b"]
+    assert runs('<p>a</p><div x="></div> c d"') == ["a", '<div x="> c d"']
+    assert H.parse('<p data-y="many">x</p>').label[1] == -1
+
+
+def test_time_is_linear_in_the_page():
+    import time
+    for page in ('<p title="x>text</p>', "<a b='c\"", "<a x=\">\" ", "<textarea>", "<!--", "<p ", "it's <p title=Bob's>so</p>", "<head>"):
+        start = time.perf_counter()
+        H.parse(page * 40_000)
+        assert time.perf_counter() - start < 8, page
