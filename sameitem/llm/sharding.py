@@ -9,6 +9,9 @@ of them prunes files (:func:`write_shards`, :func:`shard_bounds`).
 Law ``rows``: shard ``s`` of ``k`` holds the ranks ``r`` with
 ``floor(r * k / n) = s``, so shard counts are at most one apart.
 
+A text dimension is the rank of its whole value among the distinct ones, in UTF-8
+order, so that values with a long common start stay apart.
+
 Defined cases: a null dimension counts as the lowest value; equal curve
 positions are ordered by ``doc_id`` (null first), then text checksum; repeated
 rows keep a slot each; an empty table gives no rows; columns other than the
@@ -17,7 +20,8 @@ dimensions, ``doc_id`` and ``text`` are never read, so their names can't clash.
 Scale: no window without partitions.  The order comes from a range partition
 that includes ``doc_id``, so a source with a third of all rows is split; the
 only driver-side data are the cut points (``2**bits - 1`` per dimension) and
-one count per partition.
+one count per partition.  Ranks of distinct values are a table, broadcast by Spark if
+its file is small and joined by a shuffle that adaptive execution can split if not.
 """
 
 from __future__ import annotations
@@ -38,12 +42,6 @@ LAW = "rows"
 PARTITION_ROWS = 1_000_000
 
 
-def text_rank(column: Column) -> Column:
-    """Order-preserving number of a string's first seven UTF-8 bytes (null: -1)."""
-    head = F.rpad(F.hex(F.substring(F.encode(column, "UTF-8"), 1, 7)), 14, "0")
-    return F.coalesce(F.conv(head, 16, 10).cast("long"), F.lit(-1).cast("long"))
-
-
 def quantise(df: DataFrame, dims: list[str], bits: int = BITS) -> list[list[float]]:
     """Cut points of each numeric column: the distinct quantiles, at most ``2**bits - 1``."""
     cells = 1 << bits
@@ -121,6 +119,14 @@ def ranked(spark: SparkSession, df: DataFrame, order: list[str], name: str) -> t
     return out, total
 
 
+def with_text_rank(spark: SparkSession, df: DataFrame, column: str, name: str) -> DataFrame:
+    """``df`` with ``column`` replaced by its value's rank among the distinct ones (null: -1)."""
+    values, _ = ranked(spark, df.where(F.col(column).isNotNull()).select(column).distinct(), [column], f"{name}-values")
+    values = stage(spark, values.withColumnRenamed("rank", "_rank"), f"{name}-ranks")
+    return (df.join(values, column, "left")
+            .withColumn(column, F.coalesce("_rank", F.lit(-1)).cast("long")).drop("_rank"))
+
+
 def hilbert_shards(spark: SparkSession, docs: DataFrame, shards: int = 8, bits: int = BITS) -> DataFrame:
     """Put documents into ``shards`` runs of the Hilbert order of (source, lang, size).
 
@@ -131,9 +137,12 @@ def hilbert_shards(spark: SparkSession, docs: DataFrame, shards: int = 8, bits:
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8")).alias("text_crc32"),
-        text_rank(F.col("source").cast("string")).alias("d_source"),
-        text_rank(F.col("lang").cast("string")).alias("d_lang"),
+        F.col("source").cast("string").alias("d_source"),
+        F.col("lang").cast("string").alias("d_lang"),
     ), "shard-facts")
+    for column in ("d_source", "d_lang"):
+        facts = with_text_rank(spark, facts, column, f"shard-{column[2:]}")
+    facts = facts.select("doc_id", "size", "text_crc32", "d_source", "d_lang")
     dims = ["d_source", "d_lang", "size"]
     curve = with_curve(facts, dims, quantise(facts, dims, bits), bits)
     placed, total = ranked(spark, curve.select("curve", "doc_id", "text_crc32", "size"),

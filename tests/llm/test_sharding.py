@@ -2,7 +2,7 @@ import zlib
 
 import numpy as np
 
-from sameitem.llm.sharding import hilbert_index, hilbert_shards, shard_bounds, write_shards
+from sameitem.llm.sharding import hilbert_index, hilbert_shards, quantise, shard_bounds, write_shards
 from tests.llm.helpers import documents, frame
 
 
@@ -45,3 +45,23 @@ def test_written_shards_prune_by_every_dimension(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out").count() == 64
     bounds = shard_bounds(placed, ["size"]).collect()
     assert len(bounds) == 4 and sum(b.min_size == b.max_size for b in bounds) >= 3
+
+
+def test_whole_result_against_a_plain_sort(spark):
+    rows = [(i, t, lang, s and f"https://www.example.org/site/{s}", n) for i, t, lang, s, n in documents(90)]
+    rank = [{v: k for k, v in enumerate(sorted({r[c] for r in rows} - {None}, key=lambda v: v.encode()))} for c in (3, 2)]
+    facts = [(r[0], len((r[1] or "").encode()) + 1, zlib.crc32((r[1] or "").encode()), rank[0].get(r[3], -1), rank[1].get(r[2], -1))
+             for r in rows]
+    dims = ["d_source", "d_lang", "size"]
+    df = spark.createDataFrame(facts, "doc_id long, size long, crc long, d_source long, d_lang long")
+    cuts = quantise(df, dims)
+    assert len(cuts[0]) > 2  # the sources stay apart
+    points = np.stack([np.searchsorted(c, [f[i] for f in facts], side="left") for c, i in zip(cuts, (3, 4, 1))], -1)
+    order = sorted(zip(hilbert_index(points, 5).tolist(), facts), key=lambda x: (x[0], x[1][0] is not None, x[1][0] or 0, x[1][2], x[1][1]))
+    n, want, slots = len(order), [], {}
+    for r, (curve, f) in enumerate(order):
+        shard = r * 8 // n
+        slots[shard] = slots.get(shard, -1) + 1
+        want.append((f[0], f[1], f[2], shard, slots[shard], curve))
+    got = [(r.doc_id, r.size, r.text_crc32, r.shard, r.slot, r.curve) for r in hilbert_shards(spark, frame(spark, rows), 8).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
