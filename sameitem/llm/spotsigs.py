@@ -20,13 +20,16 @@ a null ``doc_id`` comes last; the only row of a table follows itself; an empty
 table gives no rows; columns other than ``doc_id`` and ``text`` are not read.
 
 Scale: "the next document" is a ``lead`` inside buckets of about
-:data:`BUCKET_ROWS` rows, cut at quantiles of ``doc_id``; the first row of the
-bucket below is copied into each, so texts move once.  The driver holds one cut
+:data:`BUCKET_ROWS` rows, cut at quantiles of ``doc_id`` and, where one id
+(or null) fills several, at its texts' hashes; one row, the first of the bucket
+below, is copied into each, so texts move once.  The driver holds one cut
 point and one top row's id a bucket (:data:`MOST_BUCKETS` at most).
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -121,21 +124,26 @@ def with_next(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> tuple[DataFram
     docs = docs.withColumn("key", key)
     n = docs.count()
     buckets = max(1, min(MOST_BUCKETS, n // bucket_rows))
-    cuts = []
+    cuts, tie = [], F.xxhash64("text")
     if buckets > 1:
         at = [i / buckets for i in range(1, buckets)]
-        cuts = sorted(set(docs.agg(F.percentile_approx("key", at, 20_000)).first()[0]))
-    docs = docs.withColumn("bucket", _bucket(cuts, F.col("key")))
+        cuts = docs.agg(F.percentile_approx("key", at, 20_000)).first()[0]
+    # A key that several cut points fall on has as many parts by its texts' hash, above its bucket's other rows.
+    parts = [(k, c) for k, c in Counter(cuts).items() if c > 1]
+    docs = docs.withColumn("bucket", _bucket(sorted(set(cuts)), F.col("key")).cast("long") * (MOST_BUCKETS + 1))
+    if parts:
+        share = F.least(F.floor((tie / F.lit(2.0 ** 64) + 0.5) * F.col("parts")), F.col("parts") - 1)
+        docs = (docs.join(F.broadcast(docs.sparkSession.createDataFrame(parts, "key long, parts long")), "key", "left")
+                .withColumn("bucket", F.col("bucket") + F.coalesce(F.col("parts") - share, F.lit(0))).drop("parts"))
     tops = sorted(((r["bucket"], r["top"]) for r in docs.groupBy("bucket").agg(F.max("key").alias("top")).collect()))
     # The top row of a bucket follows the last row of the bucket above; that of the highest, the lowest bucket's.
     follow = [(b, top, tops[i + 1][0] if i + 1 < len(tops) else tops[0][0]) for i, (b, top) in enumerate(tops)]
-    follow = docs.sparkSession.createDataFrame(follow, "bucket int, key long, above int")
-    placed = (docs.join(F.broadcast(follow), ["bucket", "key"], "left")
-              .withColumn("place", F.explode(F.when(F.col("above").isNull(), F.array(
-                  F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("copy")))).otherwise(F.array(
-                      F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("copy")),
-                      F.struct(F.col("above").alias("bucket"), F.lit(True).alias("copy"))))))
-              .select("doc_id", "text", "key", "place.bucket", "place.copy", F.xxhash64("text").alias("tie")))
+    follow = docs.sparkSession.createDataFrame(follow, "bucket long, key long, above long")
+    first = (docs.join(F.broadcast(follow), ["bucket", "key"]).groupBy("above", "key")
+             .agg(F.first("doc_id").alias("doc_id"), F.min_by("text", tie).alias("text")))
+    placed = (docs.select("doc_id", "text", "key", "bucket", F.lit(False).alias("copy"), tie.alias("tie"))
+              .unionByName(first.select("doc_id", "text", "key", F.col("above").alias("bucket"), F.lit(True).alias("copy"),
+                                        tie.alias("tie"))))
     return placed, Window.partitionBy("bucket").orderBy("copy", F.desc("key"), "tie")
 
 

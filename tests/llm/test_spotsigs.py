@@ -95,3 +95,16 @@ def test_bucket_is_a_binary_search(spark):
     out = spark.range(-10, 10).select("id", S._bucket(cuts, F.col("id")).alias("b")).collect()
     assert all(r.b == sum(c < r.id for c in cuts) for r in out)
     assert spark.range(1).select(S._bucket([], F.col("id")).alias("b")).first().b == 0
+
+
+def test_one_id_with_a_third_of_all_rows_is_split_and_copied_once(spark):
+    rows = [(None if i % 3 == 0 else i if i % 3 == 1 else 100_000 + i % 2, f"text {i // 2 % 500} of a row") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    placed, order = S.with_next(df, bucket_rows=50)
+    got = placed.withColumn("next_text", F.lead("text").over(order)).where(~F.col("copy")).collect()
+    sizes = {r.bucket: r["count"] for r in placed.where("not copy").groupBy("bucket").count().collect()}
+    assert placed.count() == len(rows) + len(sizes) and max(sizes.values()) < 250 and len(sizes) > 30
+    low = -(1 << 63)
+    seq = sorted(got, key=lambda r: (-(low if r.doc_id is None else r.doc_id), r.tie))
+    want = [(str(r.doc_id), r.text, n.text) for r, n in zip(seq, [*seq[1:], seq[0]])]
+    assert sorted((str(r.doc_id), r.text, r.next_text) for r in seq) == sorted(want)
