@@ -19,7 +19,8 @@ only ``doc_id``/``item_id`` and ``text`` are read, so other columns can't clash.
 
 Scale: documents are neither shuffled nor collected.  The items go to the
 tasks in blocks of at most ``block_bytes``, one pass over the documents for
-each block, so a benchmark of any size works with the same bounded broadcast.
+each block.  Of several blocks each one's result is written and its broadcast
+destroyed before the next is read, so driver and tasks hold one block at a time.
 A batch is a few hundred documents; one document and one item are the largest
 unit of work, and a document's seeds are grouped by item, never paired with
 other documents.
@@ -175,9 +176,10 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, min_match:
     out = None
     for b in range(blocks):
         part = items.where(F.col("block") == b).drop("block") if blocks > 1 else items
-        rows = part.orderBy("item_id", "text").collect()  # one block: about block_bytes / 2 of text
+        rows = part.orderBy("item_id", "text").toArrow()  # one block: about block_bytes / 2 of text
         shared = spark.sparkContext.broadcast(Items.of(
-            [r["item_id"] for r in rows], pa.array([r["text"] for r in rows], pa.string()), min_match))
+            rows.column("item_id").to_pylist(), rows.column("text").combine_chunks(), min_match))
+        del rows
 
         def run(records: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             block, schema = shared.value, pa.schema([
@@ -205,6 +207,9 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, min_match:
                         [pa.array(c, t) for c, t in zip(zip(*found, strict=True), schema.types, strict=True)], schema=schema)
 
         here = picked.mapInArrow(run, f"{LEAKS}, {HASH}")
+        if blocks > 1:  # one block at a time is held by driver and tasks
+            here = stage(spark, here, "benchmark-leaks")
+            shared.destroy()
         out = here if out is None else out.unionByName(here)
     return out if text_hash else out.drop("text_hash")
 

@@ -60,6 +60,31 @@ def test_against_brute_force(spark):
     assert len(want) > 15
 
 
+def test_driver_and_tasks_hold_one_block_at_a_time(spark, monkeypatch):
+    live, most, made = set(), [0], [0]
+    context = spark.sparkContext
+    real = context.broadcast
+
+    def broadcast(value):
+        shared = real(value)
+        destroy = shared.destroy
+        live.add(id(shared))
+        most[0], made[0] = max(most[0], len(live)), made[0] + 1
+        shared.destroy = lambda *a, **k: (live.discard(id(shared)), destroy(*a, **k))
+        return shared
+
+    monkeypatch.setattr(context, "broadcast", broadcast)
+    rng = random.Random(9)
+    items = [(k, " ".join(f"{rng.choice('abcde')}{rng.randint(0, 99)}" for _ in range(20))) for k in range(60)]
+    rows = [(k, "before it " + text + " after it", "en", "s", 1) for k, text in items if k % 3 == 0]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    out = leaks(spark, frame(spark, rows), bench, block_bytes=1000)
+    assert made[0] > 5 and most[0] == 1 and not live
+    found = {(r.doc_id, r.item_id) for r in out.collect()}
+    assert found == {(r.doc_id, r.item_id) for r in leaks(spark, frame(spark, rows), bench).collect()}
+    assert found >= {(k, k) for k, *_ in rows}
+
+
 def test_empty_tables(spark):
     bench = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     assert leaks(spark, frame(spark, []), bench).collect() == []
