@@ -265,3 +265,43 @@ def test_sample_read_in_blocks_equals_one_reading(monkeypatch):
     for name in ("text", "word", "gram", "gram_start"):
         assert getattr(parts, name).tolist() == getattr(whole, name).tolist()
     assert toxicity.read_sample([]).texts == 0
+
+
+def test_lm_round_is_the_mean_of_the_tasks_copies_by_tokens(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "TEAM", 2)  # three levels of sums
+    rows = documents(60, odd=False)
+    docs = frame(spark, rows).select("doc_id", "text").repartition(5, "doc_id").persist()
+    counts = lm_scoring.gather_counts(lm_scoring.token_counts(docs))
+    model, want = lm_scoring.Model(counts.size), []
+    start = model.copy()
+    for part in docs.rdd.glom().collect():
+        own = start.copy()
+        batch = pa.RecordBatch.from_arrays([pa.array([r.text for r in part], pa.string())], ["text"])
+        streams = list(lm_scoring.stretches(iter([batch]), counts, own, 1 << 30))
+        if streams:
+            lanes = max(1, min(lm_scoring.ROUND_LANES, len(streams[0]) // 64))
+            cut = streams[0][:len(streams[0]) // lanes * lanes].reshape(lanes, -1)
+            own.learn(cut, 0, gru.Adam(own.params(), 0.01))
+            want.append((cut.size, own))
+    assert lm_scoring.averaged_round(spark, docs, counts, model, 0, 0.01) == sum(n for n, _ in want) and len(want) > 2
+    for i, p in enumerate(model.params()):
+        mean = sum(n * own.params()[i].astype(np.float64) for n, own in want) / sum(n for n, _ in want)
+        np.testing.assert_allclose(p, mean, atol=1e-4)
+    assert any((p != q).any() for p, q in zip(model.params(), start.params(), strict=True))
+    docs.unpersist()
+
+
+def test_lm_rounds_learn_from_a_share_that_grows_with_the_corpus(spark):
+    seen = []
+    for n in (200, 800):
+        rows = [(None if i % 3 == 0 else i, f"w{i} " + "some words of a text here " * 20, "en", "s", 1) for i in range(n)]
+        rows.append((n, "long text of words " * 30_000, "en", "s", 1))
+        docs = frame(spark, rows).select("doc_id", "text").repartition(2, "doc_id")
+        counts = lm_scoring.gather_counts(lm_scoring.token_counts(docs))
+        seen.append(lm_scoring.corpus_rounds(spark, docs.where("length(text) < 20000"), counts, lm_scoring.Model(counts.size), 0))
+        # A long text is learnt from whole, wherever its hash puts it.
+        long_ = docs.where("length(text) >= 20000")
+        assert lm_scoring.averaged_round(spark, long_, counts, lm_scoring.Model(counts.size), 0) > 119_000
+    assert 2.5 < seen[1] / seen[0] < 6
+    empty = frame(spark, []).select("doc_id", "text")
+    assert lm_scoring.averaged_round(spark, empty, counts, lm_scoring.Model(counts.size), 0) == 0
