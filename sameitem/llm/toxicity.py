@@ -51,6 +51,8 @@ SAMPLE_CHARS = 12_000
 ROUNDS = 6
 #: Windows scored together; bytes of text read together.
 BLOCK = 4096
+#: Rows of a matrix product are a multiple of this, so that equal windows meet the same kernel and score alike.
+ROWS = 64
 STEP = 1 << 19
 
 _LETTER = np.full(256, 0x20, dtype=np.uint8)  # all but letters parts words
@@ -191,6 +193,7 @@ class Network:
             some = slice(at, at + 4 * BLOCK)
             first = int(start[some][0])
             words = vectors[first:int((start[some] + size[some]).max())]
+            words = np.concatenate([words, np.zeros((-len(words) % ROWS, words.shape[1]), F32)])
             gates = [np.concatenate([words @ w + b, np.zeros((1, 3 * HIDDEN), F32)]) for w, b in zip(self.w, self.b, strict=True)]
             full = size[some] == WINDOW
             for part in (np.flatnonzero(full), np.flatnonzero(~full)):
@@ -200,7 +203,10 @@ class Network:
         return out
 
     def _score(self, gates: list[np.ndarray], start: np.ndarray, size: np.ndarray | None) -> np.ndarray:
-        n = len(start)
+        many = len(start)
+        n = many + -many % ROWS
+        start = np.resize(start, n)
+        size = None if size is None else np.resize(size, n)
         states = np.empty((2, WINDOW, n, HIDDEN), F32)
         for way, order in ((0, range(WINDOW)), (1, range(WINDOW - 1, -1, -1))):
             h = np.zeros((n, HIDDEN), F32)
@@ -216,7 +222,7 @@ class Network:
         if size is not None:
             weight = np.where(np.arange(WINDOW)[:, None] < size, weight, F32(-1e9))
         weight = np.exp(weight - weight.max(axis=0))
-        return (weight * value).sum(axis=0) / weight.sum(axis=0) + self.bias[0]
+        return ((weight * value).sum(axis=0) / weight.sum(axis=0) + self.bias[0])[:many]
 
     # -- training -------------------------------------------------------
     def params(self) -> list[np.ndarray]:
