@@ -9,7 +9,7 @@ holds a third of all listings.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sameitem.functions.titles import completeness, promo_penalty
@@ -19,6 +19,8 @@ from sameitem.session import stage
 GROUP_CONFLICT_FIELDS = ["brand", "model_family", "model_number", "tier_variant", "display_variant",
                          "connectivity", "storage", "ram", "screen_size", "condition"]
 SUSPICIOUS_RATIO = 0.5
+#: Accuracy of the quantile sketch that encloses a median: its error is one rank in this many.
+SKETCH = 10_000
 
 
 def consecutive_ids(df: DataFrame, order_col: str, name: str) -> DataFrame:
@@ -47,22 +49,60 @@ def listing_components(listings: DataFrame, nodes: DataFrame, components: DataFr
             .withColumn("component", F.coalesce("component", "node_id", "listing_id")))
 
 
-def low_prices(members: DataFrame) -> DataFrame:
+def median_ranks(total: Column) -> tuple[Column, Column]:
+    """The two middle ranks of ``total`` values, from 1; they are one for an odd number."""
+    return F.floor((total + 1) / 2), F.floor(total / 2) + 1
+
+
+def around_median(members: DataFrame, prices: DataFrame, accuracy: int = SKETCH) -> DataFrame:
+    """The prices that can be a component's median: ``component, price, n, total, below``.
+
+    A quantile sketch of each component, merged map-side, gives a price on either
+    side of the median.  Exact counts then say whether they enclose it; an end that
+    does not is dropped, so a sketch's error costs rows but never the result.
+    ``below`` is the number of listings under the range.
+    """
+    off = 2.0 / accuracy
+    ends = (members.where(F.col("price").isNotNull()).groupBy("component")
+            .agg(F.percentile_approx("price", [max(0.0, 0.5 - off), min(1.0, 0.5 + off)], accuracy).alias("ends"),
+                 F.count(F.lit(1)).alias("total"))
+            .where(F.col("total") >= 2)
+            .select("component", "total", F.col("ends")[0].alias("low"), F.col("ends")[1].alias("high")))
+    counted = prices.join(ends, "component").groupBy("component", "total", "low", "high").agg(
+        F.sum(F.when(F.col("price") < F.col("low"), F.col("n")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("price") <= F.col("high"), F.col("n")).otherwise(0)).alias("upto"))
+    first, second = median_ranks(F.col("total"))
+    under, over = F.col("below") < first, F.col("upto") >= second
+    ranges = counted.select("component", "total", F.when(under, F.col("low")).alias("low"), F.when(over, F.col("high")).alias("high"),
+                            F.when(under, F.col("below")).otherwise(0).alias("below"))
+    return (prices.join(ranges, "component")
+            .where((F.col("low").isNull() | (F.col("price") >= F.col("low")))
+                   & (F.col("high").isNull() | (F.col("price") <= F.col("high"))))
+            .select("component", "price", "n", "total", "below"))
+
+
+def median_prices(near: DataFrame) -> DataFrame:
+    """``component, median``: the middle ranks read off running counts of :func:`around_median`'s rows."""
+    upto = Window.partitionBy("component").orderBy("price").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first, second = median_ranks(F.col("total"))
+    end = near.withColumn("end", F.col("below") + F.sum("n").over(upto))
+    return (end.groupBy("component").agg(F.min(F.when(F.col("end") >= first, F.col("price"))).alias("lower"),
+                                         F.min(F.when(F.col("end") >= second, F.col("price"))).alias("upper"))
+            .select("component", ((F.col("lower") + F.col("upper")) / 2).alias("median")))
+
+
+def low_prices(members: DataFrame, accuracy: int = SKETCH) -> DataFrame:
     """Distinct prices per component that lie below half the component's median.
 
-    Prices are counted per (component, price) before the shuffle.  The exact
-    median is read off the running counts, so no component's prices are held in
-    one buffer; components with fewer than two prices have none.
+    Prices are counted per (component, price) before the shuffle and staged.  Only the
+    few prices around the median go through a window, so a component with millions of
+    prices is counted, bracketed and filtered in many tasks; components with fewer
+    than two prices have no median.
     """
-    prices = (members.where(F.col("price").isNotNull()).groupBy("component", "price").agg(F.count(F.lit(1)).alias("n")))
-    whole = Window.partitionBy("component")
-    upto = whole.orderBy("price").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    runs = prices.withColumns({"total": F.sum("n").over(whole), "end": F.sum("n").over(upto)})
-    first, second = F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1  # the middle ranks, from 1
-    runs = runs.withColumns({"lower": F.min(F.when(F.col("end") >= first, F.col("price"))).over(whole),
-                             "upper": F.min(F.when(F.col("end") >= second, F.col("price"))).over(whole)})
-    median = (F.col("lower") + F.col("upper")) / 2
-    return runs.where((F.col("total") >= 2) & (F.col("price") < SUSPICIOUS_RATIO * median)).select("component", "price")
+    prices = stage(members.where(F.col("price").isNotNull()).groupBy("component", "price").agg(F.count(F.lit(1)).alias("n")), "prices")
+    medians = median_prices(around_median(members, prices, accuracy))
+    return (prices.join(medians, "component").where(F.col("price") < SUSPICIOUS_RATIO * F.col("median"))
+            .select("component", "price"))
 
 
 def flag_suspicious(members: DataFrame) -> DataFrame:
