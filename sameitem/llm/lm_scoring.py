@@ -12,12 +12,11 @@ classes by its last two bytes.  A GRU reads the tokens and gives
 
 where within a rare class a word's share is ``(c + 1) / (S + 1)``, ``S`` being
 the class's sum of ``c + 1`` and the 1 left for words never seen.  Weights
-are trained in numpy by truncated back-propagation through time: they start in
-the driver on a bounded sample (``SAMPLE_TOKENS``), then every task trains its
-own copy on its share of the corpus and Spark averages the copies by tokens, in
-``ROUNDS`` rounds.  A round reads whole texts, a fixed share of all training
-texts (``ROUND_PARTS``), each round others, so what the weights learn from grows
-with the corpus; the counts, class sums and vocabulary cover all training texts.
+are trained in numpy by truncated back-propagation through time over every
+training text, whole: a hash of id and text deals the texts to ``ROUNDS`` rounds,
+in each of which every task trains its own copy on its texts and Spark averages
+the copies by tokens.  A bounded sample (``SAMPLE_TOKENS``) only gives the copies
+a common start.  Counts, class sums and vocabulary cover all training texts, too.
 Scoring runs over whole texts in windows of
 ``WINDOW`` tokens that hand on their state, so the score is the
 log-likelihood of the complete document.
@@ -44,8 +43,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sameitem.llm.common import Words, batch_words, batches, mix64, prepared, stage, table, unstage
-from sameitem.llm.gru import F32, Adam, recurrent, step, step_back, step_traced
+from sameitem.llm.common import Words, batch_words, batches, mix64, prepared, stage, table, unstage, utf8
+from sameitem.llm.gru import F32, Adam, Cell, recurrent, run_back, run_traced
 
 VOCABULARY = 2048
 CLASS_WORDS = 32
@@ -53,19 +52,22 @@ RARE_CLASSES = 32
 HIDDEN = 24
 WINDOW = 32
 LANES = 64
+#: Tokens whose classes one product holds (so that it stays in a core's cache).
+BLOCK = 2048
 EPOCHS = 4
 RATE = 0.01
 #: Bound of the sample the weights start on; of a longer text one stretch of characters is taken.
 SAMPLE_TOKENS = 400_000
 SAMPLE_DOCS = 3000
 SAMPLE_CHARS = 20_000
-#: Rounds over the corpus: each learns from one in ROUND_PARTS of the training texts, cut by a hash of id and text.
+#: Rounds that together learn from every training text once; a hash of id and text deals the texts to them.
 ROUNDS = 2
-ROUND_PARTS = 16
 ROUND_RATE = 0.005
-ROUND_LANES = 128
+ROUND_LANES = 512
 #: Tokens that a task of a round holds and trains on at a time.
 STRETCH = 1 << 19
+#: Bytes of text that are scored side by side (a longer text alone).
+SCORE_BYTES = 24 << 20
 #: Weights of one row of the sums that are averaged, and sums that one task adds at a time.
 CHUNK = 1 << 14
 TEAM = 64
@@ -193,6 +195,24 @@ def gather_counts(counts: DataFrame, most: int = TABLE, vocabulary: int = VOCABU
                   int(sums["v"] or 0), int(least), rare_sum, size)
 
 
+def _log_share(z: np.ndarray, bias: np.ndarray, hit: np.ndarray) -> np.ndarray:
+    """Log softmax of the columns of ``z + bias`` at row ``hit``; ``z`` is overwritten."""
+    z += bias[:, None]
+    z -= z.max(axis=0)
+    own = z[hit, np.arange(len(hit))]
+    return own - np.log(np.exp(z, out=z).sum(axis=0))
+
+
+def _share_error(z: np.ndarray, bias: np.ndarray, hit: np.ndarray, over: int) -> np.ndarray:
+    """Softmax of the columns of ``z + bias`` less 1 at row ``hit``, divided by ``over``; ``z`` is overwritten."""
+    z += bias[:, None]
+    z -= z.max(axis=0)
+    np.exp(z, out=z)
+    z *= F32(1 / over) / z.sum(axis=0)
+    z[hit, np.arange(len(hit))] -= F32(1 / over)
+    return z
+
+
 class Model:
     """GRU over tokens; classes of vocabulary words first, then the rare classes."""
 
@@ -223,21 +243,30 @@ class Model:
         return end
 
     def log_likelihood(self, states: np.ndarray, index: np.ndarray) -> np.ndarray:
-        """Natural log of P(class), times P(word | class) for vocabulary words, of each token."""
+        """Natural log of P(class), times P(word | class) for vocabulary words, of each token.
+
+        Classes and words run down the rows of the products, so that sums over them go through whole rows.
+        """
         cls = self.classes(index)
-        z = states @ self.cls + self.cls_bias
-        top = z.max(axis=1)
-        out = z[np.arange(len(z)), cls] - top - np.log(np.exp(z - top[:, None]).sum(axis=1))
-        order = np.argsort(cls, kind="stable")
-        edges = np.searchsorted(cls[order], np.arange(self.groups + 1))
-        for g in range(self.groups):
-            k = order[edges[g]:edges[g + 1]]
-            if len(k):
-                w = states[k] @ self.word[g] + self.word_bias[g]
-                top = w.max(axis=1)
-                out[k] += w[np.arange(len(k)), index[k] % CLASS_WORDS] - top - np.log(np.exp(w - top[:, None]).sum(axis=1))
+        out = np.empty(len(index), F32)
+        for at in range(0, len(index), BLOCK):
+            part = slice(at, at + BLOCK)
+            out[part] = _log_share(self.cls.T @ states[part].T, self.cls_bias, cls[part])
+        order, states, groups = self._by_group(cls, states)
+        within, word = index[order] % CLASS_WORDS, np.empty(len(order), F32)
+        for g, part in groups:
+            word[part] = _log_share(self.word[g].T @ states[part].T, self.word_bias[g], within[part])
+        out[order] += word
         return out
 
+    def _by_group(self, cls: np.ndarray, states: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, slice]]]:
+        """Places and states of the vocabulary words in order of their classes, and each class's slice of these."""
+        order = np.argsort(cls.astype(np.int16), kind="stable")
+        edges = np.searchsorted(cls[order], np.arange(self.groups + 1))
+        order = order[:edges[-1]]
+        groups = [(g, slice(edges[g], edges[g + 1])) for g in np.flatnonzero(np.diff(edges))]
+        return order, states.take(order, axis=0), groups
+
     def copy(self) -> Model:
         """A model with weights of its own."""
         return deepcopy(self)
@@ -278,70 +307,63 @@ class Model:
 
     def _window(self, given: np.ndarray, target: np.ndarray, h: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
         lanes, time = given.shape
-        states, traces = np.empty((time, lanes, HIDDEN), F32), []
-        for t in range(time):
-            h, trace = step_traced(self.gate[given[:, t]], h, self.u)
-            states[t] = h
-            traces.append(trace)
-        flat, index = states.reshape(-1, HIDDEN), target.T.ravel()
-        cls, n = self.classes(index), lanes * time
-        z = flat @ self.cls + self.cls_bias
-        z = np.exp(z - z.max(axis=1, keepdims=True))
-        z /= z.sum(axis=1, keepdims=True)
-        z[np.arange(n), cls] -= 1
-        z /= lanes
-        back = z @ self.cls.T
+        inputs, index = given.T.ravel(), target.T.ravel()
+        states, h, trace = run_traced(self.gate, given.T, h, self.u)
+        flat, cls, n = states.reshape(-1, HIDDEN), self.classes(index), lanes * time
+        back = np.empty((n, HIDDEN), F32)
+        g_cls, g_cls_bias = np.zeros_like(self.cls), np.zeros_like(self.cls_bias)
         g_word, g_bias = np.zeros_like(self.word), np.zeros_like(self.word_bias)
-        order = np.argsort(cls, kind="stable")
-        edges = np.searchsorted(cls[order], np.arange(self.groups + 1))
-        for g in range(self.groups):
-            k = order[edges[g]:edges[g + 1]]
-            if len(k):
-                w = flat[k] @ self.word[g] + self.word_bias[g]
-                w = np.exp(w - w.max(axis=1, keepdims=True))
-                w /= w.sum(axis=1, keepdims=True)
-                w[np.arange(len(k)), index[k] % CLASS_WORDS] -= 1
-                w /= lanes
-                g_word[g], g_bias[g] = flat[k].T @ w, w.sum(axis=0)
-                back[k] += w @ self.word[g].T
-        back = back.reshape(time, lanes, HIDDEN)
-        g_gate, g_u, carry = np.zeros_like(self.gate), np.zeros_like(self.u), np.zeros((lanes, HIDDEN), F32)
-        gates = np.empty((time, lanes, 3 * HIDDEN), F32)
-        for t in range(time - 1, -1, -1):
-            gates[t], carry, u = step_back(carry + back[t], traces[t], self.u)
-            g_u += u
-        inputs = given.T.ravel()
-        order = np.argsort(inputs, kind="stable")
-        token, start = np.unique(inputs[order], return_index=True)
-        g_gate[token] = np.add.reduceat(gates.reshape(-1, 3 * HIDDEN)[order], start, axis=0)
-        return [g_gate, g_u, flat.T @ z, z.sum(axis=0), g_word, g_bias], h
+        for at in range(0, n, BLOCK):
+            part = slice(at, at + BLOCK)
+            z = _share_error(self.cls.T @ flat[part].T, self.cls_bias, cls[part], lanes)
+            g_cls += (z @ flat[part]).T
+            g_cls_bias += z.sum(axis=1)
+            back[part] = z.T @ self.cls.T
+        order, flat, groups = self._by_group(cls, flat)
+        within, from_word = index[order] % CLASS_WORDS, np.empty((len(order), HIDDEN), F32)
+        for g, part in groups:
+            w = _share_error(self.word[g].T @ flat[part].T, self.word_bias[g], within[part], lanes)
+            g_word[g], g_bias[g] = (w @ flat[part]).T, w.sum(axis=1)
+            np.matmul(w.T, self.word[g].T, out=from_word[part])
+        back[order] += from_word
+        gates, g_u = run_back(back.reshape(time, lanes, HIDDEN), trace, self.u)
+        g_gate = np.zeros_like(self.gate)
+        order = np.argsort(inputs.astype(np.int16), kind="stable")
+        gates = gates.reshape(n, -1)
+        for at in range(0, n, BLOCK):
+            part = order[at:at + BLOCK]
+            token, start = np.unique(inputs[part], return_index=True)
+            g_gate[token] += np.add.reduceat(gates.take(part, axis=0), start, axis=0)
+        return [g_gate, g_u, g_cls, g_cls_bias, g_word, g_bias], h
 
     def score(self, index: np.ndarray, bounds: np.ndarray, first: int, block: int = 1 << 15) -> np.ndarray:
         """Log-likelihood (natural) of each text's tokens, whole texts side by side.
 
         Texts run from the longest; each window of steps hands its states to
-        the next, and texts that have ended drop out.
+        the next, and texts that have ended drop out between windows.
         """
         size = np.diff(bounds)
         order = np.argsort(-size, kind="stable")
         size, begin = size[order], bounds[:-1][order]
         total = np.zeros(len(size))
         h = np.zeros((len(size), HIDDEN), F32)
+        cell = Cell(self.gate, self.u)
         at = 0
         while at < (size[0] if len(size) else 0):
             live = int(np.searchsorted(-size, -at, side="left"))
-            many = min(int(size[0]) - at, WINDOW, max(1, block // max(live, 1)))
-            states, owner, target = [], [], []
-            for t in range(at, at + many):
-                live = int(np.searchsorted(-size, -t, side="left"))
-                before = index[begin[:live] + t - 1] if t else np.full(live, first)
-                h = step(self.gate.take(before, axis=0), h[:live], self.u)
-                states.append(h)
-                owner.append(np.arange(live))
-                target.append(index[begin[:live] + t])
-            owner = np.concatenate(owner)
-            part = self.log_likelihood(np.concatenate(states), np.concatenate(target))
-            total[:len(total)] += np.bincount(owner, part, len(total))
+            # At least until the shortest text ends, so that a few long ones run in few windows.
+            many = min(int(size[0]) - at, max(WINDOW, int(size[live - 1]) - at), max(1, block // live))
+            steps = np.arange(at, at + many)[:, None]
+            place = np.minimum(begin[:live] + steps, begin[:live] + size[:live] - 1)
+            before = index[np.maximum(place - 1, 0)]
+            if not at:
+                before[0] = first
+            states, h = cell.run(before, h[:live])
+            on = np.flatnonzero((steps < size[:live]).ravel())
+            states, target = states.reshape(-1, HIDDEN), index[place].ravel()
+            if len(on) < len(target):
+                states, target = states.take(on, axis=0), target[on]
+            total[:live] += np.bincount(on % live, self.log_likelihood(states, target), live)
             at += many
         out = np.empty(len(total))
         out[order] = total
@@ -369,6 +391,16 @@ def sample_stream(docs: DataFrame, counts: Counts, model: Model, tokens: int = S
     return np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
 
+def pieces(records: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Cut batches of ``doc_id, text`` into pieces of at most ``most`` bytes of text, one row at least."""
+    for batch in records:
+        offsets, at = utf8(batch.column(1))[0], 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, side="right")) - 1)
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def stretches(records: Iterator[pa.RecordBatch], counts: Counts, model: Model, most: int) -> Iterator[np.ndarray]:
     """The token stream of a task's texts, in pieces of at least ``most`` tokens but for the last."""
     parts, size = [], 0
@@ -384,6 +416,18 @@ def stretches(records: Iterator[pa.RecordBatch], counts: Counts, model: Model, m
         yield np.concatenate(parts)
 
 
+def side_by_side(stream: np.ndarray, lanes: int, every: bool) -> np.ndarray:
+    """A stream as at most ``lanes`` stretches of one length.
+
+    ``every``: the last stretch begins early enough to end with the stream; else tokens beyond full stretches are left.
+    """
+    if not every:
+        return stream[:len(stream) // lanes * lanes].reshape(lanes, -1)
+    length = -(-len(stream) // lanes)
+    begin = np.minimum(np.arange(-(-len(stream) // length)) * length, len(stream) - length)
+    return stream[begin[:, None] + np.arange(length)]
+
+
 SUMS = "member int, chunk int, n long, w binary"
 
 
@@ -399,12 +443,13 @@ def _added(rows: pa.Table) -> pa.Table:
                      "n": pa.array([sum(rows.column("n").to_pylist())], pa.int64()), "w": pa.array([total.tobytes()], pa.binary())})
 
 
-def averaged_round(spark: SparkSession, docs: DataFrame, counts: Counts, model: Model, first: int, rate: float = ROUND_RATE) -> int:
+def averaged_round(spark: SparkSession, docs: DataFrame, counts: Counts, model: Model, first: int, rate: float = ROUND_RATE,
+                   every: bool = False) -> int:
     """Every task trains a copy of ``model`` on its texts; the model becomes the mean of the copies by tokens.
 
     The copies' weights are added up in Spark, chunk by chunk, first in teams of
     :data:`TEAM` tasks, again until one team is left; one model reaches the driver.
-    Returns the number of tokens learnt from; without any the model stays.
+    Returns the number of tokens learnt from (with ``every`` all, see :func:`side_by_side`); without any the model stays.
     """
     shared = spark.sparkContext.broadcast((counts, model, first, rate))
     tasks = docs.rdd.getNumPartitions()
@@ -415,9 +460,9 @@ def averaged_round(spark: SparkSession, docs: DataFrame, counts: Counts, model:
         adam = Adam(own.params(), rate)
         for stream in stretches(records, counts, own, STRETCH):
             lanes = max(1, min(ROUND_LANES, len(stream) // 64))
-            rows = stream[:len(stream) // lanes * lanes].reshape(lanes, -1)
+            rows = side_by_side(stream, lanes, every)
             own.learn(rows, first, adam)
-            seen += rows.size
+            seen += min(rows.size, len(stream))
         if seen:
             flat = np.concatenate([p.ravel() for p in own.params()]).astype(np.float64) * seen
             member = TaskContext.get().partitionId()
@@ -448,9 +493,9 @@ def averaged_round(spark: SparkSession, docs: DataFrame, counts: Counts, model:
 
 
 def corpus_rounds(spark: SparkSession, docs: DataFrame, counts: Counts, model: Model, first: int) -> int:
-    """:data:`ROUNDS` rounds of averaging, each over other training texts.  Returns the tokens learnt from."""
-    part = F.pmod(F.xxhash64("doc_id", "text", F.lit(11)), F.lit(ROUND_PARTS))
-    return sum(averaged_round(spark, docs.where(part == r), counts, model, first, ROUND_RATE / (1 + r)) for r in range(ROUNDS))
+    """:data:`ROUNDS` rounds of averaging, which together learn from every token of ``docs``.  Returns their number."""
+    part = F.pmod(F.xxhash64("doc_id", "text", F.lit(11)), F.lit(ROUNDS))
+    return sum(averaged_round(spark, docs.where(part == r), counts, model, first, ROUND_RATE / (1 + r), every=True) for r in range(ROUNDS))
 
 
 def lm_scores(spark: SparkSession, docs: DataFrame, learn: Column, table_size: int = TABLE) -> DataFrame:
@@ -474,7 +519,7 @@ def lm_scores(spark: SparkSession, docs: DataFrame, learn: Column, table_size: i
         known, model, first = shared.value
         norm = np.log10(known.total + known.distinct + 1)
         shares = np.log10(known.rare_sum + 1)
-        for batch in batches(records):
+        for batch in pieces(records, SCORE_BYTES):
             ids, columns = batch.column(0), [[] for _ in range(4)]
             index_parts, bound_parts, extra = [], [np.zeros(1, np.int64)], []
             rare_hash, rare_n, rare_size = [], [], [0]
@@ -482,7 +527,7 @@ def lm_scores(spark: SparkSession, docs: DataFrame, learn: Column, table_size: i
             for words in batch_words(batch.column(1)):
                 hashes, rare, bounds = token_stream(words)
                 c, symbol = known.look_up(hashes)
-                index = model.index(symbol, rare)
+                index = model.index(symbol, rare).astype(np.int32)
                 texts = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
                 n = len(bounds) - 1
                 value = np.log10(c + 1.0)

@@ -305,3 +305,40 @@ def test_lm_rounds_learn_from_a_share_that_grows_with_the_corpus(spark):
     assert 2.5 < seen[1] / seen[0] < 6
     empty = frame(spark, []).select("doc_id", "text")
     assert lm_scoring.averaged_round(spark, empty, counts, lm_scoring.Model(counts.size), 0) == 0
+
+
+def test_lm_rounds_learn_from_every_training_token(spark):
+    rows = [(None if i % 5 == 0 else i, " ".join(f"w{(i * j) % 37}" for j in range(i % 23)), "en", "s", 1) for i in range(300)]
+    docs = frame(spark, rows).select("doc_id", "text").repartition(3, "text")
+    counts = lm_scoring.gather_counts(lm_scoring.token_counts(docs))
+    seen = lm_scoring.corpus_rounds(spark, docs, counts, lm_scoring.Model(counts.size), 0)
+    assert seen == counts.total == sum(len(t.split()) + 1 for _, t, *_ in rows)
+
+
+def test_lm_stretches_side_by_side_hold_every_token():
+    for n in (1, 5, 64, 100, 1027):
+        for lanes in (1, 3, 8):
+            rows = lm_scoring.side_by_side(np.arange(n), lanes, True)
+            assert len(rows) <= lanes and set(rows.ravel().tolist()) == set(range(n))
+            assert (np.diff(rows, axis=1) == 1).all()
+
+
+def test_gru_window_gradients_equal_those_of_single_steps():
+    rng = np.random.default_rng(4)
+    gate, u = rng.normal(size=(7, 9)).astype(np.float32), rng.normal(size=(3, 9)).astype(np.float32)
+    inputs, h, up = rng.integers(0, 7, (5, 4)), rng.normal(size=(4, 3)).astype(np.float32), rng.normal(size=(5, 4, 3)).astype(np.float32)
+    states, last, trace = gru.run_traced(gate, inputs, h, u)
+    plain, traces = h, []
+    for t in range(5):
+        plain, one = gru.step_traced(gate[inputs[t]], plain, u)
+        traces.append(one)
+        np.testing.assert_allclose(states[t], plain, atol=1e-5)
+    np.testing.assert_allclose(gru.Cell(gate, u).run(inputs, h)[0], states, atol=1e-5)
+    gates, g_u = gru.run_back(up, trace, u)
+    carry, sum_u = np.zeros((4, 3), np.float32), 0
+    for t in range(4, -1, -1):
+        own, carry, part = gru.step_back(carry + up[t], traces[t], u)
+        np.testing.assert_allclose(gates[t], own, atol=1e-4)
+        sum_u = sum_u + part
+    np.testing.assert_allclose(g_u, sum_u, atol=1e-4)
+    assert (last == states[-1]).all()
