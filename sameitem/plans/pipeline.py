@@ -73,14 +73,18 @@ class Run:
         return with_attributes(self.prepared)
 
     @cached_property
-    def listings(self) -> DataFrame:
+    def extracted(self) -> DataFrame:
         # Materialised once: the regex extraction is the heaviest per-row step
-        # and nodes, conflict counts, members and evaluation all read it.
+        # and nodes, conflict counts, members, evaluation and the attribute table all read it.
         # Only the columns that they use are written, and each of them reads only its own.
-        keep = ["listing_id", "row_seq", "title", "price", "source", "currency", "dq_suspicious_low_price",
-                "normalized_title", "category", *ATTRIBUTES]
-        # Filtered before the extraction, whose expressions fill a generated method of their own.
-        return stage(with_attributes(matchable(self.prepared)).select(*keep), "listings")
+        keep = ["listing_id", "row_seq", "title", "price", "source", "currency", "dq_missing_title", "dq_missing_price",
+                "dq_nonpositive_price", "dq_suspicious_low_price", "normalized_title", "category", *ATTRIBUTES]
+        return stage(self.attributed.select(*keep), "listings")
+
+    @cached_property
+    def listings(self) -> DataFrame:
+        """The extracted listings that are matched."""
+        return matchable(self.extracted).drop("dq_missing_title", "dq_missing_price", "dq_nonpositive_price")
 
     @cached_property
     def keyed(self) -> DataFrame:

@@ -56,7 +56,7 @@ def q_output_tables(spark, sf_dir):
         "decisions": (_long(r.final_pairs.select("listing_id_1", "listing_id_2", "n_pairs", "decision", "reason"), "n_pairs"),
                       ["listing_id_1", "listing_id_2"]),
         "groups": (r.groups.select("group_id", "canonical_title", "n_listings", "sources", "min_price"), ["group_id"]),
-        "attributes": (r.attributed.select("listing_id", "row_seq", "normalized_title", "brand", "model_family", "storage"), ["row_seq"]),
+        "attributes": (r.extracted.select("listing_id", "row_seq", "normalized_title", "brand", "model_family", "storage"), ["row_seq"]),
         "usage": (usage, None),
     }
     out = None

@@ -102,14 +102,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, held: bool = False) -> DataFrame:
     """Deal a table of fewer splits than cores over all cores, for CPU-bound work on its rows.
 
     A file of one row group is one task however large it is; a table that has as
-    many splits as cores is returned as it is, without an exchange.
+    many splits as cores is returned as it is, without an exchange.  ``held``: the dealt
+    rows are staged, as Spark moves later filters, with all that they compute, below an exchange.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() <= cores else df
+    if df.rdd.getNumPartitions() > cores:
+        return df
+    dealt = df.repartition(cores)
+    return stage(dealt, "dealt") if held else dealt
 
 
 def ship_package(spark: SparkSession) -> None:

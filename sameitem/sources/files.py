@@ -72,7 +72,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", order: list[str]
     ``bom=True`` puts U+FEFF before the CSV's first column name.
     """
     if order:
-        df = df.orderBy(*order)
+        # A sort reads its input twice, for the ranges and for the rows: staged, it is computed once.
+        df = stage(df, "unsorted").orderBy(*order)
     writer = df.write
     if fmt == "csv":
         arrays = [f.name for f in df.schema.fields if f.dataType.typeName() == "array"]

@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sameitem.session import checkpoint_dir
+from sameitem.session import checkpoint_dir, spread
 from sameitem.sources.feeds import CHARSETS
 
 # The listing formula agreed for the test data (FIXTURES.md §4).
@@ -70,19 +70,18 @@ select listing_id, case when listing_id % 6 < 4 or title is null then title
 """
 
 
-def _view(spark: SparkSession, sf_dir: str, table: str) -> str:
-    name = f"{table}_{hashlib.md5(sf_dir.encode()).hexdigest()[:10]}"
-    spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(name)
-    return name
-
-
 def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def fixture_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw listings: ``listing_id, title, price (string), source, currency, true_product``."""
-    return spark.sql(LISTINGS_SQL.format(part=_view(spark, sf_dir, "part")))
+    """Raw listings: ``listing_id, title, price (string), source, currency, true_product``.
+
+    The keys are dealt over the cores, as ``part`` may be one split however many rows it has.
+    """
+    name = f"part_keys_{hashlib.md5(sf_dir.encode()).hexdigest()[:10]}"
+    spread(read_table(spark, sf_dir, "part").select("p_partkey"), held=True).createOrReplaceTempView(name)
+    return spark.sql(LISTINGS_SQL.format(part=name))
 
 
 def listing_vectors(spark: SparkSession, sf_dir: str, listings: DataFrame | None = None) -> DataFrame:

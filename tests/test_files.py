@@ -81,3 +81,34 @@ def test_outputs_of_a_first_run(spark):
     write_table(run.groups, csv, "csv", ["group_id"], bom=True)
     part = next(p for p in sorted(os.listdir(csv)) if p.endswith(".csv"))
     assert open(f"{csv}/{part}", "rb").read(3) == b"\xef\xbb\xbf"
+
+
+def test_sorted_output_computes_its_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    out = tempfile.mkdtemp(prefix="sameitem-csv-") + "/out"
+    write_table(spark.range(50).repartition(3).mapInPandas(count, "id long"), out, fmt="csv", order=["id"])
+    assert seen.value == 50
+    assert spark.read.option("header", True).csv(out).count() == 50
+
+
+def test_listings_of_one_split_are_cleaned_in_as_many_tasks_as_cores(spark):
+    from sameitem.sources.fixture import fixture_listings
+    raw = fixture_listings(spark, SF001)
+    assert spark.read.parquet(f"{SF001}/part.parquet").rdd.getNumPartitions() == 1
+    kept = raw.where("price like '1%' and title is not null")
+    assert kept.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()  # nothing before the deal
+
+
+def test_one_extraction_serves_matching_and_the_attribute_table(spark):
+    r = Run.from_fixture(spark, SF001)
+    assert r.listings.columns == [c for c in r.extracted.columns if c not in ("dq_missing_title", "dq_missing_price", "dq_nonpositive_price")]
+    assert "listings-" in r.listings.inputFiles()[0] and r.listings.inputFiles() == r.extracted.inputFiles()
+    cols = ["listing_id", "row_seq", "normalized_title", "brand", "model_family", "storage"]
+    assert sorted(map(str, r.extracted.select(*cols).collect())) == sorted(map(str, r.attributed.select(*cols).collect()))
