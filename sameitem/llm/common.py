@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,6 +22,10 @@ from sameitem.session import checkpoint_dir, ship_package
 
 #: Bytes of text that one numpy step holds; a longer text makes a step of its own.
 STEP_BYTES = 1 << 20
+#: The same where a step's borders change nothing: some 60 bytes of memory a byte of text are held meanwhile.
+SMALL_STEP = 1 << 18
+#: Bytes of rows that JVM and Python hand each other at a time while :func:`small_batches` holds.
+BATCH_BYTES = "8m"
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
@@ -66,6 +71,18 @@ def unstage(spark: SparkSession, *tables: DataFrame | None) -> None:
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs run inside hand rows to Python by :data:`BATCH_BYTES`, however wide a row is; the session's own bound comes back after."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """SplitMix64's finaliser (Steele, Lea and Flood, 2014) over uint64."""
     x = x ^ (x >> np.uint64(30))
@@ -79,7 +96,7 @@ def _power(base: int, n: int) -> np.ndarray:
     key = str(base)
     have = _powers.get(key)
     if have is None or len(have) < n:
-        size = max(n, STEP_BYTES + 4096)
+        size = max(n + n // 8, SMALL_STEP + 4096)
         have = np.full(size, base, dtype=np.uint64)
         have[0] = 1
         have = np.multiply.accumulate(have)
@@ -119,8 +136,8 @@ class Words:
         return np.searchsorted(self.text, np.arange(self.last - self.first + 1))
 
 
-def batch_words(column: pa.Array, punctuation: bool = False) -> Iterator[Words]:
-    """Words of a batch of texts, in steps of about :data:`STEP_BYTES`.
+def batch_words(column: pa.Array, punctuation: bool = False, most: int = STEP_BYTES) -> Iterator[Words]:
+    """Words of a batch of texts, in steps of about ``most`` bytes.
 
     ``punctuation=True`` parts words at everything but ASCII letters, digits
     and non-ASCII bytes.  Every text lies in one step, whatever its length.
@@ -130,7 +147,7 @@ def batch_words(column: pa.Array, punctuation: bool = False) -> Iterator[Words]:
     parts = _PUNCT if punctuation else _SPACE
     first = 0
     while first < n:
-        last = int(np.searchsorted(offsets, offsets[first] + STEP_BYTES, side="right")) - 1
+        last = int(np.searchsorted(offsets, offsets[first] + most, side="right")) - 1
         last = min(n, max(first + 1, last))
         lo, hi = int(offsets[first]), int(offsets[last])
         yield _step(first, last, offsets[first:last + 1] - lo, data[lo:hi], parts)
@@ -155,7 +172,10 @@ def _step(first: int, last: int, offsets: np.ndarray, data: np.ndarray, parts: n
     end = np.flatnonzero(word & (after | edge[1:])) + 1
     total = np.empty(size + 1, dtype=np.uint64)
     total[0] = 0
-    np.cumsum(_VALUE[data] * _power(_R, size)[:size], out=total[1:])
+    terms = _VALUE[data]
+    terms *= _power(_R, size)[:size]
+    np.cumsum(terms, out=total[1:])
+    del terms
     value = mix64((total[end] - total[start]) * _power(_RINV, size)[start])
     text = np.searchsorted(offsets, start, side="right") - 1
     return Words(first, last, text, value, start, end, data)
@@ -178,6 +198,8 @@ def batches(records: Iterator[pa.RecordBatch], rows: int = 2048) -> Iterator[pa.
     for batch in records:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+        del batch  # else it stays while the next one is read
+    pa.default_memory_pool().release_unused()  # a worker outlives its task
 
 
 def runs(records: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:

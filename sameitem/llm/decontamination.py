@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sameitem.llm.common import batch_words, batches, mix64, prepared, stage, table
+from sameitem.llm.common import SMALL_STEP, batch_words, batches, mix64, prepared, stage, table
 
 MIN_MATCH = 5
 MIN_COVERAGE = 0.5
@@ -188,7 +188,7 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, min_match:
             for batch in batches(records):
                 found: list[tuple] = []
                 ids, marks = batch.column(0), batch.column(2)
-                for words in batch_words(batch.column(1), punctuation=True):
+                for words in batch_words(batch.column(1), punctuation=True, most=SMALL_STEP):
                     bounds, by_doc = words.bounds(), {}
                     for seed, at, item, start in block.seeds_in(words.hash):
                         doc = words.text[at]

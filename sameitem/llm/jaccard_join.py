@@ -51,11 +51,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sameitem.llm.common import batch_words, batches, mix64, prepared, shingle_hashes, stage, table, unstage
+from sameitem.llm.common import SMALL_STEP, batch_words, batches, mix64, prepared, shingle_hashes, small_batches, stage, table, unstage
 from sameitem.operators.components import connected_components
 
 WORDS = 5
 THRESHOLD = 80  # per cent
+#: Tokens that a task counts together.
+COUNTED = 1 << 21
 #: Tokens ordered last, by their count over all documents.  Only the order depends on the bound.
 COMMON = 1 << 19
 ROUNDS = 2
@@ -69,7 +71,7 @@ DOCUMENT_BITS = 24
 # -- sets ------------------------------------------------------------------
 def text_sets(column: pa.Array, words: int = WORDS) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of each text of a batch."""
-    for step in batch_words(column):
+    for step in batch_words(column, most=SMALL_STEP):
         at = step.bounds()
         for i in range(step.last - step.first):
             yield np.unique(shingle_hashes(step.hash[at[i]:at[i + 1]], words))
@@ -136,21 +138,32 @@ def may_link(a: np.ndarray, n_a: int, b: np.ndarray, n_b: int, threshold: int =
 def common_tokens(docs: DataFrame, most: int = COMMON) -> np.ndarray:
     """The tokens counted in most documents, rarest first (sorted by count, then hash).
 
-    A task counts each batch and passes on what it meets three times, so the
-    rows that are shuffled stay few; the order needs no exact counts.
+    A task counts some :data:`COUNTED` tokens at a time, of whole texts, and passes on what
+    it meets three times, so the rows that are shuffled stay few; the order needs no exact counts.
     """
 
+    def often(tokens: np.ndarray) -> pa.RecordBatch:
+        tokens.sort()
+        third = tokens[2:][tokens[2:] == tokens[:-2]]  # a token's third place and all after it
+        token, n = np.unique(third, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n.astype(np.int64) + 2)], ["token", "n"])
+
     def count(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in records:
-            sets = [s for part in batches(iter([batch])) for s in text_sets(part.column(0))]
-            if sets:
-                tokens = np.sort(np.concatenate(sets))
-                first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else []
-                n = np.diff(np.append(first, len(tokens)))
-                keep = n >= 3
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(tokens[first][keep].view(np.int64)) if len(tokens) else pa.array([], pa.int64()),
-                     pa.array(n[keep].astype(np.int64)) if len(tokens) else pa.array([], pa.int64())], ["token", "n"])
+        held = np.empty(0, np.uint64)
+        size = 0
+        for batch in batches(records):
+            for tokens in text_sets(batch.column(0)):
+                if size and size + len(tokens) > COUNTED:
+                    yield often(held[:size])
+                    size = 0
+                if size + len(tokens) > len(held):  # grows with what the task meets
+                    held, old = np.empty(max(size + len(tokens), min(2 * len(held), COUNTED)), np.uint64), held
+                    held[:size] = old[:size]
+                    del old
+                held[size:size + len(tokens)] = tokens
+                size += len(tokens)
+        if size:
+            yield often(held[:size])
 
     rows = (docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
             .orderBy(F.desc("n"), "token").limit(most).select("token").toPandas())
@@ -429,8 +442,15 @@ def set_components(spark: SparkSession, docs: DataFrame, sets: DataFrame, member
 
 
 def _labelled(spark: SparkSession, docs: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
-    """``doc_id, text_hash, n, k1`` of every document, and ``k1, comp, component_id`` of every set."""
-    prepared(spark)
+    """``doc_id, text_hash, n, k1`` of every document, and ``k1, comp, component_id`` of every set.
+
+    Every task in Python runs in here: a row of two chunks of sets or two texts may be wide.
+    """
+    with small_batches(prepared(spark)):
+        return _named_sets(spark, docs, threshold)
+
+
+def _named_sets(spark: SparkSession, docs: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     sets, clash = shingle_sets(spark, docs, threshold=threshold)
     # One row a set; its first document is the one whose text stands for it.

@@ -186,19 +186,20 @@ def fit(docs: DataFrame, learn: Column, sample_docs: int = SAMPLE_DOCS) -> ByteC
 def predict(spark: SparkSession, docs: DataFrame, model: ByteCNN | None, keep: list[str]) -> DataFrame:
     """``row`` (the ``keep`` columns), ``lang_pred`` and ``score`` for every whole text."""
     shared = spark.sparkContext.broadcast(model)
-    picked = docs.select(F.struct(*keep).alias("row"), F.col("text"), F.coalesce(
-        F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
+    # A text goes to the tasks once, also where it is kept.
+    picked = docs.select(F.struct(*keep).alias("row"), F.coalesce(
+        F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"), *[F.col("text")] * ("text" not in keep))
     schema = picked.drop("text", "letters").withColumns(
         {"lang_pred": F.lit("").cast("string"), "score": F.lit(0.0)}).schema
 
     def run(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cnn = shared.value
         for batch in batches(records, 512):
-            letters = batch.column(2).to_numpy(zero_copy_only=False)
+            letters = batch.column(1).to_numpy(zero_copy_only=False)
             n = batch.num_rows
             lang, score = np.full(n, UNDETERMINED, dtype=object), np.ones(n)
             if cnn is not None and n:
-                offsets, data = utf8(batch.column(1))
+                offsets, data = utf8(batch.column(0).field("text") if "text" in keep else batch.column(2))
                 total, count = np.zeros((n, len(cnn.langs))), np.zeros(n)
                 for a, b in _spans(offsets):
                     x, owner = text_windows(offsets[a:b + 1] - offsets[a], data[offsets[a]:offsets[b]])

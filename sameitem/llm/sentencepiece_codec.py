@@ -42,8 +42,9 @@ MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Solved chunks that a task keeps before it starts anew.
 CACHE = 400_000
-#: Chunks solved together.
+#: Chunks solved together, and places in them (some 40 bytes each).
 GROUP = 20_000
+CELLS = 1 << 18
 
 
 @dataclass
@@ -273,8 +274,12 @@ class Encoder:
             self.known.clear()
         pairs = sorted(((c.encode(), c) for c in new), key=lambda x: len(x[0]))
         short = [x for x in pairs if len(x[0]) <= self.LONG]
-        for at in range(0, len(short), GROUP):
-            part = short[at:at + GROUP]
+        at = 0
+        while at < len(short):  # the shortest first: a group is as wide as its last chunk
+            end = at + 1
+            while end < len(short) and end - at < GROUP and (end + 1 - at) * (len(short[end][0]) + 1) <= CELLS:
+                end += 1
+            part, at = short[at:end], end
             self.known.update(zip([c for _, c in part], viterbi(self.vocab, [b for b, _ in part]), strict=True))
         for raw, c in pairs[len(short):]:
             self.known[c] = viterbi_one(self.vocab, raw)

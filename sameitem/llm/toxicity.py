@@ -370,13 +370,15 @@ def scored(spark: SparkSession, docs: DataFrame, labels: DataFrame, learn: Colum
     """``row`` (the ``keep`` columns), ``score`` and ``predicted`` for every whole text."""
     prepared(spark)
     shared = spark.sparkContext.broadcast(fit(docs, labels, learn))
-    picked = docs.select(F.struct(*keep).alias("row"), F.col("text"))
+    # A text goes to the tasks once, also where it is kept.
+    picked = docs.select(F.struct(*keep).alias("row"), *[F.col("text")] * ("text" not in keep))
     schema = picked.drop("text").withColumns({"score": F.lit(0.0), "predicted": F.lit(0)}).schema
 
     def run(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shared.value
         for batch in batches(records):
-            score = np.zeros(batch.num_rows) if net is None else score_texts(net, batch.column(1))
+            text = batch.column(0).field("text") if "text" in keep else batch.column(1)
+            score = np.zeros(batch.num_rows) if net is None else score_texts(net, text)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], ["row", "score", "predicted"])
 
