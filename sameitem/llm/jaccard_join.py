@@ -14,22 +14,24 @@ component.  The join never emits the pairs inside a group of copies:
 2. Tokens in the prefixes of two sets at least are *contested*; all other sets
    are alone already.  Only contested rows are kept.
 3. Grouping - :data:`ROUNDS` times, each set meets the least set of another
-   group under the tokens it shares most (at most :data:`HUBS` a set), and what
-   links becomes one group.
+   group under the tokens it shares most (at most :data:`HUBS` a set, of a size
+   and with tokens near to what a link takes), and what links becomes one group.
 4. Token-group matrix - similar sets are one group, linked or not: a set's
    group is the least component that holds the most of its tokens.  The matrix says which
-   groups' token unions have a contested token; a set meets the groups that hold
-   one of its own.  Groups are cut into chunks of about :data:`CHUNK` sets of
-   one band of sizes.  A chunk is opened if the set's overlap with the chunk's
-   whole token union, as a bitmap, can reach the threshold, and then its members
-   of other components are compared.
+   groups' token unions have a contested token, and the sizes of the sets that hold
+   it; a set meets the groups that hold as many of its own as a link takes
+   (:func:`least_shared`), so a token or two in common bring nobody together.
+   Only the bitmaps of sets in such meetings are fetched.  Groups are cut into chunks
+   of about :data:`CHUNK` sets of one band of sizes.  A chunk is opened if the set's
+   overlap with the chunk's whole token union, as a bitmap, can reach the threshold,
+   and then its members of other components are compared.
 
 A bitmap has a bit for each residue of the token hashes.  A bit of one set that
 another lacks is a token that the other lacks, so bits bound the overlap from
 above and drop no link.  Pairs that pass are compared exactly, from the texts;
 only the texts of sets in such pairs are fetched.
 
-Step 4 alone is exact; step 3 makes it cheap, because tokens that only one
+Step 4 alone is exact, step 3 may pass over links; it makes step 4 cheap, because tokens that only one
 group holds leave the matrix.  So no link between two groups is lost, and
 links inside one group are not needed for the components.
 
@@ -48,7 +50,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sameitem.llm.common import SMALL_STEP, batch_words, batches, mix64, prepared, shingle_hashes, small_batches, stage, table, unstage
@@ -62,6 +64,8 @@ COUNTED = 1 << 21
 COMMON = 1 << 19
 ROUNDS = 2
 HUBS = 2
+#: Part of the tokens that a link takes which a set must share with a hub (it may share the rest under other hubs).
+HUB_SHARE = 4
 CHUNK = 32
 #: Bits of the filters of contested tokens and of wanted documents (false hits only cost work).
 TOKEN_BITS = 27
@@ -81,6 +85,24 @@ def prefix_size(n: int, threshold: int = THRESHOLD) -> int:
     return n - -(-threshold * n // 100) + 1 if n else 0
 
 
+def least_shared(n: Column, low: Column, high: Column, threshold: int = THRESHOLD) -> Column:
+    """Tokens, at least, that the prefixes of a set of size ``n`` and of one of a size from ``low`` to ``high`` share if they link.
+
+    Sets of sizes n and m that link have ``both = ceil(t * (n + m) / (1 + t))`` tokens in common.  The k-th of
+    them has ``both - k`` more after it in either set, so it lies in the first ``n - both + k`` of one and
+    ``m - both + k`` of the other: the prefixes share as many as their sizes exceed ``n - both`` and ``m - both``.
+    The first of these two grows with m, the second (rounded down) falls.
+    """
+    t, either = threshold, 100 + threshold
+    low, high = F.greatest(low, F.ceil(t * n / 100)), F.least(high, F.floor(100 * n / t))
+    return F.least(1 - F.ceil(t * n / 100) + F.ceil(t * (n + low) / either), 1 + F.floor((100 * t * n - t * t * high) / (100 * either)))
+
+
+def sizes_near(n: Column, low: Column, high: Column, threshold: int = THRESHOLD) -> Column:
+    """Whether a set of size ``n`` can link with one of a size from ``low`` to ``high``."""
+    return (100 * high >= threshold * n) & (100 * n >= threshold * low)
+
+
 def linked(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
     """Whether two sorted sets are similar enough: ``100 * both >= threshold * either``."""
     small, large = (a, b) if len(a) <= len(b) else (b, a)
@@ -239,23 +261,55 @@ def in_filter(bitmap: np.ndarray, values: np.ndarray, bits: int) -> np.ndarray:
     return (bitmap[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def contested_rows(spark: SparkSession, sets: DataFrame, tokens: DataFrame) -> DataFrame:
-    """``token, k1, n``: the prefix tokens that the filter of contested tokens lets through, once a set."""
-    shared = spark.sparkContext.broadcast(bit_filter(tokens, "token", TOKEN_BITS))
+def prefix_rows(spark: SparkSession, sets: DataFrame, members: DataFrame, tokens: DataFrame | None = None) -> DataFrame:
+    """``token, k1, n`` of the prefixes; of ``tokens`` only those that their filter lets through.
+
+    A set is taken where its first document is, once a task.  It may come more than once all the same
+    (repeated rows, false hits of the filter), which makes counts of shared tokens larger, never less.
+    """
+    own = lambda doc_id: F.xxhash64("k1", doc_id).alias("h")
+    first = bit_filter(members.select(own("first.doc_id")), "h", TOKEN_BITS)
+    shared = spark.sparkContext.broadcast((first, None if tokens is None else bit_filter(tokens, "token", TOKEN_BITS)))
 
     def run(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, contested = shared.value
+        seen: set[int] = set()
         for batch in batches(records, 1024):
-            bounds = batch.column(2).offsets.to_numpy()
-            flat = np.asarray(batch.column(2).values).astype(np.int64)
-            hit = in_filter(shared.value, flat, TOKEN_BITS)
-            hit[:bounds[0]] = False
-            hit[bounds[-1]:] = False
-            at = np.flatnonzero(hit)
-            row = pa.array(np.searchsorted(bounds, at, side="right") - 1)
-            yield pa.RecordBatch.from_arrays([pa.array(flat[at]), batch.column(0).take(row), batch.column(1).take(row)],
+            h, k1 = (batch.column(i).to_numpy() for i in (0, 1))
+            take = []
+            for i in np.flatnonzero(in_filter(first, h, TOKEN_BITS)).tolist():
+                if int(k1[i]) not in seen:
+                    seen.add(int(k1[i]))
+                    take.append(i)
+            batch = batch.take(pa.array(take, pa.int64()))
+            flat = batch.column(3).flatten()
+            row = np.repeat(np.arange(len(take)), np.diff(batch.column(3).offsets.to_numpy()))
+            if contested is not None:
+                at = np.flatnonzero(in_filter(contested, flat.to_numpy(), TOKEN_BITS))
+                flat, row = flat.take(pa.array(at)), row[at]
+            yield pa.RecordBatch.from_arrays([flat, batch.column(1).take(pa.array(row)), batch.column(2).take(pa.array(row))],
                                              ["token", "k1", "n"])
 
-    return sets.where("n > 0").select("k1", "n", "prefix").mapInArrow(run, "token long, k1 long, n long").distinct()
+    return sets.where("n > 0").select(own("doc_id"), "k1", "n", "prefix").mapInArrow(run, "token long, k1 long, n long")
+
+
+def set_bitmaps(spark: SparkSession, sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``k1, bits`` of the sets ``wanted`` (``k1``)."""
+    shared = spark.sparkContext.broadcast(bit_filter(wanted, "k1", DOCUMENT_BITS))
+
+    def run(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches(records):
+            k1 = batch.column(0).to_numpy()
+            take = []
+            for i in np.flatnonzero(in_filter(shared.value, k1, DOCUMENT_BITS)).tolist():
+                if int(k1[i]) not in seen:
+                    seen.add(int(k1[i]))
+                    take.append(i)
+            yield batch.take(pa.array(take, pa.int64()))
+
+    return (sets.where("n > 0").select("k1", "bits").mapInArrow(run, "k1 long, bits binary")
+            .join(wanted, "k1", "left_semi").dropDuplicates(["k1"]))
 
 
 def set_texts(spark: SparkSession, docs: DataFrame, members: DataFrame, wanted: DataFrame, clash: list[int]) -> DataFrame:
@@ -285,9 +339,9 @@ def _bits(value: bytes) -> np.ndarray:
     return np.frombuffer(value, np.uint8)
 
 
-def within_reach(pairs: DataFrame, members: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """The pairs ``x, y`` of sets whose bitmaps leave a link possible."""
-    side = lambda c: members.select(F.col("k1").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"b{c}"))
+def within_reach(pairs: DataFrame, bitmaps: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """The pairs ``x, y`` of sets (of sizes ``nx, ny``) whose bitmaps leave a link possible."""
+    side = lambda c: bitmaps.select(F.col("k1").alias(c), F.col("bits").alias(f"b{c}"))
     both = pairs.join(side("x"), "x").join(side("y"), "y").select("x", "y", "nx", "ny", "bx", "by")
 
     def run(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,7 +376,7 @@ def compare(pairs: DataFrame, texts: DataFrame, threshold: int = THRESHOLD) -> D
     return both.mapInArrow(run, "src long, dst long")
 
 
-def group_pairs(spark: SparkSession, rows: DataFrame, members: DataFrame, threshold: int = THRESHOLD,
+def group_pairs(spark: SparkSession, rows: DataFrame, sets: DataFrame, threshold: int = THRESHOLD,
                 used: list[DataFrame] | None = None) -> DataFrame:
     """Pairs ``x, y`` of sets of different components within reach, through the token-group matrix.
 
@@ -332,7 +386,10 @@ def group_pairs(spark: SparkSession, rows: DataFrame, members: DataFrame, thresh
     the pairs of members before the chunks are opened.  A chunk holds one band of
     sizes, and a set meets chunks of its own band and its neighbours only: sets
     that link differ in size by a quarter at most, less than a band's width.
-    ``used`` gets the staged tables that the result reads.
+    Of the two sets of a link the one of the greater ``k1`` must meet the other's group,
+    and each token that they share is held there by a set of another component, a smaller
+    ``k1`` and a size near enough; meetings by fewer such tokens than a link takes are dropped
+    before any bitmap is read.  ``used`` gets the staged tables that the result reads.
     """
     mixed = (rows.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("token"))
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(np.log(100 / threshold + 0.01))).cast("int")
@@ -342,13 +399,23 @@ def group_pairs(spark: SparkSession, rows: DataFrame, members: DataFrame, thresh
     near = shared.groupBy("k1").agg(F.min(F.struct(-F.col("count"), "group")).alias("g")).select("k1", "g.group")
     mixed_rows, rows = rows, stage(spark, rows.join(near, "k1"), "mixed-tokens")
     unstage(spark, mixed_rows)
-    matrix = (rows.select("token", "group", "band").distinct()
-              .select("token", F.col("group").alias("g_group"), F.col("band").alias("g_band"),
-                      F.explode(F.array(*[F.col("band") + d for d in (-1, 0, 1)])).alias("band")))
-    meet = rows.join(matrix, ["token", "band"]).select("k1", "n", "comp", "g_group", "g_band").distinct()
-    own = rows.select("k1", "n", "comp", F.col("group").alias("g_group"), F.col("band").alias("g_band")).distinct()
-    held = _chunks(spark, own, members, "held", "group-chunks")
-    asked = _chunks(spark, meet, members, "asked", "query-chunks")
+    matrix = (rows.groupBy("token", F.col("group").alias("g_group"), F.col("band").alias("g_band"))
+              .agg(F.min("k1").alias("first"), F.min("comp").alias("a"), F.max("comp").alias("b"), F.min("n").alias("low"), F.max("n").alias("high"))
+              .withColumn("band", F.explode(F.array(*[F.col("g_band") + d for d in (-1, 0, 1)]))))
+    n, low, high = F.col("n"), F.col("low"), F.col("high")
+    meet = stage(spark, rows.select("token", "k1", "n", "comp", "band").join(matrix, ["token", "band"])
+                 .where((F.col("first") < F.col("k1")) & ((F.col("a") != F.col("comp")) | (F.col("b") != F.col("comp"))))
+                 .where(sizes_near(n, low, high, threshold))
+                 .groupBy("k1", "g_group", "g_band").agg(
+                     F.first("n").alias("n"), F.first("comp").alias("comp"), F.count(F.lit(1)).alias("count"),
+                     F.min("low").alias("low"), F.max("high").alias("high"))
+                 .where(F.col("count") >= least_shared(n, low, high, threshold)).select("k1", "n", "comp", "g_group", "g_band"), "meetings")
+    own = stage(spark, rows.select("k1", "n", "comp", F.col("group").alias("g_group"), F.col("band").alias("g_band"))
+                .join(meet.select("g_group", "g_band").distinct(), ["g_group", "g_band"], "left_semi").distinct(), "met-sets")
+    bitmaps = stage(spark, set_bitmaps(spark, sets, meet.select("k1").unionByName(own.select("k1")).distinct()), "met-bitmaps")
+    held = _chunks(spark, own, bitmaps, "held", "group-chunks")
+    asked = _chunks(spark, meet, bitmaps, "asked", "query-chunks")
+    unstage(spark, own, meet, bitmaps)
     unstage(spark, rows)
     if used is not None:
         used += [held, asked]
@@ -380,12 +447,12 @@ def group_pairs(spark: SparkSession, rows: DataFrame, members: DataFrame, thresh
     return opened.mapInArrow(run, "x long, y long")
 
 
-def _chunks(spark: SparkSession, sets: DataFrame, members: DataFrame, name: str, file: str) -> DataFrame:
+def _chunks(spark: SparkSession, sets: DataFrame, bitmaps: DataFrame, name: str, file: str) -> DataFrame:
     """Sets by (g_group, g_band) in lists of about :data:`CHUNK`, as column ``name``, numbered by ``<name>_part``."""
     by = ["g_group", "g_band"]
     sizes = stage(spark, sets.groupBy(*by).count(), file + "-sizes")
     part = F.pmod(F.xxhash64("k1"), F.ceil(F.col("count") / CHUNK)).alias(name + "_part")
-    out = stage(spark, sets.join(sizes, by).select("k1", "n", "comp", *by, part).join(members.select("k1", "bits"), "k1")
+    out = stage(spark, sets.join(sizes, by).select("k1", "n", "comp", *by, part).join(bitmaps, "k1")
                 .groupBy(*by, name + "_part").agg(F.collect_list(F.struct("k1", "n", "comp", "bits")).alias(name)), file)
     unstage(spark, sizes)
     return out
@@ -394,10 +461,8 @@ def _chunks(spark: SparkSession, sets: DataFrame, members: DataFrame, name: str,
 def set_components(spark: SparkSession, docs: DataFrame, sets: DataFrame, members: DataFrame, clash: list[int],
                    threshold: int = THRESHOLD) -> DataFrame:
     """``k1, comp`` of every set that links with another."""
-    tokens = stage(spark, sets.where("n > 0").select("k1", F.explode("prefix").alias("token"))
-                   .groupBy("token").agg(F.min("k1").alias("a"), F.max("k1").alias("b")).where("a <> b").select("token"),
-                   "contested")
-    rows = stage(spark, contested_rows(spark, sets, tokens).join(tokens, "token", "left_semi"), "contested-rows")
+    tokens = stage(spark, prefix_rows(spark, sets, members).groupBy("token").count().where("count > 1").select("token"), "contested")
+    rows = stage(spark, prefix_rows(spark, sets, members, tokens).join(tokens, "token", "left_semi"), "contested-rows")
     links, labels = None, spark.createDataFrame([], "k1 long, comp long")
 
     def joined() -> DataFrame:
@@ -425,17 +490,22 @@ def set_components(spark: SparkSession, docs: DataFrame, sets: DataFrame, member
     tested = spark.createDataFrame([], "x long, y long")
     for _ in range(ROUNDS):
         here = joined()
-        hub = (here.groupBy("token").agg(F.min(F.struct("comp", "k1")).alias("hub"), F.max("comp").alias("last"))
-               .where("hub.comp <> last").select("token", F.col("hub.comp").alias("h_comp"), F.col("hub.k1").alias("y")))
+        hub = (here.groupBy("token").agg(F.min(F.struct("comp", "k1", "n")).alias("hub"), F.max("comp").alias("last"))
+               .where("hub.comp <> last").select("token", F.col("hub.comp").alias("h_comp"), F.col("hub.k1").alias("y"), F.col("hub.n").alias("ny")))
         best = Window.partitionBy("x").orderBy(F.desc("count"), "y")
-        pairs = stage(spark, here.join(hub, "token").where("comp <> h_comp").groupBy(F.col("k1").alias("x"), "y").count()
+        nx, ny = F.col("nx"), F.col("ny")
+        pairs = stage(spark, here.withColumnRenamed("n", "nx").join(hub, "token").where("comp <> h_comp").where(sizes_near(nx, ny, ny, threshold))
+                      .groupBy(F.col("k1").alias("x"), "y").agg(F.first("nx").alias("nx"), F.first("ny").alias("ny"), F.count(F.lit(1)).alias("count"))
+                      .where(HUB_SHARE * F.col("count") >= least_shared(nx, ny, ny, threshold))
                       .join(tested, ["x", "y"], "left_anti")
-                      .withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= HUBS).select("x", "y"), "hub-pairs")
-        if not grow(within_reach(pairs, members, threshold), []):
+                      .withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= HUBS).select("x", "y", "nx", "ny"), "hub-pairs")
+        wanted = pairs.select(F.col("x").alias("k1")).unionByName(pairs.select(F.col("y").alias("k1"))).distinct()
+        bitmaps = stage(spark, set_bitmaps(spark, sets, wanted), "hub-bitmaps")
+        if not grow(within_reach(pairs, bitmaps, threshold), [bitmaps]):
             break
-        tested = tested.unionByName(pairs)
+        tested = tested.unionByName(pairs.select("x", "y"))
     used: list[DataFrame] = []
-    found = group_pairs(spark, joined(), members, threshold, used)
+    found = group_pairs(spark, joined(), sets, threshold, used)
     unstage(spark, rows, tokens)
     grow(found, used)
     return labels
@@ -455,8 +525,7 @@ def _named_sets(spark: SparkSession, docs: DataFrame, threshold: int) -> tuple[D
     sets, clash = shingle_sets(spark, docs, threshold=threshold)
     # One row a set; its first document is the one whose text stands for it.
     members = stage(spark, sets.where("n > 0").groupBy("k1").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("first"), F.first("n").alias("n"),
-        F.first("bits").alias("bits")), "sets")
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("first")), "sets")
     labels = set_components(spark, docs, sets, members, clash, threshold)
     least = members.select("k1", F.col("first.doc_id").alias("least"))
     named = stage(spark, least.join(labels, "k1", "left").withColumn("comp", F.coalesce("comp", "k1")), "set-labels")
