@@ -293,6 +293,11 @@ def prefix_rows(spark: SparkSession, sets: DataFrame, members: DataFrame, tokens
     return sets.where("n > 0").select(own("doc_id"), "k1", "n", "prefix").mapInArrow(run, "token long, k1 long, n long")
 
 
+def by_token(rows: DataFrame) -> DataFrame:
+    """Rows dealt by token, for an aggregate and a join on it: both read one exchange, as the filters they imply are here."""
+    return rows.where(" and ".join(f"{c} is not null" for c in rows.columns)).repartition("token")
+
+
 def set_bitmaps(spark: SparkSession, sets: DataFrame, wanted: DataFrame) -> DataFrame:
     """``k1, bits`` of the sets ``wanted`` (``k1``)."""
     shared = spark.sparkContext.broadcast(bit_filter(wanted, "k1", DOCUMENT_BITS))
@@ -384,9 +389,7 @@ def group_pairs(spark: SparkSession, rows: DataFrame, sets: DataFrame, threshold
     least component that holds the most of its tokens.  A set meets a group
     once, whatever the tokens and members it shares with it, so nothing grows with
     the pairs of members before the chunks are opened.  A chunk holds one band of
-    sizes, and a set meets chunks of its own band and its neighbours only: sets
-    that link differ in size by a quarter at most, less than a band's width.
-    Of the two sets of a link the one of the greater ``k1`` must meet the other's group,
+    sizes.  Of the two sets of a link the one of the greater ``k1`` must meet the other's group,
     and each token that they share is held there by a set of another component, a smaller
     ``k1`` and a size near enough; meetings by fewer such tokens than a link takes are dropped
     before any bitmap is read.  ``used`` gets the staged tables that the result reads.
@@ -399,11 +402,11 @@ def group_pairs(spark: SparkSession, rows: DataFrame, sets: DataFrame, threshold
     near = shared.groupBy("k1").agg(F.min(F.struct(-F.col("count"), "group")).alias("g")).select("k1", "g.group")
     mixed_rows, rows = rows, stage(spark, rows.join(near, "k1"), "mixed-tokens")
     unstage(spark, mixed_rows)
-    matrix = (rows.groupBy("token", F.col("group").alias("g_group"), F.col("band").alias("g_band"))
-              .agg(F.min("k1").alias("first"), F.min("comp").alias("a"), F.max("comp").alias("b"), F.min("n").alias("low"), F.max("n").alias("high"))
-              .withColumn("band", F.explode(F.array(*[F.col("g_band") + d for d in (-1, 0, 1)]))))
+    dealt = by_token(rows)
+    matrix = (dealt.groupBy("token", F.col("group").alias("g_group"), F.col("band").alias("g_band"))
+              .agg(F.min("k1").alias("first"), F.min("comp").alias("a"), F.max("comp").alias("b"), F.min("n").alias("low"), F.max("n").alias("high")))
     n, low, high = F.col("n"), F.col("low"), F.col("high")
-    meet = stage(spark, rows.select("token", "k1", "n", "comp", "band").join(matrix, ["token", "band"])
+    meet = stage(spark, dealt.select("token", "k1", "n", "comp").join(matrix, "token")
                  .where((F.col("first") < F.col("k1")) & ((F.col("a") != F.col("comp")) | (F.col("b") != F.col("comp"))))
                  .where(sizes_near(n, low, high, threshold))
                  .groupBy("k1", "g_group", "g_band").agg(
@@ -462,7 +465,13 @@ def set_components(spark: SparkSession, docs: DataFrame, sets: DataFrame, member
                    threshold: int = THRESHOLD) -> DataFrame:
     """``k1, comp`` of every set that links with another."""
     tokens = stage(spark, prefix_rows(spark, sets, members).groupBy("token").count().where("count > 1").select("token"), "contested")
-    rows = stage(spark, prefix_rows(spark, sets, members, tokens).join(tokens, "token", "left_semi"), "contested-rows")
+    # Of two sets alone with a token that are too far apart in size neither needs it.
+    every = Window.partitionBy("token")
+    low, high = F.col("low"), F.col("high")
+    rows = stage(spark, prefix_rows(spark, sets, members, tokens).withColumns({
+        "count": F.count(F.lit(1)).over(every), "a": F.min("k1").over(every), "b": F.max("k1").over(every),
+        "low": F.min("n").over(every), "high": F.max("n").over(every)})
+        .where("a <> b").where((F.col("count") > 2) | sizes_near(low, high, high, threshold)).select("token", "k1", "n"), "contested-rows")
     links, labels = None, spark.createDataFrame([], "k1 long, comp long")
 
     def joined() -> DataFrame:
@@ -489,7 +498,7 @@ def set_components(spark: SparkSession, docs: DataFrame, sets: DataFrame, member
 
     tested = spark.createDataFrame([], "x long, y long")
     for _ in range(ROUNDS):
-        here = joined()
+        here = by_token(joined())
         hub = (here.groupBy("token").agg(F.min(F.struct("comp", "k1", "n")).alias("hub"), F.max("comp").alias("last"))
                .where("hub.comp <> last").select("token", F.col("hub.comp").alias("h_comp"), F.col("hub.k1").alias("y"), F.col("hub.n").alias("ny")))
         best = Window.partitionBy("x").orderBy(F.desc("count"), "y")

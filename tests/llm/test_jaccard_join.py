@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from sameitem.llm import jaccard_join as J
 from tests.llm.helpers import documents, frame
@@ -106,3 +107,44 @@ def test_boundary_of_the_threshold():
     a = np.arange(100, dtype=np.uint64)
     assert J.linked(a[:80], a) and not J.linked(a[:79], a)
     assert J.prefix_size(100) == 21 and J.prefix_size(1) == 1 and J.prefix_size(0) == 0
+
+
+def test_prefixes_of_linked_sets_share_as_many_tokens_as_said(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    while len(rows) < 200:
+        n = int(rng.integers(1, 300))
+        both = np.arange(n, dtype=np.uint64) * np.uint64(7)
+        a = np.unique(np.concatenate([both, rng.integers(0, 2100, int(n * rng.random() * 0.25)).astype(np.uint64)]))
+        b = np.unique(np.concatenate([both, rng.integers(0, 2100, int(n * rng.random() * 0.25)).astype(np.uint64)]))
+        if J.linked(a, b):
+            common = len(np.intersect1d(a[:J.prefix_size(len(a))], b[:J.prefix_size(len(b))]))
+            slack = int(rng.integers(0, 40))
+            rows.append((len(a), len(b), max(1, len(b) - slack), len(b) + slack, common))
+    n, m, low, high = (F.col(c) for c in ("n", "m", "low", "high"))
+    df = spark.createDataFrame(rows, "n long, m long, low long, high long, common long")
+    asked = df.select("common", J.least_shared(n, m, m).alias("pair"), J.least_shared(n, low, high).alias("group"), J.sizes_near(n, low, high).alias("near"))
+    for r in asked.collect():
+        assert r.near and r.group <= r.pair <= r.common
+    assert spark.range(1).select(J.least_shared(F.lit(1000), F.lit(1000), F.lit(1000))).first()[0] > 80
+
+
+def test_bitmaps_are_read_for_sets_that_share_enough_only(spark, monkeypatch):
+    rng = random.Random(5)
+    own = lambda n: " ".join(f"u{rng.randint(0, 10 ** 9)}" for _ in range(n))
+    rows = [(i, "one run of five words " + own(30), "en", "s0", 1) for i in range(40)]
+    copy = own(60)
+    rows += [(100, copy, "en", "s0", 1), (101, copy + " end", "en", "s0", 1)]
+    read = []
+
+    def counted(spark, df, name, old=J.stage):
+        out = old(spark, df, name)
+        if "bits" in out.columns and name != "shingle-sets" or name.endswith("-chunks"):
+            read.append(out.count())
+        return out
+
+    monkeypatch.setattr(J, "stage", counted)
+    monkeypatch.setattr(J, "COMMON", 1)
+    out = J.jaccard_components(spark, frame(spark, rows)).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in out) == components(rows)
+    assert sum(read) <= 10
